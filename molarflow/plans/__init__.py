@@ -1,6 +1,6 @@
 """Named queries. Importing this package registers every query module."""
 
 from molarflow.plans.registry import REGISTRY, QuerySpec, Tables, register  # noqa: F401
-from molarflow.plans import q_attribution, q_audit  # noqa: F401
+from molarflow.plans import q_attribution, q_audit, q_kpi  # noqa: F401
 
-QUERY_MODULES = ("q_attribution", "q_audit")
+QUERY_MODULES = ("q_attribution", "q_audit", "q_kpi")
