@@ -111,7 +111,7 @@ VIEWS: dict[str, str] = {
                TIMESTAMP '{LEAD_EPOCH}' + to_days(CAST(c_custkey % 1500 AS INTEGER))
                    + to_hours(CAST(c_custkey % 97 AS INTEGER)) AS last_activity_at,
                [CAST(c_nationkey AS INTEGER)] AS inbox_ids
-        FROM customer WHERE c_custkey % 2 = 0""",
+        FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 7 = 1""",
     "crm_contacts": f"""
         SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS account_id, c_name AS name,
                CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'c' || CAST(c_custkey AS VARCHAR) || '@example.org' END AS email,

@@ -157,9 +157,10 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored CRM leads: customers with even keys, a phone spelled differently
+    """Stored CRM leads: customers with even keys (plus every 7th+1, which the CRM no
+    longer tags: reconcile fodder), a phone spelled differently
     from the appointment's, and a creation date that walks one day per key."""
-    c = raw(spark, sf_dir, "customer").where(F.col("c_custkey") % 2 == 0)
+    c = raw(spark, sf_dir, "customer").where((F.col("c_custkey") % 2 == 0) | (F.col("c_custkey") % 7 == 1))
     ck = F.col("c_custkey")
     created = plus_days(F.lit(LEAD_EPOCH).cast("timestamp_ntz"), ck % 1500)
     return c.select(
