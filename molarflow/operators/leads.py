@@ -70,20 +70,36 @@ def ad_origin_contacts(contacts: DataFrame, attribute: str = AD_ORIGIN_ATTRIBUTE
     return contacts.where(attribute_present("custom_attributes", attribute))
 
 
-def lead_union(contacts: DataFrame, conversations: DataFrame, units: DataFrame,
-               cutoff: dt.datetime | None = None, label: str = CAMPAIGN_LABEL) -> DataFrame:
+def _cut_per_account(df: DataFrame, watermarks: DataFrame, *cols: str) -> DataFrame:
+    """FLT13 with one watermark per account: keep coalesce(cols, epoch 0) > watermark
+    (strict); accounts without a watermark keep everything."""
+    wm = watermarks.select("account_id", F.col("last_activity_seen").alias("_wm"))
+    act = F.coalesce(*[F.col(c) for c in cols], F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return df.join(wm, "account_id", "left").where(F.col("_wm").isNull() | (act > F.col("_wm"))).drop("_wm")
+
+
+def lead_union(contacts: DataFrame, conversations: DataFrame | None, units: DataFrame,
+               cutoff: dt.datetime | None = None, label: str = CAMPAIGN_LABEL,
+               watermarks: DataFrame | None = None) -> DataFrame:
     """SET1: tagged contacts (rank 1), senders of tagged conversations (rank 2),
     ad-origin contacts (rank 3); on (id, account_id) conflict the higher rank
     wins, as the reference writes the sources in that order. FLT13 cuts each
-    source at its own activity column when a cutoff is given (incremental run)."""
+    source at its own activity column when a cutoff (one instant) or per-account
+    `watermarks` (account_id, last_activity_seen) are given (incremental run)."""
     tagged = contacts.where(F.array_contains("labels", label))
-    s1 = contacts_to_leads(tagged, label).withColumn("source", F.lit(1))
-    s1 = s1.where(watermark_cut(cutoff, "last_activity_at") if cutoff else F.lit(True))
-    s2 = conversations_to_leads(conversations, label).withColumn("source", F.lit(2))
-    s2 = s2.where(watermark_cut(cutoff, "last_activity_at") if cutoff else F.lit(True))
-    s3 = contacts_to_leads(ad_origin_contacts(contacts), label).withColumn("source", F.lit(3))
-    s3 = s3.where(watermark_cut(cutoff, "last_activity_at", "created_at_cw") if cutoff else F.lit(True))
-    u = s1.unionByName(s2).unionByName(s3)
+    parts = [(contacts_to_leads(tagged, label).withColumn("source", F.lit(1)), ("last_activity_at",))]
+    if conversations is not None:
+        parts.append((conversations_to_leads(conversations, label).withColumn("source", F.lit(2)),
+                      ("last_activity_at",)))
+    parts.append((contacts_to_leads(ad_origin_contacts(contacts), label).withColumn("source", F.lit(3)),
+                  ("last_activity_at", "created_at_cw")))
+    u = None
+    for df, cols in parts:
+        if cutoff is not None:
+            df = df.where(watermark_cut(cutoff, *cols))
+        if watermarks is not None:
+            df = _cut_per_account(df, watermarks, *cols)
+        u = df if u is None else u.unionByName(df)
     cols = [c for c in u.columns if c not in ("id", "account_id")]
     win = u.groupBy("id", "account_id").agg(F.max_by(F.struct(*cols), F.col("source")).alias("_w"))
     clinic = units.select(F.col("account_id").alias("_acc"), F.col("clinic_id").alias("ecuro_clinic_id"))
@@ -100,11 +116,9 @@ def leads_to_tag(contacts: DataFrame, label: str = CAMPAIGN_LABEL) -> DataFrame:
                     with_label("labels", label).alias("labels_after"))
 
 
-def seen_ids(contacts: DataFrame, conversations: DataFrame, label: str = CAMPAIGN_LABEL) -> DataFrame:
-    """Ids seen by a full refresh, per account (all three sources)."""
-    u = lead_union(contacts, conversations, contacts.sparkSession.createDataFrame(
-        [], "clinic_id string, name string, regional string, account_id bigint"), None, label)
-    return u.select("account_id", "id").distinct()
+def seen_ids(union: DataFrame) -> DataFrame:
+    """Ids seen by a full refresh, per account (output of `lead_union`)."""
+    return union.select("account_id", "id").distinct()
 
 
 def stale_leads(stored: DataFrame, seen: DataFrame, failed_accounts: DataFrame | None = None,
