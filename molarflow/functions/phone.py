@@ -19,14 +19,15 @@ MIN_KEY_DIGITS = 8
 def phone_key(c: Column | str) -> Column:
     """STR4: digits; 12/13 digits starting with 55 lose the 55; then 11 digits
     whose third digit is 9 lose that 9. Keys shorter than 8 digits become null
-    (a blank or junk phone must never become a hot join key)."""
+    (a blank or junk phone must never become a hot join key).
+
+    Written as a chain of single-reference regex steps so the generated code
+    stays small (a CASE tree re-evaluating the digits at every branch grows
+    exponentially and falls out of whole-stage codegen)."""
     d = phone_digits(c)
-    no_cc = F.when((F.length(d).isin(12, 13)) & d.startswith("55"), F.substring(d, 3, 20)).otherwise(d)
-    no_nine = F.when(
-        (F.length(no_cc) == 11) & (F.substring(no_cc, 3, 1) == "9"),
-        F.concat(F.substring(no_cc, 1, 2), F.substring(no_cc, 4, 20)),
-    ).otherwise(no_cc)
-    return F.when(F.length(no_nine) >= MIN_KEY_DIGITS, no_nine)
+    no_cc = F.regexp_replace(d, r"^55(?=[0-9]{10,11}$)", "")
+    no_nine = F.regexp_replace(no_cc, r"^([0-9]{2})9([0-9]{8})$", "$1$2")
+    return F.nullif(F.regexp_extract(no_nine, r"^([0-9]{%d,})$" % MIN_KEY_DIGITS, 1), F.lit(""))
 
 
 def phone_variants(digits: str) -> list[str]:
