@@ -56,6 +56,9 @@ def qualifying_evaluations(appointments: DataFrame, logs: DataFrame, domain: Dom
         .where(F.col("agent_touched"))
 
 
+NULL_PATIENT_SPREAD = 1024
+
+
 def _bucket(ts: Column, days: int) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(days * 86400)).cast("bigint")
 
@@ -68,14 +71,15 @@ def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int
     `appts` must have patient_id, start_time, id; `value` is evaluated on it.
     """
     pay_cols = payments.columns
-    has_patient = payments.where(F.col("patient_id").isNotNull())
-    no_patient = payments.where(F.col("patient_id").isNull()).withColumn(
-        "_asof", F.lit(None).cast("struct<t:timestamp_ntz,id:bigint,v:boolean>"))
-
-    pay_ev = has_patient.select(
+    # Payments without a patient can never match; instead of a second scan for
+    # them, they get negative buckets (spread by id hash, no appointment lives
+    # there), so they neither form one hot window partition nor need a branch.
+    bucket = F.when(F.col("patient_id").isNotNull(), _bucket(F.col("date"), days)).otherwise(
+        -1 - F.pmod(F.xxhash64(*[F.col(c) for c in pay_cols]), F.lit(NULL_PATIENT_SPREAD)))
+    pay_ev = payments.select(
         *pay_cols,
         F.col("date").alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_aid"),
-        _bucket(F.col("date"), days).alias("_b"),
+        bucket.alias("_b"),
         F.lit(None).cast("struct<t:timestamp_ntz,id:bigint,v:boolean>").alias("_ev"),
     )
     a = appts.select(
@@ -92,7 +96,7 @@ def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int
            .where(F.col("_kind") == 1)
            .withColumn("_asof", F.when(F.col("_asof.t") >= F.col("date") - F.make_dt_interval(F.lit(days)),
                                        F.col("_asof"))))
-    return out.select(*pay_cols, "_asof").unionByName(no_patient.select(*pay_cols, "_asof"))
+    return out.select(*pay_cols, "_asof")
 
 
 def attribute_v4(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
