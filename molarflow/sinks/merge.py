@@ -126,3 +126,9 @@ def retention_split(df: DataFrame, date_col: str, now: dt.datetime, months: int
     cut = F.lit(retention_cutoff(now, months)).cast("timestamp_ntz")
     c = F.col(date_col)
     return df.agg(F.count_if(c.isNull() | (c >= cut)).alias("kept"), F.count_if(c < cut).alias("dropped"))
+
+
+def state_listing(state: DataFrame, n: int | None = None) -> DataFrame:
+    """SRT3: sync state ordered by cumulative rows (largest first), optional top-n."""
+    df = state.orderBy(F.col("rows_synced_total").desc_nulls_first(), "feed", "clinic_id")
+    return df.limit(n) if n else df
