@@ -74,25 +74,23 @@ def sales_split(payments_in_period: DataFrame, origins: DataFrame, domain: Domai
 
 
 def reschedules_two_level(appointments_in_period: DataFrame, logs_in_period: DataFrame, *dims: str) -> DataFrame:
-    if not dims:
-        out = reschedules_two_level(appointments_in_period.withColumn("_all", F.lit(1)), logs_in_period, "_all")
-        return out.drop("_all")
-    return _reschedules(appointments_in_period, logs_in_period, *dims)
-
-
-def _reschedules(appointments_in_period: DataFrame, logs_in_period: DataFrame, *dims: str) -> DataFrame:
     """AGG7: reschedules from logs (is_reschedule OR to_status = 3) when the logs of
     the result set carry the fact at all; otherwise appointments whose start and
-    scheduled start differ by more than 24 h. `strategy` says which was used."""
+    scheduled start differ by more than 24 h. `strategy` says which was used.
+
+    Both counts come from ONE aggregation over a union of appointment rows (gap
+    flag) and matched log rows (log flag), so no join of the two aggregates is
+    needed; the strategy is then decided over the (small) aggregated result."""
     rl = logs_in_period.where(F.coalesce(F.col("is_reschedule"), F.lit(False))
                               | (F.col("to_status") == RESCHEDULED_STATUS))
     appt_dims = appointments_in_period.select(F.col("id").alias("_aid"), *dims)
-    by_logs = (rl.join(appt_dims, rl["appointment_id"] == appt_dims["_aid"]).groupBy(*dims)
-               .agg(F.count(F.lit(1)).alias("log_reschedules")))
-    gap = abs_gap_seconds("start_time", "scheduled_start_time") > RESCHEDULE_GAP_SECONDS
-    by_gap = (appointments_in_period.groupBy(*dims)
-              .agg(F.count_if(F.coalesce(gap, F.lit(False))).alias("heuristic_reschedules")))
-    j = by_gap.join(by_logs, list(dims), "full").fillna(0, subset=["log_reschedules", "heuristic_reschedules"])
+    log_rows = (rl.join(appt_dims, rl["appointment_id"] == appt_dims["_aid"])
+                .select(*dims, F.lit(0).alias("_gap"), F.lit(1).alias("_log")))
+    gap = F.coalesce(abs_gap_seconds("start_time", "scheduled_start_time") > RESCHEDULE_GAP_SECONDS, F.lit(False))
+    appt_rows = appointments_in_period.select(*dims, gap.cast("int").alias("_gap"), F.lit(0).alias("_log"))
+    j = (appt_rows.unionByName(log_rows).groupBy(*dims)
+         .agg(F.sum("_gap").cast("bigint").alias("heuristic_reschedules"),
+              F.sum("_log").cast("bigint").alias("log_reschedules")))
     # one strategy for the whole (already aggregated, per-dimension-value) result set
     any_logs = F.max(F.col("log_reschedules")).over(Window.partitionBy()) > 0
     return (j.withColumn("strategy", F.when(any_logs, F.lit("logs")).otherwise(F.lit("heuristic")))

@@ -37,3 +37,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["clinic_id", "month", "owner", "revenue", "payments"]
     assert df.count() > 0
+
+
+STREAMING = {"stream_feed_upsert", "stream_leads_incremental"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
+def test_plan_has_no_nested_loop_or_cartesian(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan, name
+    assert "BroadcastNestedLoopJoin" not in plan, name
