@@ -63,40 +63,51 @@ def _bucket(ts: Column, days: int) -> Column:
     return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(days * 86400)).cast("bigint")
 
 
-def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int) -> DataFrame:
-    """For every payment row, the latest appointment (by start_time, then id) of the
-    same patient with start_time <= date, restricted to appointments at most `days`
-    days older than the payment; returns payments plus `_asof` (struct or null).
-
-    `appts` must have patient_id, start_time, id; `value` is evaluated on it.
+def _asof_multi(payments: DataFrame, appts: DataFrame, rules: dict[str, tuple[Column, Column]],
+                days: int) -> DataFrame:
+    """For every payment row and every rule `name -> (condition, value)`, the latest
+    appointment (by start_time, then id) of the same patient with start_time <=
+    date that satisfies `condition`, kept only if at most `days` days older than
+    the payment. Adds `_asof_<name>` = struct(t, id, v=value) or null.
+
+    All rules share one shuffle on (patient_id, bucket) and one sort; each rule
+    is one `last(..., ignorenulls)` over the same window. `appts` needs
+    patient_id, start_time, id and whatever the rule columns reference.
     """
     pay_cols = payments.columns
+    ev_type = "struct<t:timestamp_ntz,id:bigint,v:boolean>"
     # Payments without a patient can never match; instead of a second scan for
-    # them, they get negative buckets (spread by id hash, no appointment lives
+    # them, they get negative buckets (spread by a row hash, no appointment lives
     # there), so they neither form one hot window partition nor need a branch.
     bucket = F.when(F.col("patient_id").isNotNull(), _bucket(F.col("date"), days)).otherwise(
         -1 - F.pmod(F.xxhash64(*[F.col(c) for c in pay_cols]), F.lit(NULL_PATIENT_SPREAD)))
     pay_ev = payments.select(
-        *pay_cols,
-        F.col("date").alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_aid"),
-        bucket.alias("_b"),
-        F.lit(None).cast("struct<t:timestamp_ntz,id:bigint,v:boolean>").alias("_ev"),
-    )
-    a = appts.select(
+        *pay_cols, F.col("date").alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_aid"),
+        bucket.alias("_b"), *[F.lit(None).cast(ev_type).alias(f"_ev_{n}") for n in rules])
+    any_rule = None
+    for cond, _ in rules.values():
+        any_rule = cond if any_rule is None else (any_rule | cond)
+    a = appts.where(F.col("patient_id").isNotNull() & F.col("start_time").isNotNull() & any_rule).select(
         F.col("patient_id"), F.col("start_time").alias("_t"), F.col("id").cast("bigint").alias("_aid"),
-        F.struct(F.col("start_time").alias("t"), F.col("id").cast("bigint").alias("id"),
-                 value.cast("boolean").alias("v")).alias("_ev"),
+        *[F.when(cond, F.struct(F.col("start_time").alias("t"), F.col("id").cast("bigint").alias("id"),
+                                val.cast("boolean").alias("v"))).alias(f"_ev_{n}")
+          for n, (cond, val) in rules.items()],
         F.explode(F.array(_bucket(F.col("start_time"), days), _bucket(F.col("start_time"), days) + 1)).alias("_b"),
     ).withColumn("_kind", F.lit(0))
     ev = pay_ev.unionByName(a, allowMissingColumns=True)
     w = (Window.partitionBy("patient_id", "_b").orderBy("_t", "_kind", "_aid")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    latest = F.last("_ev", ignorenulls=True).over(w)
-    out = (ev.withColumn("_asof", latest)
-           .where(F.col("_kind") == 1)
-           .withColumn("_asof", F.when(F.col("_asof.t") >= F.col("date") - F.make_dt_interval(F.lit(days)),
-                                       F.col("_asof"))))
-    return out.select(*pay_cols, "_asof")
+    lo = F.col("date") - F.make_dt_interval(F.lit(days))
+    out = ev.select(*pay_cols, "_kind", *[F.last(f"_ev_{n}", ignorenulls=True).over(w).alias(f"_l_{n}")
+                                          for n in rules])
+    out = out.where(F.col("_kind") == 1)
+    return out.select(*pay_cols, *[F.when(F.col(f"_l_{n}.t") >= lo, F.col(f"_l_{n}")).alias(f"_asof_{n}")
+                                   for n in rules])
+
+
+def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int) -> DataFrame:
+    """Single-rule form of `_asof_multi` (every row of `appts` qualifies)."""
+    return _asof_multi(payments, appts, {"r": (F.lit(True), value)}, days).withColumnRenamed("_asof_r", "_asof")
 
 
 def attribute_v4(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
@@ -154,6 +165,30 @@ def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
 RULES = {"v1": attribute_v1, "v2": attribute_v2, "v3": attribute_v3, "v4": attribute_v4}
 
 
+def attribute_window_rules(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
+                           domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
+    """V2, V3 and V4 in ONE pass: one scan of the payments, one shuffle and sort of
+    payments + candidate appointments, three running `last` columns. Adds
+    owner_v2, owner_v3, owner_v4."""
+    appts = appointments.where(F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
+    touched = with_agent_touch(appts.select("id", "patient_id", "start_time", "channel_id", "status",
+                                            "speciality_id"), logs, domain)
+    attended = F.col("status").isin(list(domain.attended))
+    rules = {
+        "v2": (attended, F.col("agent_touched")),
+        "v3": (F.col("agent_touched"), F.lit(True)),
+        "v4": (attended & (F.col("speciality_id") == domain.eval_specialty_id) & F.col("agent_touched"),
+               F.lit(True)),
+    }
+    f = _asof_multi(payments, touched, rules, domain.window_days)
+    v2 = (F.when(F.col("_asof_v2").isNull(), F.lit("unattributed"))
+          .when(F.col("_asof_v2.v"), F.lit("agent")).otherwise(F.lit("operators")))
+    return (f.withColumn("owner_v2", v2)
+            .withColumn("owner_v3", owner_label(F.col("_asof_v3").isNotNull()))
+            .withColumn("owner_v4", owner_label(F.col("_asof_v4").isNotNull()))
+            .drop("_asof_v2", "_asof_v3", "_asof_v4"))
+
+
 def revenue_by_owner(attributed: DataFrame, *dims: str) -> DataFrame:
     """AGG4: revenue and payment count per owner (and optional dimensions)."""
     return (attributed.groupBy(*dims, "owner")

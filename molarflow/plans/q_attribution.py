@@ -100,9 +100,12 @@ def attribution_rules_compare(spark, sf_dir):
     t = Tables(spark, sf_dir)
     paid = att.confirmed_payments(t.payments).select("id", "patient_id", "clinic_id", "date", "amount")
     appts, logs = t.appointments, t.appointment_logs
-    parts = []
-    for rule in ("v1", "v3", "v4"):
-        a = att.RULES[rule](paid, appts, logs).select("date", "amount", "owner")
-        parts.append(a.withColumn("rule", F.lit(rule)))
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("month", year_month("date"))
+    # V3 and V4 share one window pass over the payments; V1 is an equi-join on patient.
+    w = att.attribute_window_rules(paid, appts, logs).select(
+        "date", "amount", F.explode(F.array(
+            F.struct(F.lit("v3").alias("rule"), F.col("owner_v3").alias("owner")),
+            F.struct(F.lit("v4").alias("rule"), F.col("owner_v4").alias("owner")))).alias("_r"))
+    w = w.select("date", "amount", "_r.rule", "_r.owner")
+    v1 = att.attribute_v1(paid, appts, logs).select("date", "amount", F.lit("v1").alias("rule"), "owner")
+    u = w.unionByName(v1).withColumn("month", year_month("date"))
     return att.revenue_by_owner(u, "rule", "month")
