@@ -66,3 +66,30 @@ def test_state_listing_order(spark):
     st = spark.createDataFrame([("a", "1", 5), ("b", "1", 9), ("c", "2", None)],
                                "feed string, clinic_id string, rows_synced_total long")
     assert [r.feed for r in state_listing(st, 2).collect()] == ["c", "b"]
+
+
+def test_apply_retention_drops_whole_months(spark, tmp_dir):
+    from molarflow.sinks.files import apply_retention, partition_values
+    df = spark.createDataFrame([(1, dt.datetime(2026, 3, 1)), (2, dt.datetime(2026, 2, 28, 23, 59, 59)),
+                                (3, None), (4, dt.datetime(2026, 5, 2))], "id long, d timestamp_ntz")
+    root = os.path.join(tmp_dir, "t")
+    df.withColumn("month", F.date_format("d", "yyyy-MM")).write.partitionBy("month").parquet(root)
+    dropped = apply_retention(spark, root, dt.datetime(2026, 5, 20))
+    assert dropped == ["2026-02"]
+    left = sorted(r.id for r in spark.read.schema("id long, d timestamp_ntz, month string").parquet(root).collect())
+    assert left == [1, 3, 4]
+    assert "2026-02" not in partition_values(spark, root, "month")
+
+
+def test_delete_keys_rewrites_and_drops_emptied(spark, tmp_dir):
+    from molarflow.sinks.files import delete_keys_in_table, partition_values
+    schema = "id long, name string, account_id long"
+    root = os.path.join(tmp_dir, "leads")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 3)], schema) \
+        .write.partitionBy("account_id").parquet(root)
+    keys = spark.createDataFrame([(1, 1), (2, 3), (3, 2), (9, 9)], "account_id long, id long")
+    n = delete_keys_in_table(spark, root, schema, keys, ["account_id", "id"], "account_id")
+    assert n == 2
+    left = sorted((r.account_id, r.id) for r in spark.read.schema(schema).parquet(root).collect())
+    assert left == [(1, 2), (3, 4)]
+    assert partition_values(spark, root, "account_id") == ["1", "3"]
