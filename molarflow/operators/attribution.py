@@ -198,6 +198,6 @@ def revenue_by_owner(attributed: DataFrame, *dims: str) -> DataFrame:
 def attribution_by_clinic_month(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
                                 domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
     """Flagship: V4 owner revenue per clinic and payment month over confirmed payments."""
-    paid = confirmed_payments(payments).select("id", "patient_id", "clinic_id", "date", "amount")
+    paid = confirmed_payments(payments).select("patient_id", "clinic_id", "date", "amount")
     att = attribute_v4(paid, appointments, logs, domain).withColumn("month", year_month("date"))
     return revenue_by_owner(att, "clinic_id", "month")

@@ -53,10 +53,10 @@ def dashboard_bundle(spark: SparkSession, req: KpiRequest, appointments: DataFra
     parts.append(_metric(up, "appointments", "all", "appointments"))
     parts.append(_metric(up, "unique_patients", "all", "unique_patients"))
 
-    att = attribute_v4(pay.select("id", "patient_id", "clinic_id", "date", "amount", "specialty_id"),
+    att = attribute_v4(pay.select("patient_id", "clinic_id", "date", "amount"),
                        appointments, logs, domain)
     by_owner = att.groupBy("owner").agg(F.sum("amount").alias("revenue"))
-    total = att.agg(F.sum("amount").alias("revenue"))
+    total = by_owner.agg(F.sum("revenue").alias("revenue"))  # from the per-owner aggregate: one pass
     parts.append(_metric(total, "revenue_total", "all", "revenue"))
     parts.append(_metric(by_owner, "revenue_by_owner", F.col("owner"), "revenue"))
     chosen = total if req.agent_mode == "all" else by_owner.where(F.col("owner") == req.agent_mode)

@@ -59,7 +59,7 @@ SQL_V2 = with_views(["appointments", "appointment_logs", "payments"], """
 @register("attribution_v2_asof", SQL_V2, "JOI7")
 def attribution_v2_asof(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    paid = att.confirmed_payments(t.payments).select("id", "patient_id", "clinic_id", "date", "amount")
+    paid = att.confirmed_payments(t.payments).select("patient_id", "clinic_id", "date", "amount")
     a = att.attribute_v2(paid, t.appointments, t.appointment_logs).withColumn("month", year_month("date"))
     return att.revenue_by_owner(a, "clinic_id", "month")
 
@@ -98,7 +98,7 @@ SQL_COMPARE = with_views(["appointments", "appointment_logs", "payments"], """
 @register("attribution_rules_compare", SQL_COMPARE, "JOI8 (V1, V3 vs V4)")
 def attribution_rules_compare(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    paid = att.confirmed_payments(t.payments).select("id", "patient_id", "clinic_id", "date", "amount")
+    paid = att.confirmed_payments(t.payments).select("patient_id", "clinic_id", "date", "amount")
     appts, logs = t.appointments, t.appointment_logs
     # V3 and V4 share one window pass over the payments; V1 is an equi-join on patient.
     w = att.attribute_window_rules(paid, appts, logs).select(
