@@ -15,6 +15,7 @@ from molarflow.functions.misc import year_month
 from molarflow.operators import leads as ld
 from molarflow.plans.oracle_views import with_views
 from molarflow.plans.q_leads import UNION_CTES, _contact_lead
+from molarflow.plans.registry import REGISTRY
 from molarflow.plans.registry import Tables, register
 from molarflow.streaming import ingest
 
@@ -89,3 +90,16 @@ def stream_leads_incremental(spark, sf_dir):
     deliveries = [contacts.where(F.col("id") % 2 == 0), contacts]
     base = ingest.new_run_dir(spark, "leads")
     return ingest.lead_ingest(spark, base, contact_schema, lead_schema, to_leads, deliveries)
+
+
+@register("stream_campaign_counts", REGISTRY["campaign_contacts_month"].sql, "STM6 AGG8 DAT1")
+def stream_campaign_counts(spark, sf_dir):
+    """Campaign counts kept live by a stream over two conversation pulls (odd ids,
+    then everything again): exact, and equal to the batch counts."""
+    from molarflow.streaming.campaign import campaign_counts_ingest
+    t = Tables(spark, sf_dir)
+    conv = t.crm_conversations
+    conv_schema = schemas.CONVERSATIONS_RAW + ", account_id bigint"
+    base = ingest.new_run_dir(spark, "campaign")
+    out = campaign_counts_ingest(spark, base, conv_schema, t.units, [conv.where(F.col("id") % 2 == 1), conv])
+    return out.select("clinic_id", "year_month", "contacts_count", "conversations_count", "campaign_tag")

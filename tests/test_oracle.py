@@ -39,7 +39,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-STREAMING = {"stream_feed_upsert", "stream_leads_incremental"}
+STREAMING = {"stream_feed_upsert", "stream_leads_incremental", "stream_campaign_counts"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
