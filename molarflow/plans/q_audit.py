@@ -140,3 +140,16 @@ def scoped_logs(spark, sf_dir):
     are scoped through their appointment)."""
     t = Tables(spark, sf_dir)
     return scope.visible_log_counts(t.appointment_logs, t.appointments, scope.user_scopes(t.users, t.units))
+
+
+ORIGIN_REQ = AppointmentRequest(start="1999-01-01", end="1999-03-01", specialty_ids="eval, sp1,",
+                                suborigins=" Ads ,Friend", sort_by="status", sort_order="desc", page=1, pp=100)
+
+
+@register("appointments_by_origin", with_views(["appointments"], f"""
+    SELECT {_APPT_COLS} FROM appointments
+    WHERE start_time >= TIMESTAMP '1999-01-01' AND start_time < TIMESTAMP '1999-03-01'
+      AND speciality_id IN ('eval', 'sp1') AND patient_subchannel_name IN ('Ads', 'Friend')
+    ORDER BY status DESC NULLS FIRST, id ASC LIMIT 100"""), "FLT3 FLT5 SRT1 LIM1")
+def appointments_by_origin(spark, sf_dir):
+    return audit.appointments_page(Tables(spark, sf_dir).appointments, ORIGIN_REQ)

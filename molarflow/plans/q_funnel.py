@@ -5,32 +5,39 @@ from __future__ import annotations
 import datetime as dt
 
 from molarflow.operators import funnel
-from molarflow.plans.oracle_views import phone_key_sql, with_views
+from molarflow.plans.oracle_views import fold_sql, phone_key_sql, with_views
 from molarflow.plans.registry import Tables, register
 
 S, E, MIN_LEAD = dt.datetime(1996, 1, 1), dt.datetime(1996, 4, 1), dt.datetime(1996, 1, 15)
 
-_FUNNEL_CTES = {
-    "ld": f"""SELECT *, {phone_key_sql('phone_raw')} AS pk FROM leads
-              WHERE list_contains(labels, 'campanha')
-                AND created_at_cw >= TIMESTAMP '1996-01-15' AND created_at_cw < TIMESTAMP '1996-04-01'""",
-    "ap": f"""SELECT a.id, a.patient_id, a.created_at, a.status, {phone_key_sql('a.phone')} AS pk,
-                     (a.status IN (7, 8) OR EXISTS (SELECT 1 FROM appointment_logs l
-                                                   WHERE l.appointment_id = a.id AND l.to_status = 4)) AS conf
-              FROM appointments a WHERE a.created_at IS NOT NULL""",
-    "paid": """SELECT patient_id, date FROM payments
-               WHERE is_confirmed AND deleted_at IS NULL AND patient_id IS NOT NULL
-                 AND date >= TIMESTAMP '1996-01-01' AND date < TIMESTAMP '1996-04-01'""",
-    "fl": """SELECT ld.*,
-               EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw) AS scheduled,
-               EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw AND ap.conf) AS confirmed,
-               EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw
-                       AND ap.status IN (7, 8)) AS attended,
-               EXISTS (SELECT 1 FROM ap JOIN paid ON paid.patient_id = ap.patient_id
-                       WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw
-                         AND paid.date >= ld.created_at_cw) AS sold
-             FROM ld""",
-}
+def funnel_ctes(start: str, end: str, min_lead: str | None) -> dict[str, str]:
+    """DuckDB CTEs of the lead stage flags for one period (dates as 'YYYY-MM-DD')."""
+    lo = max(start, min_lead) if min_lead else start
+    return {
+        "ld": f"""SELECT *, {phone_key_sql('phone_raw')} AS pk FROM leads
+                  WHERE list_contains(labels, 'campanha')
+                    AND created_at_cw >= TIMESTAMP '{lo}' AND created_at_cw < TIMESTAMP '{end}'""",
+        "ap": f"""SELECT a.id, a.patient_id, a.created_at, a.status, {phone_key_sql('a.phone')} AS pk,
+                         (a.status IN (7, 8) OR EXISTS (SELECT 1 FROM appointment_logs l
+                                                       WHERE l.appointment_id = a.id AND l.to_status = 4)) AS conf
+                  FROM appointments a WHERE a.created_at IS NOT NULL""",
+        "paid": f"""SELECT patient_id, date FROM payments
+                    WHERE is_confirmed AND deleted_at IS NULL AND patient_id IS NOT NULL
+                      AND date >= TIMESTAMP '{start}' AND date < TIMESTAMP '{end}'""",
+        "fl": """SELECT ld.*,
+                   EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw) AS scheduled,
+                   EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw
+                           AND ap.conf) AS confirmed,
+                   EXISTS (SELECT 1 FROM ap WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw
+                           AND ap.status IN (7, 8)) AS attended,
+                   EXISTS (SELECT 1 FROM ap JOIN paid ON paid.patient_id = ap.patient_id
+                           WHERE ap.pk = ld.pk AND ap.created_at >= ld.created_at_cw
+                             AND paid.date >= ld.created_at_cw) AS sold
+                 FROM ld""",
+    }
+
+
+_FUNNEL_CTES = funnel_ctes("1996-01-01", "1996-04-01", "1996-01-15")
 
 _PCT = ", ".join(f"ROUND(100.0 * COUNT(*) FILTER (WHERE {s}) / NULLIF(COUNT(*), 0), 2) AS {s}_pct"
                  for s in funnel.STAGES[1:])
@@ -55,3 +62,21 @@ def funnel_detail_stage(spark, sf_dir):
     t = Tables(spark, sf_dir)
     st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, S, E, MIN_LEAD)
     return funnel.funnel_detail(st, "attended", limit=50, offset=10)
+
+
+DS, DE = dt.datetime(1995, 6, 1), dt.datetime(1995, 8, 30)
+DETAIL_SEARCH = "21 0107-9193"
+
+
+@register("funnel_detail_search", with_views(["appointments", "appointment_logs", "payments", "leads"], f"""
+    SELECT id, account_id, name, phone_raw, created_at_cw, scheduled, confirmed, attended, sold FROM fl
+    WHERE instr({fold_sql('name')}, '21 0107-9193') > 0
+       OR instr(regexp_replace(phone_raw, '[^0-9]', '', 'g'), '2101079193') > 0
+       OR instr(regexp_replace(phone_raw, '[^0-9]', '', 'g'), '21901079193') > 0
+    ORDER BY created_at_cw DESC NULLS FIRST, id ASC, account_id ASC LIMIT 100""",
+    extra=funnel_ctes("1995-06-01", "1995-08-30", None)), "LIM3 FLT7 FLT16")
+def funnel_detail_search(spark, sf_dir):
+    """Drill-down of the 'leads' stage with a phone search (no bulk-import cut)."""
+    t = Tables(spark, sf_dir)
+    st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, DS, DE, None)
+    return funnel.funnel_detail(st, "leads", search=DETAIL_SEARCH, limit=100, offset=0)
