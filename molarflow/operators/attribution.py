@@ -110,10 +110,11 @@ def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int
     return _asof_multi(payments, appts, {"r": (F.lit(True), value)}, days).withColumnRenamed("_asof_r", "_asof")
 
 
-def attribute_v4(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
-                 domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """JOI5: payments + `is_agent` + `owner` ('agent' / 'operators')."""
-    q = qualifying_evaluations(appointments, logs, domain)
+def attribute_v4(payments: DataFrame, appointments: DataFrame | None, logs: DataFrame | None,
+                 domain: Domain = DEFAULT_DOMAIN, qualifying: DataFrame | None = None) -> DataFrame:
+    """JOI5: payments + `is_agent` + `owner` ('agent' / 'operators'). `qualifying`
+    (patient_id, start_time, id) may come precomputed (a snapshot table)."""
+    q = qualifying if qualifying is not None else qualifying_evaluations(appointments, logs, domain)
     flagged = _asof_latest(payments, q, F.lit(True), domain.window_days)
     is_agent = F.col("_asof").isNotNull()
     return flagged.withColumn("is_agent", is_agent).withColumn("owner", owner_label(is_agent)).drop("_asof")

@@ -4,17 +4,26 @@
 The filtered appointment and payment frames are shared by the metrics; Spark
 reuses identical exchanges inside the one plan (ReuseExchange), so each input
 is scanned and shuffled once per distinct sub-plan.
+
+Three inputs span the whole history rather than the period: patient origin
+(first appointment ever), the agent-touched evaluations behind V4, and the
+monthly revenue behind "best month". At scale they are maintained as small
+snapshot tables (`build_snapshots`, e.g. nightly) and passed in, so a request
+only scans its period; without snapshots they are computed on the fly.
 """
 
 from __future__ import annotations
 
+import os
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molarflow.config import DEFAULT_DOMAIN, Domain
 from molarflow.functions.text import fold_text
 from molarflow.operators import kpi
-from molarflow.operators.attribution import attribute_v4, confirmed_payments
+from molarflow.operators.attribution import attribute_v4, confirmed_payments, qualifying_evaluations
 from molarflow.operators.filters import in_period
 from molarflow.operators.scope import apply_clinics, resolve_clinics
 from molarflow.plans.params import KpiRequest
@@ -22,6 +31,38 @@ from molarflow.plans.params import KpiRequest
 MODES = ("all", "agent", "operators")
 
 
+@dataclass
+class KpiSnapshots:
+    """Whole-history inputs of the bundle, precomputed."""
+
+    patient_origin: DataFrame      # patient_id, origin
+    agent_evaluations: DataFrame   # patient_id, start_time, id (V4-qualifying appointments)
+    monthly_revenue: DataFrame     # clinic_id, specialty_id, month, rev (decimal), payments
+
+
+SNAPSHOT_SCHEMAS = {
+    "patient_origin": "patient_id bigint, origin string",
+    "agent_evaluations": "id bigint, patient_id bigint, start_time timestamp_ntz",
+    "monthly_revenue": "clinic_id string, specialty_id string, month string, rev decimal(28,2), payments bigint",
+}
+
+
+def build_snapshots(spark: SparkSession, appointments: DataFrame, logs: DataFrame, payments: DataFrame,
+                    root: str, domain: Domain = DEFAULT_DOMAIN) -> KpiSnapshots:
+    """Write the three whole-history tables under `root` (a shared folder) and
+    return them read back from storage."""
+    frames = {
+        "patient_origin": kpi.first_appointment_origin(appointments),
+        "agent_evaluations": qualifying_evaluations(appointments, logs, domain).select("id", "patient_id",
+                                                                                       "start_time"),
+        "monthly_revenue": kpi.monthly_revenue(payments, "clinic_id", "specialty_id"),
+    }
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(os.path.join(root, name))
+    return KpiSnapshots(**{n: spark.read.schema(SNAPSHOT_SCHEMAS[n]).parquet(os.path.join(root, n))
+                           for n in frames})
+
+
 def _metric(df: DataFrame, metric: str, dim, value: str) -> DataFrame:
     d = F.lit(dim) if isinstance(dim, str) else dim
     return df.select(F.lit(metric).alias("metric"), d.cast("string").alias("dim"), F.col(value).cast("double").alias("value"))
@@ -29,7 +70,7 @@ def _metric(df: DataFrame, metric: str, dim, value: str) -> DataFrame:
 
 def dashboard_bundle(spark: SparkSession, req: KpiRequest, appointments: DataFrame, logs: DataFrame,
                      payments: DataFrame, allowed: list[str] | None = None,
-                     domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
+                     domain: Domain = DEFAULT_DOMAIN, snapshots: KpiSnapshots | None = None) -> DataFrame:
     if req.agent_mode not in MODES:
         raise ValueError(f"agent_mode must be one of {MODES}")
     start, end = req.bounds
@@ -53,8 +94,8 @@ def dashboard_bundle(spark: SparkSession, req: KpiRequest, appointments: DataFra
     parts.append(_metric(up, "appointments", "all", "appointments"))
     parts.append(_metric(up, "unique_patients", "all", "unique_patients"))
 
-    att = attribute_v4(pay.select("patient_id", "clinic_id", "date", "amount"),
-                       appointments, logs, domain)
+    att = attribute_v4(pay.select("patient_id", "clinic_id", "date", "amount"), appointments, logs, domain,
+                       qualifying=snapshots.agent_evaluations if snapshots else None)
     by_owner = att.groupBy("owner").agg(F.sum("amount").alias("revenue"))
     total = by_owner.agg(F.sum("revenue").alias("revenue"))  # from the per-owner aggregate: one pass
     parts.append(_metric(total, "revenue_total", "all", "revenue"))
@@ -62,10 +103,16 @@ def dashboard_bundle(spark: SparkSession, req: KpiRequest, appointments: DataFra
     chosen = total if req.agent_mode == "all" else by_owner.where(F.col("owner") == req.agent_mode)
     parts.append(_metric(chosen, "revenue", req.agent_mode, "revenue"))
 
-    bm = kpi.best_month(pay_all)
+    if snapshots:
+        monthly = apply_clinics(snapshots.monthly_revenue, clinics)
+        if req.specialty_ids:
+            monthly = monthly.where(F.col("specialty_id").isin(req.specialty_ids))
+        bm = kpi.best_month_from_monthly(monthly)
+    else:
+        bm = kpi.best_month(pay_all)
     parts.append(_metric(bm, "best_month", F.col("best_month"), "revenue"))
 
-    origins = kpi.first_appointment_origin(appointments)
+    origins = snapshots.patient_origin if snapshots else kpi.first_appointment_origin(appointments)
     parts.append(_metric(kpi.origin_mix(appts, origins), "origin", F.col("origin"), "patients"))
     parts.append(_metric(kpi.sales_split(pay, origins, domain), "sales", F.col("category"), "revenue"))
 

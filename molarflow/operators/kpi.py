@@ -37,10 +37,20 @@ def revenue(payments: DataFrame, *dims: str) -> DataFrame:
 def best_month(payments: DataFrame, *dims: str) -> DataFrame:
     """AGG3: the month with the largest confirmed revenue over the whole dataset
     (ignores the period filter); ties go to the earliest month."""
-    monthly = (confirmed_payments(payments).withColumn("month", year_month("date"))
-               .groupBy(*dims, "month").agg(F.sum("amount").alias("rev")))
-    # max over (revenue, reversed month) picks the earliest month among equal revenues
-    best = monthly.groupBy(*dims).agg(
+    return best_month_from_monthly(monthly_revenue(payments, *dims), *dims)
+
+
+def monthly_revenue(payments: DataFrame, *dims: str) -> DataFrame:
+    """Confirmed revenue per (dims, month) as an exact decimal: the small rollup
+    that best-month and monthly charts can read instead of every payment."""
+    return (confirmed_payments(payments).withColumn("month", year_month("date"))
+            .groupBy(*dims, "month").agg(F.sum("amount").alias("rev"), F.count(F.lit(1)).alias("payments")))
+
+
+def best_month_from_monthly(monthly: DataFrame, *dims: str) -> DataFrame:
+    """AGG3 over a (dims.., month, rev) rollup; ties go to the earliest month."""
+    m = monthly.groupBy(*dims, "month").agg(F.sum("rev").alias("rev"))
+    best = m.groupBy(*dims).agg(
         F.max(F.struct(F.col("rev"), (-F.regexp_replace("month", "-", "").cast("int")).alias("neg"),
                        F.col("month"))).alias("b"))
     return best.select(*dims, F.col("b.month").alias("best_month"), F.col("b.rev").cast("double").alias("revenue"))

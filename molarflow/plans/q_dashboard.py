@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from molarflow.operators.dashboard import dashboard_bundle as bundle
+from molarflow.operators.dashboard import build_snapshots, dashboard_bundle as bundle
 from molarflow.plans.oracle_views import with_views
 from molarflow.plans.params import KpiRequest
 from molarflow.plans.q_attribution import _QUALIFYING
@@ -62,3 +62,13 @@ SQL = with_views(["appointments", "appointment_logs", "payments"], """
 def dashboard_bundle(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return bundle(spark, REQ, t.appointments, t.appointment_logs, t.payments)
+
+
+@register("dashboard_bundle_snapshots", SQL, "AGG12 with whole-history inputs from snapshot tables")
+def dashboard_bundle_snapshots(spark, sf_dir):
+    """The same bundle, served from snapshot tables written first (in a fresh
+    folder under the shared checkpoint folder): same numbers as on the fly."""
+    from molarflow.streaming.ingest import new_run_dir
+    t = Tables(spark, sf_dir)
+    snaps = build_snapshots(spark, t.appointments, t.appointment_logs, t.payments, new_run_dir(spark, "snapshots"))
+    return bundle(spark, REQ, t.appointments, t.appointment_logs, t.payments, snapshots=snaps)

@@ -234,14 +234,18 @@ def _feed_rows(t):
 }), "SNK2 SNK7 STR8 STM5")
 def state_partial_merge(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    fr = _feed_rows(t)
-    old = (fr.where(F.col("ts") < F.lit(RUN_START).cast("timestamp_ntz")).groupBy("feed", "clinic_id")
-           .agg(F.max("ts").alias("last_updated_at"), F.count(F.lit(1)).alias("rows_synced_total"))
+    before = F.col("ts") < F.lit(RUN_START).cast("timestamp_ntz")
+    during = in_period("ts", RUN_START, RUN_END)
+    # one pass over the feeds gives both the prior state and this run's outcome
+    agg = (_feed_rows(t).where(before | during).groupBy("feed", "clinic_id")
+           .agg(F.max(F.when(before, F.col("ts"))).alias("last_updated_at"),
+                F.count_if(before).alias("rows_synced_total"),
+                F.count_if(during).alias("rows"), F.max(F.when(during, F.col("ts"))).alias("max_updated_at")))
+    old = (agg.where(F.col("rows_synced_total") > 0)
            .select("feed", "clinic_id", "last_updated_at",
                    F.lit(RUN_START).cast("timestamp_ntz").alias("last_run_at"), F.lit("ok").alias("last_run_status"),
                    F.lit(None).cast("string").alias("last_run_error"), "rows_synced_total"))
-    run = (fr.where(in_period("ts", RUN_START, RUN_END)).groupBy("feed", "clinic_id")
-           .agg(F.count(F.lit(1)).alias("rows"), F.max("ts").alias("max_updated_at"))
+    run = (agg.where(F.col("rows") > 0).select("feed", "clinic_id", "rows", "max_updated_at")
            .withColumn("error", F.when(F.col("clinic_id").isin(list(FAILED_CLINICS)), F.lit(ERROR_TEXT))))
     return merge.sync_state_merge(old, run, RUN_END)
 
