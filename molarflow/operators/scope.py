@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ALL = None
-
 
 def resolve_clinics(allowed: list[str] | None, requested: list[str] | None) -> list[str] | None:
     """FLT15 on request parameters: scope ∩ requested; no scope -> requested (or all)."""

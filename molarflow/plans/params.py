@@ -158,6 +158,3 @@ class KpiRequest:
     def bounds(self):
         return validate_period(self.start, self.end)
 
-
-def status_list(raw: str) -> list[int]:
-    return parse_int_list(raw)
