@@ -24,8 +24,23 @@ BASE_CONF = {
 }
 
 
+# Starting point for a large cluster (hundreds of executors, ~100 TB of feeds):
+# many initial shuffle partitions that AQE coalesces to ~128 MB each and splits
+# when skewed; scan splits of 256 MB; broadcasts only below the (measured)
+# default threshold. The shared checkpoint folder comes from the cluster.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "molarflow", extra: dict | None = None) -> SparkSession:
+              app_name: str = "molarflow", extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine's base settings.
 
     On a cluster ``master`` stays ``None`` and the launcher decides; tests pass
@@ -35,6 +50,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
