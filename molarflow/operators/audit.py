@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from molarflow.config import CONFIRMED_STATUS, DEFAULT_DOMAIN, Domain
+from molarflow.config import CONFIRMED_STATUS, DEFAULT_DOMAIN, RESCHEDULED_STATUS, Domain
 from molarflow.functions.text import parse_list
 from molarflow.operators import filters as flt
 from molarflow.operators.scope import apply_clinics, resolve_clinics
@@ -48,8 +48,14 @@ def log_events(logs: DataFrame, appointments: DataFrame, req, allowed: list[str]
     their appointment; appointment-side filters are applied before the join so
     they prune the appointment scan, log-side filters prune the log scan."""
     start, end = req.bounds
-    kind = (F.coalesce(F.col("is_reschedule"), F.lit(False)) if req.kind == "reschedule"
-            else F.col("to_status") == CONFIRMED_STATUS)
+    if req.kind == "reschedule":
+        # FLT9: the code tests the flag; the older rule texts say to_status = 3. Both exposed.
+        kind = (F.col("to_status") == RESCHEDULED_STATUS if req.reschedule_rule == "status"
+                else F.coalesce(F.col("is_reschedule"), F.lit(False)))
+    elif req.kind == "confirmation":
+        kind = F.col("to_status") == CONFIRMED_STATUS
+    else:
+        raise ValueError(f"unknown log kind {req.kind!r}")
     lg = logs.where(kind & flt.in_period("change_date", start, end))
     users = parse_list(req.user_ids)
     if users:

@@ -118,6 +118,7 @@ class LogRequest:
     start: str
     end: str
     kind: str = "confirmation"
+    reschedule_rule: str = "flag"   # "flag": is_reschedule = true (code); "status": to_status = 3 (older docs)
     clinic_ids: str = ""
     creators: str = ""
     user_ids: str = ""

@@ -153,3 +153,16 @@ ORIGIN_REQ = AppointmentRequest(start="1999-01-01", end="1999-03-01", specialty_
     ORDER BY status DESC NULLS FIRST, id ASC LIMIT 100"""), "FLT3 FLT5 SRT1 LIM1")
 def appointments_by_origin(spark, sf_dir):
     return audit.appointments_page(Tables(spark, sf_dir).appointments, ORIGIN_REQ)
+
+
+RESCH_STATUS_REQ = LogRequest(start="1997-01-01", end="1997-07-01", kind="reschedule", reschedule_rule="status",
+                              user_ids="op2, op3,op5, op6", sort_order="asc", page=1, pp=20)
+
+
+@register("audit_reschedules_by_status", with_views(["appointments", "appointment_logs"], _LOG_SELECT + """
+    WHERE l.to_status = 3 AND l.change_date >= TIMESTAMP '1997-01-01' AND l.change_date < TIMESTAMP '1997-07-01'
+      AND l.user_id IN ('op2', 'op3', 'op5', 'op6')
+    ORDER BY action_at ASC NULLS LAST, log_id ASC LIMIT 20"""), "FLT8 FLT9 (documented to_status rule) LIM1")
+def audit_reschedules_by_status(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return audit.log_events_page(t.appointment_logs, t.appointments, RESCH_STATUS_REQ)

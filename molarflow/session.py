@@ -26,8 +26,8 @@ BASE_CONF = {
 
 # Starting point for a large cluster (hundreds of executors, ~100 TB of feeds):
 # many initial shuffle partitions that AQE coalesces to ~128 MB each and splits
-# when skewed; scan splits of 256 MB; broadcasts only below the (measured)
-# default threshold. The shared checkpoint folder comes from the cluster.
+# when skewed; scan splits of 256 MB; AQE broadcasts a join side only when its
+# measured size is below 64 MB. The shared checkpoint folder comes from the cluster.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
