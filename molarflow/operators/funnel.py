@@ -57,18 +57,18 @@ def phone_stage_index(appointments: DataFrame, logs: DataFrame, payments: DataFr
          .where(F.col("phone_key").isNotNull() & F.col("created_at").isNotNull()))
     a = a.join(confirmed_ids, a["id"] == confirmed_ids["_cid"], "left")
     attended = F.col("status").isin(list(domain.attended))
-    per_patient = a.groupBy("phone_key", "patient_id").agg(
-        F.max("created_at").alias("last_created"),
-        _max_if(attended | F.coalesce(F.col("_conf"), F.lit(False))).alias("last_confirmed"),
-        _max_if(attended).alias("last_attended"))
     paid = (confirmed_payments(payments).where(in_period("date", start, end) & F.col("patient_id").isNotNull())
             .groupBy("patient_id").agg(F.max("date").alias("last_paid")))
-    pp = per_patient.join(paid, "patient_id", "left")
-    sold_until = F.when(F.col("last_paid").isNotNull(), F.least("last_created", "last_paid"))
-    return pp.groupBy("phone_key").agg(
-        F.max("last_created").alias("last_created"),
-        F.max("last_confirmed").alias("last_confirmed"),
-        F.max("last_attended").alias("last_attended"),
+    # one row per patient on the right: appointments never fan out here
+    ap = a.join(paid, "patient_id", "left")
+    # max over a patient's appointments of least(created_at, last_paid) equals
+    # least(patient's last created_at, last_paid), so the per-key maximum needs
+    # no per-(key, patient) step
+    sold_until = F.when(F.col("last_paid").isNotNull(), F.least("created_at", "last_paid"))
+    return ap.groupBy("phone_key").agg(
+        F.max("created_at").alias("last_created"),
+        _max_if(attended | F.coalesce(F.col("_conf"), F.lit(False))).alias("last_confirmed"),
+        _max_if(attended).alias("last_attended"),
         F.max(sold_until).alias("sold_until"))
 
 
