@@ -159,3 +159,31 @@ class KpiRequest:
     def bounds(self):
         return validate_period(self.start, self.end)
 
+
+DEFAULT_MIN_LEAD_CREATED_AT = "2026-04-06"  # bulk-import cut (FLT16); a request may override it
+
+
+@dataclass
+class FunnelRequest:
+    """Funnel counts / drill-down (AGG9, LIM3): period <= 92 days, bulk-import cut,
+    stage and search for the drill-down, limit 10..500 (default 100), offset >= 0."""
+
+    start: str
+    end: str
+    min_lead_created_at: str | None = DEFAULT_MIN_LEAD_CREATED_AT
+    stage: str = "leads"
+    search: str = ""
+    limit: int | None = None
+    offset: int | None = None
+
+    def __post_init__(self):
+        self.limit, self.offset = drill_params(self.limit, self.offset)
+
+    @property
+    def bounds(self):
+        return validate_period(self.start, self.end)
+
+    @property
+    def min_lead(self) -> dt.datetime | None:
+        return dt.datetime.combine(parse_day(self.min_lead_created_at), dt.time()) if self.min_lead_created_at else None
+

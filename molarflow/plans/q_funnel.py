@@ -6,9 +6,12 @@ import datetime as dt
 
 from molarflow.operators import funnel
 from molarflow.plans.oracle_views import fold_sql, phone_key_sql, with_views
+from molarflow.plans.params import FunnelRequest
 from molarflow.plans.registry import Tables, register
 
-S, E, MIN_LEAD = dt.datetime(1996, 1, 1), dt.datetime(1996, 4, 1), dt.datetime(1996, 1, 15)
+REQ = FunnelRequest(start="1996-01-01", end="1996-04-01", min_lead_created_at="1996-01-15",
+                    stage="attended", limit=50, offset=10)
+(S, E), MIN_LEAD = REQ.bounds, REQ.min_lead
 
 def funnel_ctes(start: str, end: str, min_lead: str | None) -> dict[str, str]:
     """DuckDB CTEs of the lead stage flags for one period (dates as 'YYYY-MM-DD')."""
@@ -61,11 +64,12 @@ def funnel_counts(spark, sf_dir):
 def funnel_detail_stage(spark, sf_dir):
     t = Tables(spark, sf_dir)
     st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, S, E, MIN_LEAD)
-    return funnel.funnel_detail(st, "attended", limit=50, offset=10)
+    return funnel.funnel_detail(st, REQ.stage, limit=REQ.limit, offset=REQ.offset)
 
 
-DS, DE = dt.datetime(1995, 6, 1), dt.datetime(1995, 8, 30)
-DETAIL_SEARCH = "21 0107-9193"
+SEARCH_REQ = FunnelRequest(start="1995-06-01", end="1995-08-30", min_lead_created_at=None, stage="leads",
+                           search="21 0107-9193")
+DS, DE = SEARCH_REQ.bounds
 
 
 @register("funnel_detail_search", with_views(["appointments", "appointment_logs", "payments", "leads"], f"""
@@ -78,5 +82,6 @@ DETAIL_SEARCH = "21 0107-9193"
 def funnel_detail_search(spark, sf_dir):
     """Drill-down of the 'leads' stage with a phone search (no bulk-import cut)."""
     t = Tables(spark, sf_dir)
-    st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, DS, DE, None)
-    return funnel.funnel_detail(st, "leads", search=DETAIL_SEARCH, limit=100, offset=0)
+    st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, DS, DE, SEARCH_REQ.min_lead)
+    return funnel.funnel_detail(st, SEARCH_REQ.stage, search=SEARCH_REQ.search, limit=SEARCH_REQ.limit,
+                                offset=SEARCH_REQ.offset)

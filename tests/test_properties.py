@@ -51,3 +51,17 @@ def test_funnel_invariants(spark):
     c = funnel.funnel_counts(stages).first()
     assert c.leads >= c.scheduled >= c.confirmed >= c.attended
     assert c.leads > 0
+
+
+def test_funnel_request_validation(spark):
+    import pytest
+    from molarflow.plans.params import FunnelRequest, ParamError
+    r = FunnelRequest(start="2026-04-01", end="2026-05-01", limit="5000", offset="-1")
+    assert (r.limit, r.offset) == (500, 0) and r.min_lead == dt.datetime(2026, 4, 6)
+    with pytest.raises(ParamError):
+        _ = FunnelRequest(start="2026-01-01", end="2026-06-01").bounds
+    stages = spark.createDataFrame([], "id long, account_id long, name string, phone_raw string, "
+                                       "created_at_cw timestamp_ntz, scheduled boolean, confirmed boolean, "
+                                       "attended boolean, sold boolean")
+    with pytest.raises(funnel.UnknownStage):
+        funnel.funnel_detail(stages, "paid")
