@@ -13,7 +13,7 @@ from molarflow.config import AD_ORIGIN_ATTRIBUTE, CAMPAIGN_LABEL
 from molarflow.functions.misc import attribute_present, blank_to_null, epoch_or_iso_to_ts, non_null_ids, with_label
 from molarflow.operators.filters import watermark_cut
 
-LEAD_COLUMNS = ("id", "account_id", "ecuro_clinic_id", "name", "email", "phone_raw", "identifier", "labels",
+LEAD_COLUMNS = ("id", "account_id", "erp_clinic_id", "name", "email", "phone_raw", "identifier", "labels",
                 "created_at_cw", "last_activity_at", "inbox_ids")
 
 
@@ -102,7 +102,7 @@ def lead_union(contacts: DataFrame, conversations: DataFrame | None, units: Data
         u = df if u is None else u.unionByName(df)
     cols = [c for c in u.columns if c not in ("id", "account_id")]
     win = u.groupBy("id", "account_id").agg(F.max_by(F.struct(*cols), F.col("source")).alias("_w"))
-    clinic = units.select(F.col("account_id").alias("_acc"), F.col("clinic_id").alias("ecuro_clinic_id"))
+    clinic = units.select(F.col("account_id").alias("_acc"), F.col("clinic_id").alias("erp_clinic_id"))
     out = win.select("id", "account_id", "_w.*")
     out = out.join(clinic, out["account_id"] == clinic["_acc"], "left").drop("_acc")
     return out.select(*LEAD_COLUMNS, "source")

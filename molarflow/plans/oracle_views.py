@@ -103,7 +103,7 @@ VIEWS: dict[str, str] = {
              JOIN part ON l_partkey = p_partkey""",
     "leads": f"""
         SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS account_id,
-               CAST(c_nationkey AS VARCHAR) AS ecuro_clinic_id, c_name AS name,
+               CAST(c_nationkey AS VARCHAR) AS erp_clinic_id, c_name AS name,
                'c' || CAST(c_custkey AS VARCHAR) || '@example.org' AS email,
                {phone_sql('c_custkey', 1)} AS phone_raw, CAST(NULL AS VARCHAR) AS identifier,
                ['campanha'] AS labels,

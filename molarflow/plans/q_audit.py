@@ -25,7 +25,7 @@ def appointments_page(spark, sf_dir):
 
 
 TOTAL_REQ = AppointmentRequest(start="1996-01-01", end="1996-07-01", clinic_ids="3,4,9",
-                               creators="Pedro Leão| carla  DIAS |", only_status="7", status_codes="7,8",
+                               creators="Paulo Simão| carla  DIAS |", only_status="7", status_codes="7,8",
                                origins=" Instagram ,Google", pp=7)
 TOTAL_ALLOWED = ["1", "2", "3", "4", " "]
 
@@ -36,7 +36,7 @@ TOTAL_ALLOWED = ["1", "2", "3", "4", " "]
     WHERE start_time >= TIMESTAMP '1996-01-01' AND start_time < TIMESTAMP '1996-07-01'
       AND clinic_id IN ('3','4') AND status IN (7, 8) AND status = 7
       AND patient_channel_name IN ('Instagram', 'Google')
-      AND created_by_name_norm IN ('pedro leao', 'carla dias')"""), "FLT2-6 FLT15 LIM2 MTH1")
+      AND created_by_name_norm IN ('paulo simao', 'carla dias')"""), "FLT2-6 FLT15 LIM2 MTH1")
 def appointments_page_total(spark, sf_dir):
     return audit.appointments_total(Tables(spark, sf_dir).appointments, TOTAL_REQ, allowed=TOTAL_ALLOWED)
 
@@ -86,13 +86,13 @@ def audit_confirmations(spark, sf_dir):
     return audit.log_events_page(t.appointment_logs, t.appointments, CONF_REQ)
 
 
-RESCH_REQ = LogRequest(start="1996-01-01", end="1996-07-01", kind="reschedule", creators="Pedro Leão| pedro  LEAO ",
+RESCH_REQ = LogRequest(start="1996-01-01", end="1996-07-01", kind="reschedule", creators="Paulo Simão| paulo  SIMAO ",
                        is_mc="true", origins="Instagram, Google", clinic_ids="0,1,2,3,4,5,6,7,8,9,10,11,12")
 
 
 @register("audit_reschedules", with_views(["appointments", "appointment_logs"], _LOG_SELECT + """
     WHERE l.is_reschedule AND l.change_date >= TIMESTAMP '1996-01-01' AND l.change_date < TIMESTAMP '1996-07-01'
-      AND l.user_id = 'mc' AND a.created_by_name_norm = 'pedro leao'
+      AND l.user_id = 'mc' AND a.created_by_name_norm = 'paulo simao'
       AND a.patient_channel_name IN ('Instagram', 'Google')
       AND a.clinic_id IN ('0','1','2','3','4','5','6','7','8','9','10','11','12')"""), "JOI1 PRJ4 FLT6 FLT8 FLT9")
 def audit_reschedules(spark, sf_dir):

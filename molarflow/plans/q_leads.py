@@ -56,7 +56,7 @@ UNION_CTES = {
     "un": """SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY id, account_id ORDER BY source DESC) AS rk
                 FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3) a) b WHERE rk = 1""",
-    "lu": """SELECT un.id, un.account_id, units.clinic_id AS ecuro_clinic_id, un.name, un.email, un.phone_raw,
+    "lu": """SELECT un.id, un.account_id, units.clinic_id AS erp_clinic_id, un.name, un.email, un.phone_raw,
                     un.identifier, un.labels, un.created_at_cw, un.last_activity_at, un.inbox_ids, un.source
              FROM un LEFT JOIN units ON units.account_id = un.account_id""",
 }
@@ -75,7 +75,7 @@ def leads_union_latest(spark, sf_dir):
 
 @register("leads_upsert", with_views(_UNION_VIEWS + ["leads"], """
     SELECT COALESCE(n.id, o.id) AS id, COALESCE(n.account_id, o.account_id) AS account_id,
-           CASE WHEN n.id IS NOT NULL THEN n.ecuro_clinic_id ELSE o.ecuro_clinic_id END AS ecuro_clinic_id,
+           CASE WHEN n.id IS NOT NULL THEN n.erp_clinic_id ELSE o.erp_clinic_id END AS erp_clinic_id,
            CASE WHEN n.id IS NOT NULL THEN n.name ELSE o.name END AS name,
            CASE WHEN n.id IS NOT NULL THEN n.email ELSE o.email END AS email,
            CASE WHEN n.id IS NOT NULL THEN n.phone_raw ELSE o.phone_raw END AS phone_raw,

@@ -70,7 +70,7 @@ _INC_CTES = {
 
 
 @register("stream_leads_incremental", with_views(["units", "crm_contacts"], f"""
-    SELECT f.id, f.account_id, units.clinic_id AS ecuro_clinic_id, f.name, f.email, f.phone_raw, f.identifier,
+    SELECT f.id, f.account_id, units.clinic_id AS erp_clinic_id, f.name, f.email, f.phone_raw, f.identifier,
            f.labels, f.created_at_cw, f.last_activity_at, f.inbox_ids, f.source
     FROM fin f LEFT JOIN units ON units.account_id = f.account_id""", extra=_INC_CTES),
     "STM3 FLT13 AGG16 SNK1 PRJ2 SET1")

@@ -24,7 +24,7 @@ PAYMENTS = (
 )
 
 LEADS = (
-    "id bigint, account_id bigint, ecuro_clinic_id string, name string, email string, phone_raw string, "
+    "id bigint, account_id bigint, erp_clinic_id string, name string, email string, phone_raw string, "
     "identifier string, labels array<string>, created_at_cw timestamp_ntz, last_activity_at timestamp_ntz, "
     "inbox_ids array<int>"
 )
@@ -52,7 +52,7 @@ SYNC_STATE = (
 )
 
 LEAD_SYNC_STATE = (
-    "account_id bigint, ecuro_clinic_id string, last_synced_at timestamp_ntz, last_activity_seen timestamp_ntz, "
+    "account_id bigint, erp_clinic_id string, last_synced_at timestamp_ntz, last_activity_seen timestamp_ntz, "
     "rows_synced_total bigint, last_run_status string, last_run_error string, full_refresh_at timestamp_ntz"
 )
 

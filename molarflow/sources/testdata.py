@@ -28,7 +28,7 @@ FIRST_NAMES = ("José", "Inês", "João", "Ana", "Mário", "Cecília", "André",
 
 # Invented staff names by key % 7 (null for 6): accent pair,
 # double inner space, leading space.
-CREATOR_NAMES = ("Maria Agent", "Pedro Leão", "Pedro Leao", "Carla  Dias", " Giovana", "Fábio Núñez", None)
+CREATOR_NAMES = ("Auto Agent", "Paulo Simão", "Paulo Simao", "Carla  Dias", " Bruna", "Fábio Núñez", None)
 
 LEAD_EPOCH = "1995-06-01 00:00:00"
 
@@ -166,7 +166,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         ck.alias("id"),
         F.col("c_nationkey").cast("bigint").alias("account_id"),
-        F.col("c_nationkey").cast("string").alias("ecuro_clinic_id"),
+        F.col("c_nationkey").cast("string").alias("erp_clinic_id"),
         F.col("c_name").alias("name"),
         F.concat(F.lit("c"), ck.cast("string"), F.lit("@example.org")).alias("email"),
         phone_text(ck, 1).alias("phone_raw"),

@@ -14,13 +14,13 @@ def _one(spark, col, value, ddl="x string"):
 
 
 def test_fold_name_edge_rows(spark):
-    rows = [("Pedro Leão",), ("Pedro Leao",), ("Gil  Souza",), (" Giovana",), (None,), ("ÇÉÑ  ö ",)]
+    rows = [("Paulo Simão",), ("Paulo Simao",), ("Gil  Souza",), (" Bruna",), (None,), ("ÇÉÑ  ö ",)]
     df = spark.createDataFrame(rows, "x string").select(text.fold_name("x").alias("r"))
-    assert [r.r for r in df.collect()] == ["pedro leao", "pedro leao", "gil souza", "giovana", None, "cen o"]
+    assert [r.r for r in df.collect()] == ["paulo simao", "paulo simao", "gil souza", "bruna", None, "cen o"]
 
 
 def test_fold_text_matches_column(spark):
-    for s in ["Pedro Leão", "  Fábio   Núñez ", "JOÃO", "straße"]:
+    for s in ["Paulo Simão", "  Fábio   Núñez ", "JOÃO", "straße"]:
         assert _one(spark, text.fold_name("x"), s) == text.fold_text(s)
 
 
@@ -37,7 +37,7 @@ def test_search_text_specials():
 
 def test_parse_lists():
     assert text.parse_list(" a, ,b ,") == ["a", "b"]
-    assert text.parse_list("Pedro Leão| x , y |", sep="|", fold=True) == ["pedro leao", "x , y"]
+    assert text.parse_list("Paulo Simão| x , y |", sep="|", fold=True) == ["paulo simao", "x , y"]
     assert text.parse_int_list("7, 8,abc, 4x") == [7, 8, 4]
 
 

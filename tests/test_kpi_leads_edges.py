@@ -64,7 +64,7 @@ def test_lead_union_precedence_and_mapping(spark):
     got = {r.id: r for r in ld.lead_union(contacts, convs, _units(spark)).collect()}
     assert set(got) == {7, 8, 9}
     assert got[7].source == 3 and got[7].inbox_ids == [3] and got[7].email is None  # one person, three sources
-    assert got[7].last_activity_at is None and got[7].ecuro_clinic_id == "c1"       # epoch 0 -> unknown
+    assert got[7].last_activity_at is None and got[7].erp_clinic_id == "c1"       # epoch 0 -> unknown
     assert got[8].name is None and got[8].created_at_cw is None and got[8].source == 1
     assert got[9].source == 2 and got[9].name == "Bia 2"                             # latest conversation wins
     assert got[9].created_at_cw == D(2026, 4, 1, 11) and got[9].last_activity_at == D(2026, 4, 1, 11)
