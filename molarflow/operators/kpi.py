@@ -101,8 +101,9 @@ def reschedules_two_level(appointments_in_period: DataFrame, logs_in_period: Dat
     j = (appt_rows.unionByName(log_rows).groupBy(*dims)
          .agg(F.sum("_gap").cast("bigint").alias("heuristic_reschedules"),
               F.sum("_log").cast("bigint").alias("log_reschedules")))
-    # one strategy for the whole (already aggregated, per-dimension-value) result set
-    any_logs = F.max(F.col("log_reschedules")).over(Window.partitionBy()) > 0
+    # one strategy for the whole result set: a scalar subquery over the (small,
+    # per-dimension-value) aggregate, evaluated once
+    any_logs = j.select((F.max("log_reschedules") > 0).alias("_any")).scalar()
     return (j.withColumn("strategy", F.when(any_logs, F.lit("logs")).otherwise(F.lit("heuristic")))
             .withColumn("reschedules", F.when(F.col("strategy") == "logs", F.col("log_reschedules"))
                         .otherwise(F.col("heuristic_reschedules"))))
