@@ -33,9 +33,27 @@ CREATOR_NAMES = ("Auto Agent", "Paulo Simão", "Paulo Simao", "Carla  Dias", " B
 LEAD_EPOCH = "1995-06-01 00:00:00"
 
 
+# Explicit schemas of the driver's tables the adapters read (never inferred:
+# no footer-inference job per read, and a changed file fails loudly).
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """SRC1 on the driver's layout: one parquet file per table."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """SRC1 on the driver's layout: one parquet file per table, explicit schema."""
+    reader = spark.read.schema(RAW_SCHEMAS[name]) if name in RAW_SCHEMAS else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _pick(key: Column, values: tuple, mod: int) -> Column:
