@@ -30,6 +30,10 @@ from molarflow.operators.filters import in_period, search_filter
 
 STAGES = ("leads", "scheduled", "confirmed", "attended", "sold")
 
+# Stage names as the dashboard sends them, mapped to ours.
+STAGE_ALIASES = {"leads": "leads", "agendados": "scheduled", "confirmados": "confirmed",
+                 "compareceram": "attended", "venderam": "sold"}
+
 
 class UnknownStage(ValueError):
     pass
@@ -47,13 +51,16 @@ def _max_if(cond: Column, value: str = "created_at") -> Column:
 
 
 def phone_stage_index(appointments: DataFrame, logs: DataFrame, payments: DataFrame,
-                      start: dt.datetime, end: dt.datetime, domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
+                      start: dt.datetime, end: dt.datetime, domain: Domain = DEFAULT_DOMAIN,
+                      origins: list[str] | None = None) -> DataFrame:
     """One row per phone key: latest created_at of any / confirmed / attended
     appointment, and `sold_until` = max over the key's patients of
     least(patient's last appointment created_at, patient's last paid date)."""
     confirmed_ids = (logs.where(F.col("to_status") == CONFIRMED_STATUS)
                      .select(F.col("appointment_id").alias("_cid")).distinct().withColumn("_conf", F.lit(True)))
-    a = (appointments.select("id", "patient_id", "created_at", "status", phone_key("phone").alias("phone_key"))
+    origin_ok = F.col("patient_channel_name").isin(origins) if origins else F.lit(False)
+    a = (appointments.select("id", "patient_id", "created_at", "status", phone_key("phone").alias("phone_key"),
+                             origin_ok.alias("_origin_ok"))
          .where(F.col("phone_key").isNotNull() & F.col("created_at").isNotNull()))
     a = a.join(confirmed_ids, a["id"] == confirmed_ids["_cid"], "left")
     attended = F.col("status").isin(list(domain.attended))
@@ -69,16 +76,23 @@ def phone_stage_index(appointments: DataFrame, logs: DataFrame, payments: DataFr
         F.max("created_at").alias("last_created"),
         _max_if(attended | F.coalesce(F.col("_conf"), F.lit(False))).alias("last_confirmed"),
         _max_if(attended).alias("last_attended"),
-        F.max(sold_until).alias("sold_until"))
+        F.max(sold_until).alias("sold_until"),
+        _max_if(F.col("_origin_ok")).alias("last_origin"))
 
 
 def lead_stages(leads: DataFrame, appointments: DataFrame, logs: DataFrame, payments: DataFrame,
                 start: dt.datetime, end: dt.datetime, min_lead_created_at: dt.datetime | None,
-                domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """Every period lead with boolean stage flags (JOI3 + JOI4 as equi-join on phone key)."""
+                domain: Domain = DEFAULT_DOMAIN, clinics: list[str] | None = None,
+                origins: list[str] | None = None) -> DataFrame:
+    """Every period lead with boolean stage flags (JOI3 + JOI4 as equi-join on phone key).
+    `clinics` limits leads to their clinic (FLT15; None = all, [] = none); with
+    `origins`, `origin_match` says whether a matched appointment (created at/after
+    the lead) has one of those patient origins (the drill-down's origin filter)."""
     ld = campaign_leads(leads, start, end, min_lead_created_at, domain.campaign_label)
+    if clinics is not None:
+        ld = ld.where(F.col("erp_clinic_id").isin(clinics)) if clinics else ld.where(F.lit(False))
     ld = ld.withColumn("phone_key", phone_key("phone_raw"))
-    idx = phone_stage_index(appointments, logs, payments, start, end, domain)
+    idx = phone_stage_index(appointments, logs, payments, start, end, domain, origins)
     j = ld.join(idx, "phone_key", "left")
     lc = F.col("created_at_cw")
 
@@ -87,7 +101,7 @@ def lead_stages(leads: DataFrame, appointments: DataFrame, logs: DataFrame, paym
 
     return j.select(*ld.columns, reached("last_created").alias("scheduled"),
                     reached("last_confirmed").alias("confirmed"), reached("last_attended").alias("attended"),
-                    reached("sold_until").alias("sold"))
+                    reached("sold_until").alias("sold"), reached("last_origin").alias("origin_match"))
 
 
 def funnel_counts(stages: DataFrame) -> DataFrame:
@@ -100,11 +114,16 @@ def funnel_counts(stages: DataFrame) -> DataFrame:
     return out
 
 
-def funnel_detail(stages: DataFrame, stage: str, search: str = "", limit: int = 100, offset: int = 0) -> DataFrame:
-    """LIM3: leads that reached `stage`, optional FLT7 search on name/phone, newest first."""
+def funnel_detail(stages: DataFrame, stage: str, search: str = "", limit: int = 100, offset: int = 0,
+                  by_origin: bool = False) -> DataFrame:
+    """LIM3: leads that reached `stage` (our names or the dashboard's), optional FLT7
+    search on name/phone and origin filter, newest first."""
+    stage = STAGE_ALIASES.get(stage, stage)
     if stage not in STAGES:
         raise UnknownStage(stage)
     df = stages if stage == "leads" else stages.where(F.col(stage))
+    if by_origin:
+        df = df.where(F.col("origin_match"))
     df = df.withColumn("_name_norm", fold_name("name")).withColumn(
         "_phone_digits", F.regexp_replace("phone_raw", "[^0-9]", ""))
     pred = search_filter(search, "_name_norm", "_phone_digits")

@@ -85,3 +85,24 @@ def funnel_detail_search(spark, sf_dir):
     st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, DS, DE, SEARCH_REQ.min_lead)
     return funnel.funnel_detail(st, SEARCH_REQ.stage, search=SEARCH_REQ.search, limit=SEARCH_REQ.limit,
                                 offset=SEARCH_REQ.offset)
+
+
+_ORIGIN_CTES = funnel_ctes("1995-06-01", "1995-08-30", "1995-06-01")
+_ORIGIN_CTES["ld"] += " AND erp_clinic_id IN ('1','2','3','4','5','6','7','8','9','10')"
+_ORIGIN_CTES["ap"] = _ORIGIN_CTES["ap"].replace("SELECT a.id, a.patient_id,",
+                                                "SELECT a.id, a.patient_id, a.patient_channel_name,")
+ORIGIN_PARAMS = {"start": "1995-06-01", "end": "1995-08-30", "min_lead_created_at": "1995-06-01",
+                 "stage": "leads", "origem": "Instagram, Google", "clinic_ids": "1,2,3,4,5,6,7,8,9,10",
+                 "limit": "100"}
+
+
+@register("funnel_detail_origin", with_views(["appointments", "appointment_logs", "payments", "leads"], """
+    SELECT id, account_id, name, phone_raw, created_at_cw, scheduled, confirmed, attended, sold FROM fl
+    WHERE EXISTS (SELECT 1 FROM ap WHERE ap.pk = fl.pk AND ap.created_at >= fl.created_at_cw
+                    AND ap.patient_channel_name IN ('Instagram', 'Google'))
+    ORDER BY created_at_cw DESC NULLS FIRST, id ASC, account_id ASC LIMIT 100""", extra=_ORIGIN_CTES),
+    "LIM3 FLT5 FLT15 (drill-down through the request surface)")
+def funnel_detail_origin(spark, sf_dir):
+    """The drill-down as the dashboard calls it: clinic scope, origin filter, limit."""
+    from molarflow.plans import api
+    return api.funnel_detail(Tables(spark, sf_dir), ORIGIN_PARAMS)

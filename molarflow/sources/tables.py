@@ -105,3 +105,23 @@ def work_list(units: DataFrame, feeds: Sequence[str], start: dt.datetime, end: d
 def pending_work(work: DataFrame, done: DataFrame, keys=("feed", "clinic_id", "period_start")) -> DataFrame:
     """SRC6: skip units of work the state says are done (anti-join, never a collect)."""
     return work.join(done.select(*keys).distinct(), list(keys), "left_anti")
+
+
+class LakeTables:
+    """Domain tables stored as Parquet folders under one root (feeds partitioned by
+    month / clinic as the ingest writes them), read with their explicit schemas.
+    Same attribute surface as the test adapters, so every operator and API
+    function runs on either."""
+
+    _SCHEMAS = {"leads": schemas.LEADS, "units": schemas.UNITS, "users": schemas.USERS,
+                "sync_state": schemas.SYNC_STATE, "campaign_contacts": schemas.CAMPAIGN_CONTACTS}
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in schemas.FEEDS:
+            return read_feed(self.spark, self.root, name)
+        if name in self._SCHEMAS:
+            return self.spark.read.schema(self._SCHEMAS[name]).parquet(os.path.join(self.root, name))
+        raise AttributeError(name)
