@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from molarflow.operators import audit, scope
 from molarflow.plans.oracle_views import with_views

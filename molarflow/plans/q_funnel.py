@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from molarflow.operators import funnel
 from molarflow.plans.oracle_views import fold_sql, phone_key_sql, with_views
 from molarflow.plans.params import FunnelRequest

@@ -14,9 +14,8 @@ from molarflow import schemas
 from molarflow.functions.misc import year_month
 from molarflow.operators import leads as ld
 from molarflow.plans.oracle_views import with_views
-from molarflow.plans.q_leads import UNION_CTES, _contact_lead
-from molarflow.plans.registry import REGISTRY
-from molarflow.plans.registry import Tables, register
+from molarflow.plans.q_leads import _contact_lead
+from molarflow.plans.registry import REGISTRY, Tables, register
 from molarflow.streaming import ingest
 
 
