@@ -52,9 +52,9 @@ def abs_gap_seconds(a: Column | str, b: Column | str) -> Column:
 # ---- NUL / ARR / MAP ----
 
 def blank_to_null(c: Column | str) -> Column:
-    """NUL1: '' (after trim) -> null."""
+    """NUL1: empty string -> null (as `value || null`: whitespace is a value)."""
     x = _col(c)
-    return F.when(F.trim(x) != "", x)
+    return F.when(x != "", x)
 
 
 def non_null_ids(arr: Column | str, field: str) -> Column:

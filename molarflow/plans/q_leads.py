@@ -17,7 +17,7 @@ _LEAD_COLS = ", ".join(ld.LEAD_COLUMNS)
 
 
 def _blank(x: str) -> str:
-    return f"CASE WHEN trim({x}) <> '' THEN {x} END"
+    return f"CASE WHEN {x} <> '' THEN {x} END"
 
 
 def _epoch(x: str) -> str:
