@@ -189,7 +189,7 @@ def specialty_dim(payments: DataFrame) -> DataFrame:
 
 def clinic_dim(units: DataFrame) -> DataFrame:
     """PRJ5/SRT2: clinics with regional defaulting to SP, ordered by regional then name."""
-    reg = F.coalesce(F.when(F.trim("regional") != "", F.col("regional")), F.lit(DEFAULT_REGIONAL))
+    reg = F.coalesce(F.when(F.col("regional") != "", F.col("regional")), F.lit(DEFAULT_REGIONAL))
     return (units.where(F.col("clinic_id").isNotNull())
             .select("clinic_id", "name", reg.alias("regional"))
             .orderBy(F.col("regional").asc_nulls_last(), F.col("name").asc_nulls_last(), "clinic_id"))

@@ -174,7 +174,7 @@ def specialty_dim(spark, sf_dir):
 
 
 @register("clinic_dim", with_views(["units"], """
-    SELECT clinic_id, name, COALESCE(CASE WHEN trim(regional) <> '' THEN regional END, 'SP') AS regional
+    SELECT clinic_id, name, COALESCE(CASE WHEN regional <> '' THEN regional END, 'SP') AS regional
     FROM units WHERE clinic_id IS NOT NULL"""), "PRJ5 SRT2 SRC4")
 def clinic_dim(spark, sf_dir):
     return kpi.clinic_dim(Tables(spark, sf_dir).units)
