@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -88,3 +89,42 @@ def extract_work_list(spark, sf_dir):
     done = fr.select("feed", "clinic_id",
                      (F.lit(WS).cast("timestamp_ntz") + F.make_dt_interval(days.cast("int"))).alias("period_start"))
     return src.pending_work(work, done)
+
+
+BF_START, BF_END = dt.datetime(1998, 1, 1), dt.datetime(1998, 3, 1)
+
+
+@register("backfill_landing", with_views(["appointments", "payments"], """
+    SELECT feed, clinic_id, strftime(TIMESTAMP '1998-01-01' + to_days(CAST(floor((epoch(ts)
+                 - epoch(TIMESTAMP '1998-01-01')) / 86400 / 15) * 15 AS INTEGER)), '%Y%m%d') AS period,
+           COUNT(*) AS rows
+    FROM (SELECT 'appointments' AS feed, clinic_id, start_time AS ts FROM appointments
+          UNION ALL SELECT 'payments', clinic_id, date FROM payments) x
+    WHERE ts >= TIMESTAMP '1998-01-01' AND ts < TIMESTAMP '1998-03-01'
+    GROUP BY ALL"""), "SRC5 SRC6 SNK4 (backfill landing)")
+def backfill_landing(spark, sf_dir):
+    """Backfill two months of two feeds into per-unit JSON folders in two passes
+    (the second pass skips the units the first one wrote), then count the rows
+    landed per unit by reading the landing back."""
+    from molarflow.sources.backfill import land_backfill
+    from molarflow.streaming.ingest import new_run_dir
+    t = Tables(spark, sf_dir)
+    root = new_run_dir(spark, "backfill")
+    feeds = {"appointments": (t.appointments.select("id", "clinic_id", "start_time", "status"), "start_time"),
+             "payments": (t.payments.select("id", "clinic_id", "date", "amount"), "date")}
+    # pass 1: January only; pass 2: the whole window, skipping units already landed
+    land_backfill(feeds, BF_START, dt.datetime(1998, 1, 31), root)
+    landed = None
+    for name in feeds:
+        got = (spark.read.schema("id string, clinic_id string, period string").json(os.path.join(root, name))
+               .select(F.lit(name).alias("feed"), "clinic_id", "period").distinct())
+        landed = got if landed is None else landed.unionByName(got)
+    land_backfill(feeds, BF_START, BF_END, root, done=landed.checkpoint(eager=True))
+    out = None
+    for name, ddl in (("appointments", "id bigint, start_time timestamp_ntz, status int"),
+                      ("payments", "id string, date timestamp_ntz, amount decimal(18,2)")):
+        df = (spark.read.schema(ddl + ", clinic_id string, period string").json(os.path.join(root, name))
+              .groupBy("clinic_id", "period").agg(F.count(F.lit(1)).alias("rows"))
+              .withColumn("feed", F.lit(name)))
+        out = df if out is None else out.unionByName(df)
+    return out.select("feed", "clinic_id", "period", "rows")

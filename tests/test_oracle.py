@@ -39,7 +39,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-STREAMING = {"stream_feed_upsert", "stream_leads_incremental", "stream_campaign_counts"}
+STREAMING = {"stream_feed_upsert", "stream_leads_incremental", "stream_campaign_counts", "backfill_landing",
+             "dashboard_bundle_snapshots"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))

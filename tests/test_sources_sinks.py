@@ -93,3 +93,19 @@ def test_delete_keys_rewrites_and_drops_emptied(spark, tmp_dir):
     left = sorted((r.account_id, r.id) for r in spark.read.schema(schema).parquet(root).collect())
     assert left == [(1, 2), (3, 4)]
     assert partition_values(spark, root, "account_id") == ["1", "3"]
+
+
+def test_backfill_skips_done_units(spark, tmp_dir):
+    from molarflow.sources.backfill import land_backfill
+    rows = spark.createDataFrame([(1, "1", dt.datetime(2026, 4, 2)), (2, "1", dt.datetime(2026, 4, 20)),
+                                  (3, "2", dt.datetime(2026, 4, 3))], "id long, clinic_id string, ts timestamp_ntz")
+    root = os.path.join(tmp_dir, "bf")
+    land_backfill({"f": (rows.where(F.col("id") != 2), "ts")}, dt.datetime(2026, 4, 1), dt.datetime(2026, 5, 1), root)
+    done = spark.createDataFrame([("f", "1", "20260401")], "feed string, clinic_id string, period string")
+    # unit (1, 20260401) is done: pass 2 must not rewrite it, even though its rows changed
+    changed = rows.withColumn("id", F.col("id") + 100)
+    land_backfill({"f": (changed, "ts")}, dt.datetime(2026, 4, 1), dt.datetime(2026, 5, 1), root, done=done)
+    got = sorted((r.clinic_id, r.period, r.id) for r in
+                 spark.read.schema("id long, ts timestamp_ntz, clinic_id string, period string")
+                 .json(os.path.join(root, "f")).collect())
+    assert got == [("1", "20260401", 1), ("1", "20260416", 102), ("2", "20260401", 103)]
