@@ -53,6 +53,9 @@ class Domain:
     campaign_label: str = CAMPAIGN_LABEL
     window_days: int = ATTRIBUTION_WINDOW_DAYS
     attended: tuple[int, ...] = field(default=ATTENDED_STATUSES)
+    # width of the time buckets that split a patient's attribution window
+    # (None = the window itself; smaller = finer split of very active patients)
+    asof_bucket_days: int | None = None
 
 
 DEFAULT_DOMAIN = Domain()

@@ -64,7 +64,7 @@ def _bucket(ts: Column, days: int) -> Column:
 
 
 def _asof_multi(payments: DataFrame, appts: DataFrame, rules: dict[str, tuple[Column, Column]],
-                days: int) -> DataFrame:
+                days: int, bucket_days: int | None = None) -> DataFrame:
     """For every payment row and every rule `name -> (condition, value)`, the latest
     appointment (by start_time, then id) of the same patient with start_time <=
     date that satisfies `condition`, kept only if at most `days` days older than
@@ -73,13 +73,21 @@ def _asof_multi(payments: DataFrame, appts: DataFrame, rules: dict[str, tuple[Co
     All rules share one shuffle on (patient_id, bucket) and one sort; each rule
     is one `last(..., ignorenulls)` over the same window. `appts` needs
     patient_id, start_time, id and whatever the rule columns reference.
+
+    Buckets are `bucket_days` wide (default: the window). A payment in bucket b
+    can only match appointments of buckets b - ceil(W/B) .. b, so each candidate
+    appointment is copied into its own bucket and the next ceil(W/B). Narrower
+    buckets split a very active patient into more, smaller window partitions at
+    the price of more appointment copies (payments are never copied).
     """
+    width = bucket_days or days
+    ahead = -(-days // width)
     pay_cols = payments.columns
     ev_type = "struct<t:timestamp_ntz,id:bigint,v:boolean>"
     # Payments without a patient can never match; instead of a second scan for
     # them, they get negative buckets (spread by a row hash, no appointment lives
     # there), so they neither form one hot window partition nor need a branch.
-    bucket = F.when(F.col("patient_id").isNotNull(), _bucket(F.col("date"), days)).otherwise(
+    bucket = F.when(F.col("patient_id").isNotNull(), _bucket(F.col("date"), width)).otherwise(
         -1 - F.pmod(F.xxhash64(*[F.col(c) for c in pay_cols]), F.lit(NULL_PATIENT_SPREAD)))
     pay_ev = payments.select(
         *pay_cols, F.col("date").alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_aid"),
@@ -92,7 +100,8 @@ def _asof_multi(payments: DataFrame, appts: DataFrame, rules: dict[str, tuple[Co
         *[F.when(cond, F.struct(F.col("start_time").alias("t"), F.col("id").cast("bigint").alias("id"),
                                 val.cast("boolean").alias("v"))).alias(f"_ev_{n}")
           for n, (cond, val) in rules.items()],
-        F.explode(F.array(_bucket(F.col("start_time"), days), _bucket(F.col("start_time"), days) + 1)).alias("_b"),
+        F.explode(F.sequence(_bucket(F.col("start_time"), width),
+                             _bucket(F.col("start_time"), width) + F.lit(ahead).cast("bigint"))).alias("_b"),
     ).withColumn("_kind", F.lit(0))
     ev = pay_ev.unionByName(a, allowMissingColumns=True)
     w = (Window.partitionBy("patient_id", "_b").orderBy("_t", "_kind", "_aid")
@@ -105,17 +114,20 @@ def _asof_multi(payments: DataFrame, appts: DataFrame, rules: dict[str, tuple[Co
                                    for n in rules])
 
 
-def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int) -> DataFrame:
+def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int,
+                 bucket_days: int | None = None) -> DataFrame:
     """Single-rule form of `_asof_multi` (every row of `appts` qualifies)."""
-    return _asof_multi(payments, appts, {"r": (F.lit(True), value)}, days).withColumnRenamed("_asof_r", "_asof")
+    return _asof_multi(payments, appts, {"r": (F.lit(True), value)}, days, bucket_days) \
+        .withColumnRenamed("_asof_r", "_asof")
 
 
 def attribute_v4(payments: DataFrame, appointments: DataFrame | None, logs: DataFrame | None,
-                 domain: Domain = DEFAULT_DOMAIN, qualifying: DataFrame | None = None) -> DataFrame:
+                 domain: Domain = DEFAULT_DOMAIN, qualifying: DataFrame | None = None,
+                 bucket_days: int | None = None) -> DataFrame:
     """JOI5: payments + `is_agent` + `owner` ('agent' / 'operators'). `qualifying`
     (patient_id, start_time, id) may come precomputed (a snapshot table)."""
     q = qualifying if qualifying is not None else qualifying_evaluations(appointments, logs, domain)
-    flagged = _asof_latest(payments, q, F.lit(True), domain.window_days)
+    flagged = _asof_latest(payments, q, F.lit(True), domain.window_days, bucket_days or domain.asof_bucket_days)
     is_agent = F.col("_asof").isNotNull()
     return flagged.withColumn("is_agent", is_agent).withColumn("owner", owner_label(is_agent)).drop("_asof")
 
@@ -129,7 +141,7 @@ def attribute_v2(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     attended = appointments.where(F.col("status").isin(list(domain.attended))
                                   & F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
     touched = with_agent_touch(attended.select("id", "patient_id", "start_time", "channel_id"), logs, domain)
-    flagged = _asof_latest(payments, touched, F.col("agent_touched"), domain.window_days)
+    flagged = _asof_latest(payments, touched, F.col("agent_touched"), domain.window_days, domain.asof_bucket_days)
     owner = (F.when(F.col("_asof").isNull(), F.lit("unattributed"))
              .when(F.col("_asof.v"), F.lit("agent")).otherwise(F.lit("operators")))
     return flagged.withColumn("owner", owner).drop("_asof")
@@ -142,7 +154,7 @@ def attribute_v3(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     base = appointments.where(F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
     touched = with_agent_touch(base.select("id", "patient_id", "start_time", "channel_id"), logs, domain) \
         .where(F.col("agent_touched"))
-    flagged = _asof_latest(payments, touched, F.lit(True), domain.window_days)
+    flagged = _asof_latest(payments, touched, F.lit(True), domain.window_days, domain.asof_bucket_days)
     return flagged.withColumn("owner", owner_label(F.col("_asof").isNotNull())).drop("_asof")
 
 
@@ -181,7 +193,7 @@ def attribute_window_rules(payments: DataFrame, appointments: DataFrame, logs: D
         "v4": (attended & (F.col("speciality_id") == domain.eval_specialty_id) & F.col("agent_touched"),
                F.lit(True)),
     }
-    f = _asof_multi(payments, touched, rules, domain.window_days)
+    f = _asof_multi(payments, touched, rules, domain.window_days, domain.asof_bucket_days)
     v2 = (F.when(F.col("_asof_v2").isNull(), F.lit("unattributed"))
           .when(F.col("_asof_v2.v"), F.lit("agent")).otherwise(F.lit("operators")))
     return (f.withColumn("owner_v2", v2)

@@ -65,3 +65,21 @@ def test_funnel_request_validation(spark):
                                        "attended boolean, sold boolean")
     with pytest.raises(funnel.UnknownStage):
         funnel.funnel_detail(stages, "paid")
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(appt_st, max_size=20), st.lists(pay_st, min_size=1, max_size=20), st.sampled_from([1, 4, 7, 30, 45]))
+def test_v4_any_bucket_width_equals_brute_force(spark, appts, pays, width):
+    """Narrower buckets (more appointment copies, smaller hot partitions) give the same answer."""
+    a_rows = [(i, p, BASE + dt.timedelta(minutes=m), 7 if q else 5, "eval", "mc_channel")
+              for i, (p, m, q) in enumerate(appts)]
+    p_rows = [(f"p{i}", p, "1", BASE + dt.timedelta(minutes=m), Decimal("1.00")) for i, (p, m) in enumerate(pays)]
+    a = spark.createDataFrame(a_rows, "id long, patient_id long, start_time timestamp_ntz, status int, "
+                                      "speciality_id string, channel_id string")
+    p = spark.createDataFrame(p_rows, "id string, patient_id long, clinic_id string, date timestamp_ntz, "
+                                      "amount decimal(18,2)")
+    lg = spark.createDataFrame([], "id string, appointment_id long, user_id string, to_status int")
+    got = {r.id: r.is_agent for r in att.attribute_v4(p, a, lg, bucket_days=width).collect()}
+    want = {pid: pat is not None and any(ap == pat and s_ == 7 and d - W <= t <= d for _, ap, t, s_, _, _ in a_rows)
+            for pid, pat, _, d, _ in p_rows}
+    assert got == want
