@@ -68,5 +68,6 @@ def campaign_counts_ingest(spark: SparkSession, base: str, conversation_schema:
     body = campaign_counts_writer(base, units, label)
     for d in deliveries:
         land(d, landing)
-        run_available(spark, landing, conversation_schema, ckpt, body)
+        run_available(spark, landing, conversation_schema, ckpt, body,
+                      quarantine_dir=os.path.join(base, "quarantine"))
     return spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(base, "counts"))

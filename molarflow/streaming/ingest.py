@@ -89,13 +89,27 @@ def monthly_upsert_writer(table_path: str, schema: str, keys: Sequence[str], dat
 
 
 def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint: str,
-                  body: Callable[[DataFrame, int], None], max_files: int | None = None) -> None:
-    """Process every landed file not yet processed, then stop (STM1)."""
-    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
+                  body: Callable[[DataFrame, int], None], max_files: int | None = None,
+                  quarantine_dir: str | None = None, id_col: str = "id") -> None:
+    """Process every landed file not yet processed, then stop (STM1).
+
+    SRC2 rules: blank lines are skipped by the reader; a line that does not parse,
+    or has no id, goes to `quarantine_dir` (JSON, with the raw line) when given,
+    and never reaches the merge."""
+    reader = (spark.readStream.schema(schema + ", _corrupt_record string")
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.json(landing_dir)
-    q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+
+    def split(batch: DataFrame, epoch_id: int) -> None:
+        bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull()
+        if quarantine_dir:
+            (batch.where(bad).withColumnRenamed("_corrupt_record", "raw_line")
+             .withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(quarantine_dir))
+        body(batch.where(~bad).drop("_corrupt_record"), epoch_id)
+
+    q = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -107,7 +121,7 @@ def feed_ingest(spark: SparkSession, base: str, schema: str, keys: Sequence[str]
     body = monthly_upsert_writer(table, schema, keys, date_col)
     for d in deliveries:
         land(d, landing)
-        run_available(spark, landing, schema, ckpt, body)
+        run_available(spark, landing, schema, ckpt, body, quarantine_dir=os.path.join(base, "quarantine"))
     return spark.read.schema(schema + ", month string").parquet(table)
 
 
@@ -145,7 +159,7 @@ def lead_ingest(spark: SparkSession, base: str, contact_schema: str, lead_schema
     body = lead_watermark_writer(leads_path, state_path, lead_schema, to_leads)
     for d in deliveries:
         land(d, landing)
-        run_available(spark, landing, contact_schema, ckpt, body)
+        run_available(spark, landing, contact_schema, ckpt, body, quarantine_dir=os.path.join(base, "quarantine"))
     return spark.read.schema(lead_schema).parquet(leads_path)
 
 

@@ -34,13 +34,16 @@ def test_redelivery_is_idempotent_and_last_wins(spark, tmp_dir):
     assert _canon(out) == _canon(flipped)
 
 
-def test_malformed_landing_lines_are_dropped(spark, tmp_dir):
+def test_malformed_landing_lines_are_quarantined(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     os.makedirs(landing)
     with open(os.path.join(landing, "part-0.json"), "w") as f:
         f.write('{"id": "a", "patient_id": 1, "clinic_id": "1", "date": "2026-04-01T00:00:00", "amount": 1.5, '
-                '"is_confirmed": true}\n\nnot json\n')
-    table = os.path.join(tmp_dir, "table")
+                '"is_confirmed": true}\n\nnot json\n{"patient_id": 2, "clinic_id": "1"}\n')
+    table, quarantine = os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "quarantine")
     body = ingest.monthly_upsert_writer(table, schemas.PAYMENTS, ["id"], "date")
-    ingest.run_available(spark, landing, schemas.PAYMENTS, os.path.join(tmp_dir, "ckpt"), body)
+    ingest.run_available(spark, landing, schemas.PAYMENTS, os.path.join(tmp_dir, "ckpt"), body,
+                         quarantine_dir=quarantine)
     assert [r.id for r in spark.read.parquet(table).collect()] == ["a"]
+    bad = spark.read.json(quarantine).collect()
+    assert len(bad) == 2 and any(r.raw_line == "not json" for r in bad)
