@@ -114,7 +114,7 @@ def funnel_detail(src, params: Mapping[str, str], allowed: list[str] | None = No
 
 def lookups(spark: SparkSession, src, allowed: list[str] | None = None) -> dict[str, DataFrame]:
     """Dimension lists for the filters: clinics in scope, statuses, specialties."""
-    clinics = kpi.clinic_dim(apply_clinics(src.units, allowed)).select(
+    clinics = kpi.clinic_dim(apply_clinics(src.units, resolve_clinics(allowed, None))).select(
         F.col("clinic_id").alias("id"), "name", "regional")
     specialties = kpi.specialty_dim(src.payments).orderBy("sort_key", "specialty_id").select(
         F.col("specialty_id").alias("id"), F.col("specialty_name").alias("name"))
@@ -130,9 +130,10 @@ def data(src, table: str, select=None, filters=(), order=(), offset: int = 0, li
     logs (no clinic column) are scoped through their appointment."""
     if table not in ALLOWED_TABLES:
         raise ParamError(f"table {table!r} not allowed")
-    frames = {"appointments": apply_clinics(src.appointments, allowed),
-              "payments": apply_clinics(src.payments, allowed)}
+    scope = resolve_clinics(allowed, None)
+    frames = {"appointments": apply_clinics(src.appointments, scope),
+              "payments": apply_clinics(src.payments, scope)}
     logs = src.appointment_logs
-    frames["appointment_logs"] = (logs if allowed is None
+    frames["appointment_logs"] = (logs if scope is None
                                   else scoped_by_appointment(logs, frames["appointments"]))
     return scan(frames, table, select=select, filters=filters, order=order, offset=offset, limit=limit)
