@@ -45,13 +45,31 @@ def _read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _existing_partitions(spark: SparkSession, root: str, parts: Sequence[str]) -> set[str]:
+    """Relative paths `c1=v1/c2=v2` of the partition folders present, from one glob
+    call (not one existence check per partition)."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(os.path.join(root, *[f"{c}=*" for c in parts]))
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    out = set()
+    for st in found:
+        p, names = st.getPath(), []
+        for _ in parts:
+            names.append(p.getName())
+            p = p.getParent()
+        out.add(os.path.join(*reversed(names)))
+    return out
+
+
 def _read_partitions(spark: SparkSession, root: str, schema: str, parts: Sequence[str],
                      values: Sequence[tuple]) -> DataFrame:
     """Read only the given partition folders of a Hive-style partitioned table
     (partition values are plain ids and yyyy-MM months, no escaping needed)."""
-    paths = [os.path.join(root, *[f"{c}={v}" for c, v in zip(parts, t)]) for t in values
-             if all(v is not None for v in t)]
-    paths = [p for p in paths if path_exists(spark, p)]
+    wanted = {os.path.join(*[f"{c}={v}" for c, v in zip(parts, t)]) for t in values
+              if all(v is not None for v in t)}
+    existing = _existing_partitions(spark, root, parts)
+    paths = [os.path.join(root, rel) for rel in sorted(wanted & existing)]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
