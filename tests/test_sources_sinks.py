@@ -109,3 +109,18 @@ def test_backfill_skips_done_units(spark, tmp_dir):
                  spark.read.schema("id long, ts timestamp_ntz, clinic_id string, period string")
                  .json(os.path.join(root, "f")).collect())
     assert got == [("1", "20260401", 1), ("1", "20260416", 102), ("2", "20260401", 103)]
+
+
+def test_cluster_profile_keys_are_valid_sql_confs(spark):
+    from molarflow.session import CLUSTER_CONF
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)          # raises for unknown / non-modifiable keys
+            assert spark.conf.get(k) is not None
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
