@@ -45,9 +45,9 @@ MAX_FEATURES = 2048
 MIN_DOCUMENTS = 6
 LIFT = 2.5
 Z = 5.0
-STEPS = 400
+STEPS = 1000
 RATE = 0.1
-DECAY = 1e-3
+DECAY = 1e-5
 TOXIC_FROM = 0.7
 NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -141,7 +141,8 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.nda
         return np.append(x.T @ slope, slope.sum()) / len(x)
 
     for step in range(1, STEPS + 1):
-        p, u = (_sigmoid(x @ w[:-1] + w[-1]) for x in (x_pos, x_unl))
+        w32 = w[:-1].astype(np.float32)
+        p, u = (_sigmoid(x @ w32 + w[-1]) for x in (x_pos, x_unl))
         on_negatives = -np.log(1 - u + 1e-12).mean() + prior * np.log(1 - p + 1e-12).mean()
         negative = grad(x_unl, u.astype(np.float32)) - prior * grad(x_pos, p.astype(np.float32))
         if on_negatives >= 0:
