@@ -39,8 +39,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from molarflow.llm.common import crc_bucket, whole_row
 
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 6000
 MAX_FEATURES = 2048
 MIN_DOCUMENTS = 6
 LIFT = 2.5
@@ -82,21 +82,21 @@ def _collapse(texts: list[str]) -> list[str]:
 
 def select_ngrams(positive: list[str], unlabelled: list[str]) -> list[str]:
     """The n-grams that mark the positives, strongest first."""
-    cache: dict[str, set[str]] = {}
-
-    def count(texts: list[str], allowed: set[str] | None = None) -> Counter:
-        c: Counter = Counter()
-        for t in texts:
-            grams: set[str] = set()
-            for w in set(t.split()):
-                if w not in cache:
-                    cache[w] = ngrams_of(w)
-                grams |= cache[w]
-            c.update(grams if allowed is None else grams & allowed)
-        return c
-
-    pos = {g: n for g, n in count(positive).items() if n >= MIN_DOCUMENTS}
-    unl = count(unlabelled, set(pos))
+    counts: Counter = Counter()
+    for t in positive:
+        counts.update({g for w in set(t.split()) for g in ngrams_of(w)})
+    pos = {g: n for g, n in counts.items() if n >= MIN_DOCUMENTS}
+    del counts
+    known: dict[str, tuple[str, ...]] = {}  # per word only the n-grams that may be chosen
+    unl: Counter = Counter()
+    for t in unlabelled:
+        grams: set[str] = set()
+        for w in set(t.split()):
+            mine = known.get(w)
+            if mine is None:
+                mine = known[w] = tuple(g for g in ngrams_of(w) if g in pos)
+            grams.update(mine)
+        unl.update(grams)
     n_pos, n_unl = len(positive), len(unlabelled)
     scored = []
     for g, n in pos.items():
