@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from molarflow.llm import lines, packing, quality, simhash, toxicity
+from molarflow.llm import lines, packing, quality, simhash, toxicity, urlrules, warc
 from molarflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,54 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_recurring(table(spark, sf_dir, "documents"), n_dropped="n_dropped").select("doc_id", "n_dropped", "text")
 
 
+#: Fixed rules of the query (action, host/path).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/")]
+
+
+@query
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf_dir, "pages"), urlrules.rule_table(spark, URL_RULES))
+
+
+SQL["op6_url_filters"] = r"""
+WITH rules(action, rule) AS (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'),
+                                    ('block', 'net/es/'), ('block', 'net/fr/')
+), r AS (
+  SELECT action, rule, split_part(rule, '/', 1) AS rh, substr(rule, length(split_part(rule, '/', 1)) + 1) AS rp FROM rules
+), u AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT rid, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), fit AS (
+  SELECT rid, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN fit USING (rid)
+"""
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+SQL["op8_warc"] = r"""
+WITH p AS (
+  SELECT row_number() OVER (ORDER BY page_id) AS rid, page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+), g AS (
+  SELECT *, first_value(page_id) OVER w AS top, row_number() OVER w AS k
+  FROM p WINDOW w AS (PARTITION BY d ORDER BY page_id DESC, rid DESC)
+)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND k > 1 THEN top END AS refers_to
+FROM g
+"""
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
