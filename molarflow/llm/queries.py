@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from molarflow.llm import lines, packing, quality, simhash, toxicity, urlrules, warc
+from molarflow.llm import fingerprint, lines, packing, quality, simhash, toxicity, urlrules, warc
 from molarflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
                                     AND word_length <= hw AND word_length >= lw, true) AS kept
 FROM f LEFT JOIN lim ON f.lang IS NOT DISTINCT FROM lim.lang AND f.source IS NOT DISTINCT FROM lim.source
 """
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
