@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from molarflow.llm import fingerprint, lines, packing, quality, simhash, toxicity, urlrules, warc
+from molarflow.llm import bpe, fingerprint, langid, lines, packing, quality, simhash, toxicity, urlrules, warc
 from molarflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.label_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary))
+
+
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_recurring(table(spark, sf_dir, "documents"), n_dropped="n_dropped").select("doc_id", "n_dropped", "text")
