@@ -83,7 +83,8 @@ def lead_union(contacts: DataFrame, conversations: DataFrame | None, units: Data
                watermarks: DataFrame | None = None) -> DataFrame:
     """SET1: tagged contacts (rank 1), senders of tagged conversations (rank 2),
     ad-origin contacts (rank 3); on (id, account_id) conflict the higher rank
-    wins, as the reference writes the sources in that order. FLT13 cuts each
+    wins, as the sources are written in that order, and inside a source the row with
+    the latest activity, then creation. FLT13 cuts each
     source at its own activity column when a cutoff (one instant) or per-account
     `watermarks` (account_id, last_activity_seen) are given (incremental run)."""
     tagged = contacts.where(F.array_contains("labels", label))
@@ -101,7 +102,7 @@ def lead_union(contacts: DataFrame, conversations: DataFrame | None, units: Data
             df = _cut_per_account(df, watermarks, *cols)
         u = df if u is None else u.unionByName(df)
     cols = [c for c in u.columns if c not in ("id", "account_id")]
-    win = u.groupBy("id", "account_id").agg(F.max_by(F.struct(*cols), F.col("source")).alias("_w"))
+    win = u.groupBy("id", "account_id").agg(F.max_by(F.struct(*cols), F.struct("source", "last_activity_at", "created_at_cw")).alias("_w"))
     clinic = units.select(F.col("account_id").alias("_acc"), F.col("clinic_id").alias("erp_clinic_id"))
     out = win.select("id", "account_id", "_w.*")
     out = out.join(clinic, out["account_id"] == clinic["_acc"], "left").drop("_acc")

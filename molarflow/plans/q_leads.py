@@ -38,21 +38,28 @@ def _contact_lead(src: int, where: str) -> str:
                FROM crm_contacts WHERE {where}"""
 
 
-UNION_CTES = {
-    "s1": _contact_lead(1, "list_contains(labels, 'campanha')"),
-    "s3": _contact_lead(3, "ad_origin IS NOT NULL AND trim(ad_origin) <> ''"),
-    "cv": f"""SELECT *, {_CONV_CREATED} AS created_ts FROM crm_conversations
-              WHERE list_contains(labels, 'campanha') AND sender_id IS NOT NULL AND sender_id <> 0""",
-    "cv2": f"""SELECT *, COALESCE({_epoch('last_activity_at')}, created_ts) AS last_ts,
+def _conversation_ctes(suffix: str, where: str) -> dict[str, str]:
+    """CTEs cv, cv2 and s2 (+ suffix): leads of the tagged conversations that satisfy `where`."""
+    return {
+        f"cv{suffix}": f"""SELECT *, {_CONV_CREATED} AS created_ts FROM crm_conversations
+              WHERE list_contains(labels, 'campanha') AND sender_id IS NOT NULL AND sender_id <> 0 AND {where}""",
+        f"cv2{suffix}": f"""SELECT *, COALESCE({_epoch('last_activity_at')}, created_ts) AS last_ts,
                       row_number() OVER (PARTITION BY account_id, sender_id
                                          ORDER BY COALESCE({_epoch('last_activity_at')}, created_ts) DESC NULLS LAST,
                                                   id DESC) AS rn
-               FROM cv""",
-    "s2": f"""SELECT sender_id AS id, account_id, {_blank('sender_name')} AS name, {_blank('sender_email')} AS email,
+               FROM cv{suffix}""",
+        f"s2{suffix}": f"""SELECT sender_id AS id, account_id, {_blank('sender_name')} AS name, {_blank('sender_email')} AS email,
                      {_blank('sender_phone')} AS phone_raw, {_blank('sender_identifier')} AS identifier,
                      ['campanha'] AS labels, created_ts AS created_at_cw, last_ts AS last_activity_at,
                      {_INBOX} AS inbox_ids, 2 AS source
-              FROM cv2 WHERE rn = 1""",
+              FROM cv2{suffix} WHERE rn = 1""",
+    }
+
+
+UNION_CTES = {
+    "s1": _contact_lead(1, "list_contains(labels, 'campanha')"),
+    "s3": _contact_lead(3, "ad_origin IS NOT NULL AND trim(ad_origin) <> ''"),
+    **_conversation_ctes("", "TRUE"),
     "un": """SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY id, account_id ORDER BY source DESC) AS rk
                 FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3) a) b WHERE rk = 1""",

@@ -20,30 +20,34 @@ from molarflow.functions.text import truncate
 
 
 def upsert(stored: DataFrame, batch: DataFrame, keys: Iterable[str], preserve: Iterable[str] = (),
-           batch_col: str | None = None, ordinal_col: str | None = None) -> DataFrame:
+           batch_col: str | None = None, ordinal_col: str | None = None, order: Column | None = None) -> DataFrame:
     """SNK1 (+ SNK3 `preserve`, WIN3, WIN4): insert new keys, overwrite every payload
     column of existing keys with the batch's row. Columns in `preserve` keep the
     stored value when the key already existed (insert-only columns).
 
     `batch_col` orders several batches inside `batch` (higher = later);
-    `ordinal_col` orders rows inside one batch (lower = first, and first wins).
+    `ordinal_col` orders rows inside one batch (lower = first, and first wins);
+    `order` replaces both by any sortable expression over the batch (largest wins).
     Rows with a null key are dropped, as the backfill paths do.
     """
     keys, preserve = list(keys), list(preserve)
     payload = [c for c in stored.columns if c not in keys]
-    s = stored.select(*keys, *payload, F.lit(-1).cast("bigint").alias("_b"), F.lit(0).cast("bigint").alias("_o"))
+    if order is None:
+        order = F.struct((F.col(batch_col) if batch_col else F.lit(0)).cast("bigint").alias("b"),
+                         (-F.col(ordinal_col) if ordinal_col else F.lit(0)).cast("bigint").alias("o"))
+    none = F.lit(None).cast(batch.select(order.alias("_o")).schema["_o"].dataType)
+    s = stored.select(*keys, *payload, F.lit(False).alias("_new"), none.alias("_o"))
     b = batch.select(
         *keys, *[F.col(c) if c in batch.columns else F.lit(None).cast(stored.schema[c].dataType).alias(c)
                  for c in payload],
-        (F.col(batch_col).cast("bigint") if batch_col else F.lit(0).cast("bigint")).alias("_b"),
-        (F.col(ordinal_col).cast("bigint") if ordinal_col else F.lit(0).cast("bigint")).alias("_o"))
+        F.lit(True).alias("_new"), order.alias("_o"))
     u = s.unionByName(b)
     for k in keys:
         u = u.where(F.col(k).isNotNull())
-    order = F.struct(F.col("_b"), (-F.col("_o")).alias("_no"))
-    aggs = [F.max_by(F.struct(*payload), order).alias("_w")]
+    rank = F.struct("_new", "_o")  # a stored row loses to any new one
+    aggs = [F.max_by(F.struct(*payload), rank).alias("_w")]
     for c in preserve:
-        aggs.append(F.min_by(F.struct(F.col(c).alias("v")), order).alias(f"_p_{c}"))
+        aggs.append(F.min_by(F.struct(F.col(c).alias("v")), rank).alias(f"_p_{c}"))
     g = u.groupBy(*keys).agg(*aggs)
     cols = [F.col(k) for k in keys]
     for c in payload:

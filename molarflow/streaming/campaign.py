@@ -2,11 +2,10 @@
 
 Streaming aggregation cannot count distinct values, and an approximate sketch
 would not match the batch numbers, so the twin keeps its state as data: a
-table of distinct (clinic, month, contact) and (clinic, month, conversation)
-keys, partitioned by (year_month, clinic_id). Each micro-batch merges its keys
-into the touched partitions only and recomputes the counts of exactly those
-(clinic, month) cells, so re-delivered conversations never double count and
-the result equals the batch `campaign_contacts` at every point.
+versioned table of distinct (clinic, month, contact) and (clinic, month,
+conversation) keys. Each micro-batch upserts its keys into the slices of its
+clinics only, so re-delivered conversations never double count, and the counts
+read from the table equal the batch `campaign_contacts` at every point.
 """
 
 from __future__ import annotations
@@ -19,22 +18,24 @@ from pyspark.sql import functions as F
 
 from molarflow.config import CAMPAIGN_LABEL
 from molarflow.functions.misc import epoch_or_iso_to_ts
-from molarflow.session import ensure_checkpoint_dir
-from molarflow.streaming.ingest import _read_partitions, land, run_available
+from molarflow.sinks.versioned import VersionedTable
+from molarflow.streaming.ingest import land, run_available
 
 KEYS_SCHEMA = "kind string, key bigint, clinic_id string, year_month string"
-COUNTS_SCHEMA = "contacts_count bigint, conversations_count bigint, campaign_tag string, clinic_id string, year_month string"
 PARTS = ["year_month", "clinic_id"]
 
 
+def keys_table(spark: SparkSession, root: str) -> VersionedTable:
+    """The distinct keys; a slice holds all keys of one clinic and month, so a batch rewrites only its own."""
+    return VersionedTable(spark, os.path.join(root, "keys"), KEYS_SCHEMA, ["kind", "key", *PARTS], None, "clinic_id")
+
+
 def campaign_counts_writer(root: str, units: DataFrame, label: str = CAMPAIGN_LABEL
                            ) -> Callable[[DataFrame, int], None]:
-    keys_path, counts_path = os.path.join(root, "keys"), os.path.join(root, "counts")
     clinic = units.select("account_id", "clinic_id")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        ensure_checkpoint_dir(spark)
+        table = keys_table(batch.sparkSession, root)
         c = (batch.where(F.array_contains("labels", label))
              .select("account_id", F.col("id").alias("conv_id"),
                      F.date_format(epoch_or_iso_to_ts("created_at"), "yyyy-MM").alias("year_month"),
@@ -44,19 +45,7 @@ def campaign_counts_writer(root: str, units: DataFrame, label: str = CAMPAIGN_LA
         new_keys = (c.select(F.lit("contact").alias("kind"), F.col("contact").alias("key"), *PARTS)
                     .unionByName(c.select(F.lit("conversation").alias("kind"), F.col("conv_id").alias("key"), *PARTS))
                     .where(F.col("key").isNotNull()))
-        touched = [tuple(r) for r in new_keys.select(*PARTS).distinct().collect()]
-        if not touched:
-            return
-        old = _read_partitions(spark, keys_path, KEYS_SCHEMA, PARTS, touched)
-        keys = old.unionByName(new_keys).distinct().checkpoint(eager=True)
-        (keys.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTS).parquet(keys_path))
-        counts = (keys.groupBy(*PARTS)
-                  .agg(F.count_if(F.col("kind") == "contact").alias("contacts_count"),
-                       F.count_if(F.col("kind") == "conversation").alias("conversations_count"))
-                  .withColumn("campaign_tag", F.lit(label)))
-        (counts.hint("rebalance", *PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PARTS).parquet(counts_path))
+        table.upsert(new_keys, order=F.lit(1))
 
     return write
 
@@ -70,4 +59,7 @@ def campaign_counts_ingest(spark: SparkSession, base: str, conversation_schema:
         land(d, landing)
         run_available(spark, landing, conversation_schema, ckpt, body,
                       quarantine_dir=os.path.join(base, "quarantine"))
-    return spark.read.schema(COUNTS_SCHEMA).parquet(os.path.join(base, "counts"))
+    return (keys_table(spark, base).read().groupBy(*PARTS)
+            .agg(F.count_if(F.col("kind") == "contact").alias("contacts_count"),
+                 F.count_if(F.col("kind") == "conversation").alias("conversations_count"))
+            .withColumn("campaign_tag", F.lit(label)))

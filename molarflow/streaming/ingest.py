@@ -18,14 +18,23 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
-from molarflow.functions.misc import year_month
+from molarflow import schemas
+from molarflow.config import CAMPAIGN_LABEL
+from molarflow.functions.misc import epoch_or_iso_to_ts
+from molarflow.functions.text import fold_name, phone_digits
 from molarflow.session import ensure_checkpoint_dir
-from molarflow.sinks.merge import upsert
+from molarflow.operators.leads import seen_ids, stale_leads
+from molarflow.sinks.versioned import VersionedTable
+
+#: Files of one micro-batch at most, so that a backlog is many bounded batches.
+MAX_FILES = 1000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -35,97 +44,74 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def land(df: DataFrame, landing_dir: str) -> None:
-    """Deliver one pull into the landing directory as new JSON-lines files."""
-    df.write.mode("append").json(landing_dir)
+    """Deliver one pull as new JSON-lines files in a folder of its own, numbered by time."""
+    df.write.json(os.path.join(landing_dir, f"pull-{time.time_ns():020d}"))
 
 
-def _read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+def delivery_order() -> Column:
+    """Which of several rows of a key wins (largest): the later pull; inside a pull the first
+    row (files by part number, then place in the file). Without a numbered pull folder the
+    file's modification time stands in for the pull."""
+    part = F.regexp_extract("_file", r"part-(\d+)", 1)
+    return F.struct("_pull", (-F.when(part != "", part.cast("bigint")).otherwise(0)).alias("part"), (-F.col("_ord")).alias("row"))
 
 
-def _existing_partitions(spark: SparkSession, root: str, parts: Sequence[str]) -> set[str]:
-    """Relative paths `c1=v1/c2=v2` of the partition folders present, from one glob
-    call (not one existence check per partition)."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(os.path.join(root, *[f"{c}=*" for c in parts]))
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    out = set()
-    for st in found:
-        p, names = st.getPath(), []
-        for _ in parts:
-            names.append(p.getName())
-            p = p.getParent()
-        out.add(os.path.join(*reversed(names)))
-    return out
-
-
-def _read_partitions(spark: SparkSession, root: str, schema: str, parts: Sequence[str],
-                     values: Sequence[tuple]) -> DataFrame:
-    """Read only the given partition folders of a Hive-style partitioned table
-    (partition values are plain ids and yyyy-MM months, no escaping needed)."""
-    wanted = {os.path.join(*[f"{c}={v}" for c, v in zip(parts, t)]) for t in values
-              if all(v is not None for v in t)}
-    existing = _existing_partitions(spark, root, parts)
-    paths = [os.path.join(root, rel) for rel in sorted(wanted & existing)]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+def with_normalised(df: DataFrame) -> DataFrame:
+    """The search columns of appointments, derived from the columns they normalise."""
+    for source, target, fn in (("created_by_name", "created_by_name_norm", fold_name),
+                               ("patient_name", "patient_name_norm", fold_name), ("phone", "phone_norm", phone_digits)):
+        if target in df.columns and source in df.columns:
+            df = df.withColumn(target, fn(source))
+    return df
 
 
 def monthly_upsert_writer(table_path: str, schema: str, keys: Sequence[str], date_col: str,
-                          preserve: Sequence[str] = (), unit_col: str | None = "clinic_id"
-                          ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: upsert the batch into a Parquet table partitioned by
-    (month, unit). Pulls are per clinic and period, so a micro-batch touches a
-    few (month, clinic) partitions; only those are read back (partition
-    pruning) and rewritten (dynamic overwrite). Keys must not move between
-    units or months (ids are stable per clinic and date in the feeds)."""
-    parts = ["month"] + ([unit_col] if unit_col else [])
-    full_schema = schema + ", month string"
-
+                          unit_col: str | None = "clinic_id") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: upsert the batch into the versioned table at `table_path`."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        ensure_checkpoint_dir(spark)
-        b = (batch.withColumn("month", year_month(date_col))
-             .withColumn("_batch", F.lit(epoch_id).cast("bigint"))
-             .withColumn("_ord", F.monotonically_increasing_id()))
-        # the partitions a batch touches: at most months x clinics values; read
-        # exactly those folders (no listing of the whole table per batch)
-        touched = [tuple(r) for r in b.select(*parts).distinct().collect()]
-        stored = _read_partitions(spark, table_path, full_schema, parts, touched)
-        merged = upsert(stored, b, keys, preserve=preserve, batch_col="_batch", ordinal_col="_ord")
-        merged = merged.checkpoint(eager=True)
-        # rebalance by the partition columns: few files per partition, and AQE
-        # splits a hot (month, clinic) across tasks instead of one writer
-        (merged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(table_path))
+        table = VersionedTable(batch.sparkSession, table_path, schema, keys, date_col, unit_col)
+        table.upsert(with_normalised(batch), order=delivery_order())
 
     return write
 
 
 def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint: str,
-                  body: Callable[[DataFrame, int], None], max_files: int | None = None,
+                  body: Callable[[DataFrame, int], None], max_files: int = MAX_FILES,
                   quarantine_dir: str | None = None, id_col: str = "id") -> None:
-    """Process every landed file not yet processed, then stop (STM1).
-
-    SRC2 rules: blank lines are skipped by the reader; a line that does not parse,
-    or has no id, goes to `quarantine_dir` (JSON, with the raw line) when given,
-    and never reaches the merge."""
-    reader = (spark.readStream.schema(schema + ", _corrupt_record string")
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record"))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.json(landing_dir)
+    """Process every landed file not yet processed, at most `max_files` at a time, then stop (STM1).
+
+    SRC2 rules: blank lines are skipped by the reader; time stamps are read as text
+    (epoch, ISO, with or without a zone) and kept in UTC; a line that does not parse,
+    has a time stamp that does not, or has no id, goes to `quarantine_dir` (JSON, with
+    the raw line) when given, and never reaches the merge. The parsed batch is
+    materialised once; `body` gets it with _pull, _file and _ord (see `delivery_order`)."""
+    ensure_checkpoint_dir(spark)
+    fields = StructType.fromDDL(schema).fields
+    times = [f.name for f in fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+    raw = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in fields]
+                     + [StructField("_corrupt_record", StringType())])
+    stream = (spark.readStream.schema(raw).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(landing_dir)
+              .select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_modification_time").cast("timestamp").alias("_mtime")))
 
     def split(batch: DataFrame, epoch_id: int) -> None:
-        bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull()
+        pull = F.regexp_extract("_file", r"/pull-(\d+)/", 1)
+        batch = batch.withColumns({
+            "_pull": F.when(pull != "", pull.cast("bigint")).otherwise(F.unix_micros("_mtime")),
+            "_ord": F.monotonically_increasing_id()})
+        parsed = {t: epoch_or_iso_to_ts(t) for t in times}
+        broken = F.lit(False)
+        for t in times:
+            broken = broken | (F.col(t).isNotNull() & parsed[t].isNull())
+        bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull() | broken
+        line = F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in fields])))
+        batch = (batch.withColumn("_bad", bad).withColumn("_line", F.when(F.col("_bad"), line)).withColumns(parsed)
+                 .drop("_corrupt_record", "_mtime").checkpoint(eager=True))
         if quarantine_dir:
-            (batch.where(bad).withColumnRenamed("_corrupt_record", "raw_line")
+            (batch.where("_bad").drop("_bad", "_pull", "_ord", "_file").withColumnRenamed("_line", "raw_line")
              .withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(quarantine_dir))
-        body(batch.where(~bad).drop("_corrupt_record"), epoch_id)
+        body(batch.where("NOT _bad").drop("_bad", "_line"), epoch_id)
 
     q = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -133,52 +119,78 @@ def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint
 
 
 def feed_ingest(spark: SparkSession, base: str, schema: str, keys: Sequence[str], date_col: str,
-                deliveries: Sequence[DataFrame]) -> DataFrame:
-    """Land each delivery, run the stream after each one, return the stored table."""
-    landing, table, ckpt = (os.path.join(base, x) for x in ("landing", "table", "stream-ckpt"))
-    body = monthly_upsert_writer(table, schema, keys, date_col)
+                deliveries: Sequence[DataFrame | Sequence[DataFrame]], unit_col: str | None = "clinic_id") -> DataFrame:
+    """Land each delivery (one pull, or a backlog of several), run the stream after each one, return the stored table."""
+    landing, path, ckpt = (os.path.join(base, x) for x in ("landing", "table", "stream-ckpt"))
+    body = monthly_upsert_writer(path, schema, keys, date_col, unit_col)
     for d in deliveries:
-        land(d, landing)
+        for pull in [d] if isinstance(d, DataFrame) else d:
+            land(pull, landing)
         run_available(spark, landing, schema, ckpt, body, quarantine_dir=os.path.join(base, "quarantine"))
-    return spark.read.schema(schema + ", month string").parquet(table)
-
+    return VersionedTable(spark, path, schema, keys, date_col, unit_col).read()
 
-def lead_watermark_writer(leads_path: str, state_path: str, lead_schema: str,
-                          to_leads: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """STM3 foreachBatch body: raw contacts -> leads cut at each account's stored
-    watermark (FLT13) -> upsert (SNK1) -> watermark = greatest(old, batch max) (AGG16)."""
-    state_schema = "account_id bigint, last_activity_seen timestamp_ntz"
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        ensure_checkpoint_dir(spark)
-        state = _read_table(spark, state_path, state_schema).checkpoint(eager=True)
-        new = to_leads(batch, state)
-        # only the accounts present in the batch are read back and rewritten
-        accounts = [tuple(r) for r in new.select("account_id").distinct().collect()]
-        stored = _read_partitions(spark, leads_path, lead_schema, ["account_id"], accounts)
-        merged = upsert(stored, new.withColumn("_batch", F.lit(epoch_id)), ["id", "account_id"],
-                        batch_col="_batch").checkpoint(eager=True)
-        (merged.hint("rebalance", "account_id").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("account_id").parquet(leads_path))
-        bmax = new.groupBy("account_id").agg(F.max("last_activity_at").alias("_bmax"))
-        nstate = (state.join(bmax, "account_id", "full")
-                  .select("account_id", F.greatest("last_activity_seen", "_bmax").alias("last_activity_seen"))
-                  .checkpoint(eager=True))
-        nstate.write.mode("overwrite").parquet(state_path)
-
-    return write
-
-
-def lead_ingest(spark: SparkSession, base: str, contact_schema: str, lead_schema: str,
-                to_leads: Callable[[DataFrame, DataFrame], DataFrame], deliveries: Sequence[DataFrame]) -> DataFrame:
-    landing, leads_path, state_path, ckpt = (os.path.join(base, x)
-                                             for x in ("landing", "leads", "state", "stream-ckpt"))
-    body = lead_watermark_writer(leads_path, state_path, lead_schema, to_leads)
-    for d in deliveries:
-        land(d, landing)
-        run_available(spark, landing, contact_schema, ckpt, body, quarantine_dir=os.path.join(base, "quarantine"))
-    return spark.read.schema(lead_schema).parquet(leads_path)
+def _staged(spark: SparkSession, path: str, schema: str, keys: Sequence[str]) -> DataFrame:
+    """The rows one run staged at `path`, the last delivered of each key."""
+    full = StructType.fromDDL(schema + ", _pull bigint, _file string, _ord bigint")
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(full).option("recursiveFileLookup", "true").parquet(path)
+    payload = [f.name for f in full.fields if f.name not in (*keys, "_pull", "_file", "_ord")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*payload), delivery_order()).alias("_last"))
+    return last.select(*keys, "_last.*").select(*[f.name for f in full.fields[:-3]])
+
+
+def lead_ingest(spark: SparkSession, base: str, contact_schema: str, conversation_schema: str, lead_schema: str,
+                to_leads: Callable[[DataFrame, DataFrame, DataFrame], DataFrame], units: DataFrame,
+                deliveries: Sequence[tuple[DataFrame, DataFrame]], run_at: Sequence[dt.datetime]
+                ) -> tuple[DataFrame, DataFrame]:
+    """STM3: each delivery (raw contacts, raw conversations) is landed and read by one stream per
+    source into the run's staging folder; then the sources meet: leads cut at each account's stored
+    watermark (FLT13), upsert (SNK1), and the state of every account (SNK7): when it ran, its
+    watermark = greatest(old, seen) (AGG16), rows so far and status. Returns (leads, state).
+
+    A run that dies is repeated whole: the streams go on after the files they finished, staging
+    keeps what they wrote, and the two tables commit by version."""
+    leads = VersionedTable(spark, os.path.join(base, "leads"), lead_schema, ["id", "account_id"], None, "account_id")
+    state = VersionedTable(spark, os.path.join(base, "state"), schemas.LEAD_SYNC_STATE, ["account_id"])
+    sources = {"contacts": contact_schema, "conversations": conversation_schema}
+    for run, (delivery, now) in enumerate(zip(deliveries, run_at)):
+        staged = []
+        for (name, schema), df in zip(sources.items(), delivery):
+            folder = os.path.join(base, name)
+            stage = os.path.join(folder, "staged", f"run-{run}")
+
+            def body(batch: DataFrame, epoch_id: int, stage=stage) -> None:
+                batch.write.mode("overwrite").parquet(os.path.join(stage, f"epoch-{epoch_id}"))
+
+            land(df, os.path.join(folder, "landing"))
+            run_available(spark, os.path.join(folder, "landing"), schema, os.path.join(folder, "stream-ckpt"), body,
+                          quarantine_dir=os.path.join(folder, "quarantine"))
+            staged.append(_staged(spark, stage, schema, ["account_id", "id"]))
+        before = state.read()
+        new = to_leads(*staged, before).checkpoint(eager=True)
+        leads.upsert(new, order=F.col("source"))
+        seen = new.groupBy("account_id").agg(F.max("last_activity_at").alias("_seen"), F.count("*").alias("_rows"))
+        now_col = F.lit(now).cast("timestamp_ntz")
+        state.upsert(
+            units.where("account_id IS NOT NULL").groupBy("account_id").agg(F.min("clinic_id").alias("_clinic"))
+            .join(before, "account_id", "left").join(seen, "account_id", "left")
+            .select("account_id", F.col("_clinic").alias("erp_clinic_id"), now_col.alias("last_synced_at"),
+                    F.greatest("last_activity_seen", "_seen").alias("last_activity_seen"),
+                    (F.coalesce("rows_synced_total", F.lit(0)) + F.coalesce("_rows", F.lit(0))).alias("rows_synced_total"),
+                    F.lit("ok").alias("last_run_status"), F.lit(None).cast("string").alias("last_run_error"),
+                    "full_refresh_at"), order=F.lit(1))
+    return leads.read(), state.read()
+
+
+def full_refresh(spark: SparkSession, leads: VersionedTable, union: DataFrame, failed_accounts: DataFrame | None = None,
+                 label: str = CAMPAIGN_LABEL) -> None:
+    """STM4 as a job that writes: upsert everything seen, then delete the tagged leads that
+    were not seen, except of accounts with nothing seen or with a failed source."""
+    union = union.checkpoint(eager=True)
+    leads.upsert(union, order=F.col("source"), preserve=["created_at_cw"])
+    leads.delete(stale_leads(leads.read(), seen_ids(union), failed_accounts, label))
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
