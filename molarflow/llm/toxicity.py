@@ -25,7 +25,6 @@ a document count as toxic if one is; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -39,9 +38,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from molarflow.llm.common import crc_bucket, whole_row
 
-MAX_POSITIVE = 2000
-MAX_UNLABELLED = 6000
+MAX_POSITIVE = 1500
+MAX_UNLABELLED = 4500
 MAX_FEATURES = 2048
+HASHES = 1 << 23
+CHUNK = 1 << 16
 MIN_DOCUMENTS = 6
 LIFT = 2.5
 Z = 5.0
@@ -80,32 +81,44 @@ def _collapse(texts: list[str]) -> list[str]:
     return list(seen.values())
 
 
+def _share_marks(count: np.ndarray, others: np.ndarray, n: int, n_others: int) -> np.ndarray:
+    """Z scores of the n-grams whose share is LIFT times that of the others; -inf for the rest."""
+    p, u = count / n, others / n_others
+    mean = (count + others) / (n + n_others)
+    error = np.sqrt(mean * (1 - mean) * (1 / n + 1 / n_others)) + 1e-12
+    return np.where((count >= MIN_DOCUMENTS) & (p >= LIFT * u), (p - u) / error, -np.inf)
+
+
 def select_ngrams(positive: list[str], unlabelled: list[str]) -> list[str]:
-    """The n-grams that mark the positives, strongest first."""
-    counts: Counter = Counter()
+    """The n-grams that mark the positives, strongest first.
+
+    Documents are counted by n-gram hash in two arrays of fixed size; only n-grams whose hash
+    stands out are then kept as strings and counted exactly."""
+    def hashed(word: str) -> list[int]:
+        return [crc32(g.encode("utf-8", "surrogatepass")) % HASHES for g in ngrams_of(word)]
+
+    def count(texts: list[str]) -> np.ndarray:
+        c = np.zeros(HASHES, np.uint16)
+        for t in texts:
+            c[list({h for w in set(t.split()) for h in hashed(w)})] += 1
+        return c
+
+    pos, unl = count(positive), count(unlabelled)
+    marked = np.concatenate([_share_marks(pos[i:i + CHUNK], unl[i:i + CHUNK], len(positive), len(unlabelled)) >= Z
+                             for i in range(0, HASHES, CHUNK)])
+    del pos, unl
+    found: set[str] = set()
     for t in positive:
-        counts.update({g for w in set(t.split()) for g in ngrams_of(w)})
-    pos = {g: n for g, n in counts.items() if n >= MIN_DOCUMENTS}
-    del counts
-    known: dict[str, tuple[str, ...]] = {}  # per word only the n-grams that may be chosen
-    unl: Counter = Counter()
-    for t in unlabelled:
-        grams: set[str] = set()
         for w in set(t.split()):
-            mine = known.get(w)
-            if mine is None:
-                mine = known[w] = tuple(g for g in ngrams_of(w) if g in pos)
-            grams.update(mine)
-        unl.update(grams)
-    n_pos, n_unl = len(positive), len(unlabelled)
-    scored = []
-    for g, n in pos.items():
-        p, u = n / n_pos, unl[g] / n_unl
-        mean = (n + unl[g]) / (n_pos + n_unl)
-        error = (mean * (1 - mean) * (1 / n_pos + 1 / n_unl)) ** 0.5
-        if p >= LIFT * u and p - u >= Z * error:
-            scored.append((-(p - u) / max(error, 1e-12), g))
-    return [g for _, g in sorted(scored)[:MAX_FEATURES]]
+            found.update(g for g in ngrams_of(w) if marked[crc32(g.encode("utf-8", "surrogatepass")) % HASHES])
+    del marked
+    grams = sorted(found)
+    mark = Marker(grams)
+    exact = [sum((mark(texts[i:i + 256]).sum(axis=0) for i in range(0, len(texts), 256)), np.zeros(len(grams)))
+             for texts in (positive, unlabelled)]
+    z = _share_marks(*exact, len(positive), len(unlabelled))
+    best = sorted((-z[i], g) for i, g in enumerate(grams) if z[i] >= Z)
+    return [g for _, g in best[:MAX_FEATURES]]
 
 
 class Marker:
@@ -132,7 +145,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise the non-negative PU risk (Adam, full batch)."""
+    """Weights and intercept that minimise the non-negative PU risk (Adam, full batch).
+
+    n-grams that occur in the same documents get equal weights, so they are fitted as one column."""
+    alike: dict[bytes, int] = {}
+    packed = np.packbits(np.concatenate([x_pos, x_unl]).T > 0, axis=1)
+    of = np.array([alike.setdefault(c.tobytes(), len(alike)) for c in packed], np.int64)
+    first = np.unique(of, return_index=True)[1]
+    many = np.bincount(of, minlength=len(alike)).astype(np.float32)
+    x_pos, x_unl = x_pos[:, first] * many, x_unl[:, first] * many
     w = np.zeros(x_pos.shape[1] + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     w[-1] = np.log(prior / (1 - prior))
@@ -152,7 +173,7 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.nda
         g[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return w[:-1], float(w[-1])
+    return w[:-1][of], float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_positive: int = MAX_POSITIVE,
@@ -174,6 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_positive
               .groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).orderBy("doc_id").collect())
     positive = _collapse([plain(r.text) for r in sample if r.toxic == 1])
     unlabelled = _collapse([plain(r.text) for r in sample if r.toxic is None])
+    del sample
     ngrams = select_ngrams(positive, unlabelled)
     mark = Marker(ngrams)
     weights, intercept = fit_nnpu(mark(positive), mark(unlabelled), prior)
