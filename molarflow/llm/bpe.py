@@ -35,8 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 24 << 20
-SLICE_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 BUCKETS_PER_PARTITION = 2
 
 
@@ -52,53 +51,55 @@ class Vocabulary:
         return cls([ranks.get(i, b"") for i in range(max(ranks) + 1)], pattern)
 
 
-class PreTokenizer:
-    """Pre-tokens of texts as codes into a growing list of words.
-
-    A space before a non-space starts a new pre-token whatever stands before it, so text
-    between single spaces is cut once per distinct piece; texts where white space meets
-    such a cut are matched as a whole."""
-
-    def __init__(self, pattern: str):
-        import regex
-        self.match = regex.compile(pattern).findall
-        self.bare = regex.compile(r"^\s|\s$|^$").search
-        self.codes: dict[str, int] = {}
-        self.pieces: dict[tuple[bool, str], np.ndarray | None] = {}
-
-    def _cut(self, text: str) -> np.ndarray:
-        codes = self.codes
-        return np.array([codes.setdefault(w, len(codes)) for w in self.match(text)], np.int64)
-
-    def _piece(self, spaced: bool, piece: str) -> np.ndarray | None:
-        key = (spaced, piece)
-        if key not in self.pieces:
-            odd = self.bare(piece) or piece[0].isspace() or piece[-1].isspace()
-            self.pieces[key] = None if odd else self._cut(" " + piece if spaced else piece)
-        return self.pieces[key]
-
-    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        texts = pc.fill_null(texts, "")
-        lists = pc.split_pattern(texts, " ")
-        coded = lists.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        bounds = np.asarray(lists.offsets.to_numpy(), np.int64) - lists.offsets[0].as_py()
-        spaced = np.ones(len(index), bool)
-        spaced[bounds[:-1]] = False
-        keys, inverse = np.unique(index * 2 + spaced, return_inverse=True)
-        cut = [self._piece(bool(k & 1), pieces[k >> 1]) for k in keys.tolist()]
-        odd = np.array([c is None for c in cut], bool)
-        length = np.array([0 if c is None else len(c) for c in cut], np.int64)
-        flat = np.concatenate([np.zeros(0, np.int64), *[c for c in cut if c is not None]])
-        begin = np.cumsum(length) - length
-        n = length[inverse]
-        ends = np.cumsum(n)
-        codes = flat[np.arange(int(n.sum())) + np.repeat(begin[inverse] - (ends - n), n)]
-        ends = np.concatenate([[0], ends])
-        whole = np.add.reduceat(odd[inverse], bounds[:-1]) > 0
-        return [self._cut(texts[i].as_py()) if whole[i] else codes[ends[bounds[i]]:ends[bounds[i + 1]]]
-                for i in range(len(texts))]
+def pre_tokenize(texts: pa.Array, pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(words, codes, bounds): the pre-tokens of all texts as codes into their distinct words;
+    text i has codes[bounds[i]:bounds[i + 1]].
+
+    A space before a non-space starts a new pre-token whatever stands before it, so the
+    pieces between single spaces are cut once each; texts where white space meets such a
+    place are matched as a whole."""
+    import regex
+    match, bare = regex.compile(pattern).findall, regex.compile(r"^\s|\s$|^$").search
+    words: dict[str, int] = {}
+
+    def cut(text: str) -> list[int]:
+        return [words.setdefault(w, len(words)) for w in match(text)]
+
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    coded = lists.flatten().dictionary_encode()
+    pieces = coded.dictionary.to_pylist()
+    key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + 1  # odd: after a space
+    bounds = np.asarray(lists.offsets.to_numpy(), np.int64) - lists.offsets[0].as_py()
+    key[bounds[:-1]] -= 1
+    used = np.nonzero(np.bincount(key, minlength=2 * len(pieces)))[0]
+    flat: list[int] = []
+    length = np.zeros(2 * len(pieces), np.int64)
+    odd = np.zeros(2 * len(pieces), bool)
+    for k in used.tolist():
+        piece = pieces[k >> 1]
+        spaced = " " + piece if k & 1 else piece
+        if piece.isalpha():
+            flat.append(words.setdefault(spaced, len(words)))
+            length[k] = 1
+        elif bare(piece) or piece[0].isspace() or piece[-1].isspace():
+            odd[k] = True
+        else:
+            found = cut(spaced)
+            flat += found
+            length[k] = len(found)
+    begin = np.cumsum(length) - length
+    n = length[key]
+    ends = np.cumsum(n)
+    codes = np.array(flat, np.int32)[np.arange(int(n.sum())) + np.repeat(begin[key] - (ends - n), n)]
+    at = np.concatenate([[0], ends])[bounds]
+    whole = np.nonzero(np.add.reduceat(odd[key], bounds[:-1]) > 0)[0] if len(texts) else []
+    if len(whole):
+        parts = [codes[s:e] for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
+        for i in whole.tolist():
+            parts[i] = np.array(cut(texts[i].as_py() or ""), np.int32)
+        codes = np.concatenate(parts)
+        at = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+    return list(words), codes, at
 
 
 def varints(values: np.ndarray) -> bytes:
@@ -135,35 +136,33 @@ def unpack_words(data: bytes) -> list[bytes]:
     return [data[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, list[pa.Array], list[np.ndarray], list[bytes]]]:
-    """(block, ids by slice, codes by document, words), codes in order of falling frequency; rows are (id, text)."""
-    part, seq = TaskContext.get().partitionId(), 0
-    cutter, ids, docs, size = PreTokenizer(pattern), [], [], 0
+def _blocks(batches: Iterable[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, pa.Array, list[np.ndarray], list[bytes]]]:
+    """(block, document ids, codes by document, words), codes in order of falling frequency; rows are (id, text)."""
+    part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
 
     def done():
-        words = list(cutter.codes)
-        count = np.bincount(np.concatenate([np.zeros(0, np.int64), *docs]), minlength=len(words))
-        order = np.argsort(-count, kind="stable")
-        code = np.empty(len(words), np.int64)
-        code[order] = np.arange(len(words))
-        return part << 24 | seq, ids, [code[c] for c in docs], [words[i].encode("utf-8", "surrogatepass") for i in order.tolist()]
+        ids = pa.concat_arrays([b.column(0) for b in held])
+        words, codes, at = pre_tokenize(pa.concat_arrays([b.column(1).cast(pa.large_string()) for b in held]), pattern)
+        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        codes = rank[codes]
+        return (part << 24 | seq, ids, [codes[s:e] for s, e in zip(at[:-1].tolist(), at[1:].tolist())],
+                [words[i].encode("utf-8", "surrogatepass") for i in order.tolist()])
 
     for b in batches:
-        text = b.column(1)
-        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), np.int64))
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), np.int64))
         at = 0
         while at < b.num_rows:
             before = int(sizes[at - 1]) if at else 0
-            stop = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
-            ids.append(b.column(0).slice(at, stop - at))
-            docs += cutter(text.slice(at, stop - at))
+            stop = max(at + 1, int(np.searchsorted(sizes, before + BLOCK_BYTES - size, "right")))
+            held.append(b.slice(at, stop - at))
             size += int(sizes[stop - 1]) - before
             at = stop
-            if size >= BLOCK_BYTES:
+            if size >= BLOCK_BYTES or at < b.num_rows:
                 yield done()
-                seq += 1
-                cutter, ids, docs, size = PreTokenizer(pattern), [], [], 0
-    if docs:
+                seq, held, size = seq + 1, [], 0
+    if held:
         yield done()
 
 
@@ -213,14 +212,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", id_c
     def document_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, docs_, words in _blocks(batches, pattern):
             deal = zlib.compress(_bucket(words, buckets).astype("<u4").tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, ids[0].type), pa.array([deal], pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.nulls(1, ids.type), pa.array([deal], pa.binary()),
                                               pa.array([True])], ["block", "doc_id", "codes", "deal"])
-            at = 0
-            for part in ids:
-                codes = [varints(c) for c in docs_[at:at + len(part)]]
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), part, pa.array(codes, pa.binary()),
-                                                  pa.array([False] * len(part))], ["block", "doc_id", "codes", "deal"])
+            for at in range(0, len(ids), 1000):
+                codes = [varints(c) for c in docs_[at:at + 1000]]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(codes), pa.int64()), ids.slice(at, 1000),
+                                                  pa.array(codes, pa.binary()), pa.array([False] * len(codes))],
+                                                 ["block", "doc_id", "codes", "deal"])
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         deal = left.filter(left["deal"])["codes"].to_pylist()
