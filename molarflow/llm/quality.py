@@ -49,7 +49,7 @@ class Rule:
     two_sided: bool = False
 
 
-RULES = (Rule("symbol_share", 0.02), Rule("dup_line_share", 0.5), Rule("word_length", 1.0, two_sided=True))
+RULES = (Rule("symbol_share", 0.02), Rule("dup_line_share", 0.5), Rule("word_length", 2.0, two_sided=True))
 
 
 def words_of(text: Column) -> Column:

@@ -167,8 +167,8 @@ WITH d AS (
   SELECT lang, source,
          max(q50 + 8 * (q50 - q25) + 0.02) FILTER (WHERE metric = 'symbol_share') AS hs,
          max(q50 + 8 * (q50 - q25) + 0.5) FILTER (WHERE metric = 'dup_line_share') AS hd,
-         max(q50 + 8 * (q50 - q25) + 1.0) FILTER (WHERE metric = 'word_length') AS hw,
-         max(q50 - 8 * (q75 - q50) - 1.0) FILTER (WHERE metric = 'word_length') AS lw
+         max(q50 + 8 * (q50 - q25) + 2.0) FILTER (WHERE metric = 'word_length') AS hw,
+         max(q50 - 8 * (q75 - q50) - 2.0) FILTER (WHERE metric = 'word_length') AS lw
   FROM pick GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
