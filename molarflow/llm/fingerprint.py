@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from molarflow.llm.common import checkpointed
+from molarflow.llm.common import checkpointed, stable_rows
 
 SHINGLE = 5
 SPACE = r"[\x20\x09-\x0D]+"
@@ -75,9 +75,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has; 1 if a has none."""
+    """Estimated share of a's shingles that b has; 1 if a has none, 0 if none of a's is comparable."""
     x, _, common = _shares(a, b)
-    return F.when(x > 0, common / x).otherwise(F.lit(1.0))
+    return F.when(x > 0, common / x).otherwise((F.size(a["hashes"]) == 0).cast("double"))
 
 
 def as_string(sketch: Column) -> Column:
@@ -99,6 +99,7 @@ def followers(rows: DataFrame) -> DataFrame:
 
 def compare_neighbours(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and its edited text, and their likeness to each other and to the next document."""
+    docs = stable_rows(docs, "documents")
     texts = docs.select(F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sizes = checkpointed(texts.select("doc_id", "row", F.length("text").alias("n")))

@@ -1,8 +1,8 @@
 """Line dedup by a log-template tree.
 
 A line is routed through a tree of fixed depth: by its number of tokens, then by its
-first DEPTH tokens, a token with a digit counting as the variable field `<*>`. Lines of
-one leaf are grouped into templates: a line joins the most similar template of its leaf
+first DEPTH tokens, a token with a digit counting as the variable field `<*>` (unless most
+tokens have one: rows of numbers are no template). Lines of one leaf are grouped into templates: a line joins the most similar template of its leaf
 if at least SIMILAR of the compared tokens are equal, and tokens that differ then become
 variable fields of that template. Compared are all tokens after the leading ones, or, in
 longer lines, SAMPLE of them at evenly spaced places.
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from molarflow.llm.common import checkpointed, stored, whole_row
+from molarflow.llm.common import checkpointed, stable_rows, stored, whole_row
 
 DEPTH = 3
 MIN_TOKENS = 5
@@ -59,7 +59,9 @@ def line_key(line: str, places_of: dict[int, list[int]]) -> tuple[int, int, byte
     if n < MIN_TOKENS:
         return None
     if WITH_DIGIT.search(line):
-        tokens = [VARIABLE if WITH_DIGIT.match(t) else t for t in tokens]
+        masked = [VARIABLE if WITH_DIGIT.match(t) else t for t in tokens]
+        if 2 * masked.count(VARIABLE) <= n:
+            tokens = masked
     at = places_of.get(n)
     if at is None:
         at = places_of[n] = places(n)
@@ -208,6 +210,7 @@ def dropped_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def drop_recurring(docs: DataFrame, text_col: str = "text", n_dropped: str | None = None) -> DataFrame:
     """`docs` with the recurring lines of `text_col` taken out, and their number in column `n_dropped` if named."""
+    docs = stable_rows(docs, "documents")
     drops = dropped_lines(docs, text_col).withColumnRenamed("row", "__row")
     numbered = docs.select(whole_row(docs).alias("doc"), F.monotonically_increasing_id().alias("__row"))
     parts = F.split(F.col(f"doc.`{text_col}`"), "\n")

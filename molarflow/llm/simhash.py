@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from molarflow.llm.common import checkpointed, whole_row
+from molarflow.llm.common import checkpointed, stable_rows, whole_row
 from molarflow.llm.components import components
 
 SEED = 42
@@ -231,6 +231,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
 
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, with its own columns: that of the smallest id."""
+    docs = stable_rows(docs, "documents")
     found = near_duplicates(docs, text_col, id_col, shingle)
     kept = found.where(F.col("row") == F.col("component_row")).select(F.col("row").alias("__row"))
     numbered = docs.select(whole_row(docs).alias("doc"), F.monotonically_increasing_id().alias("__row"))

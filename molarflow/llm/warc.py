@@ -34,7 +34,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from molarflow.llm.common import scratch_path, stored
+from molarflow.llm.common import scratch_path, stable_rows, stored
 
 MIN_REVISIT = 1000
 GAP = 64 << 10
@@ -80,6 +80,7 @@ def parse(raw: bytes) -> tuple:
 
 def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Archive `pages` (page_id, url, html) in `folder`; returns the stored index."""
+    pages = stable_rows(pages, "pages")
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("page_id").alias("order"),
                         F.col("url").cast("string").alias("url"), F.monotonically_increasing_id().alias("row"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
