@@ -75,9 +75,9 @@ def attribute_present(m: Column | str, key: str) -> Column:
 
 # ---- HSH / CND / MTH ----
 
-def short_digest(c: Column | str, hex_chars: int = 24) -> Column:
-    """HSH1: first 12 bytes (24 hex chars) of SHA-256."""
-    return F.substring(F.sha2(_col(c).cast("string"), 256), 1, hex_chars)
+def digest(c: Column | str) -> Column:
+    """HSH1: SHA-256 in hex."""
+    return F.sha2(_col(c).cast("string"), 256)
 
 
 def origin_label(has_campaign: Column) -> Column:

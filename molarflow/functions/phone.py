@@ -13,13 +13,11 @@ from pyspark.sql import functions as F
 
 from molarflow.functions.text import phone_digits
 
-MIN_KEY_DIGITS = 8
-
 
 def phone_key(c: Column | str) -> Column:
     """STR4: digits; 12/13 digits starting with 55 lose the 55; then 11 digits
-    whose third digit is 9 lose that 9. Keys shorter than 8 digits become null
-    (a blank or junk phone must never become a hot join key).
+    whose third digit is 9 lose that 9. Null or without a digit: null. Short keys
+    stay; the funnel has one row per key on its right side, so none can fan out.
 
     Written as a chain of single-reference regex steps so the generated code
     stays small (a CASE tree re-evaluating the digits at every branch grows
@@ -28,7 +26,7 @@ def phone_key(c: Column | str) -> Column:
     no_cc = F.regexp_replace(d, r"^55(?=[0-9]{10,11}$)", "")
     no_nine = F.regexp_replace(no_cc, r"^([0-9]{2})9([0-9]{8})$", "$1$2")
     # regexp_substr yields NULL when nothing matches: one evaluation, no nullif re-check
-    return F.regexp_substr(no_nine, F.lit(r"^[0-9]{%d,}$" % MIN_KEY_DIGITS))
+    return F.regexp_substr(no_nine, F.lit(r"^[0-9]+$"))
 
 
 def phone_variants(digits: str) -> list[str]:
@@ -54,23 +52,3 @@ def phone_variants(digits: str) -> list[str]:
         add(digits[2:])
         add(digits[2:4] + "9" + digits[4:])
     return out
-
-
-def phone_variants_col(c: Column | str) -> Column:
-    """STR5 as a Column (array<string>) for stored phones."""
-    d = phone_digits(c)
-    n = F.length(d)
-    cands = F.array(
-        d,
-        F.when(n == 10, F.concat(F.substring(d, 1, 2), F.lit("9"), F.substring(d, 3, 20))),
-        F.when((n == 11) & (F.substring(d, 3, 1) == "9"),
-               F.concat(F.substring(d, 1, 2), F.substring(d, 4, 20))),
-        F.when((n == 13) & d.startswith("55") & (F.substring(d, 5, 1) == "9"), F.substring(d, 3, 20)),
-        F.when((n == 13) & d.startswith("55") & (F.substring(d, 5, 1) == "9"),
-               F.concat(F.substring(d, 3, 2), F.substring(d, 6, 20))),
-        F.when((n == 12) & d.startswith("55"), F.substring(d, 3, 20)),
-        F.when((n == 12) & d.startswith("55"),
-               F.concat(F.substring(d, 3, 2), F.lit("9"), F.substring(d, 5, 20))),
-    )
-    return F.when(n >= 4, F.array_distinct(F.filter(cands, lambda x: x.isNotNull()))).otherwise(
-        F.array().cast("array<string>"))

@@ -14,11 +14,19 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented lower-case letters and their plain forms, in matching
-# order. `ß`, `ø` and `æ` are deliberately not mapped (they do not decompose).
-ACCENTED = "àáâãäåāăąçćĉčďèéêëēĕėęěìíîïĩīĭįñńňòóôõöōŏőùúûüũūŭůűųýÿźżž"
-PLAIN = "aaaaaaaaaccccdeeeeeeeeeiiiiiiiinnnoooooooouuuuuuuuuuyyzzz"
-assert len(ACCENTED) == len(PLAIN)
+def _accent_table() -> tuple[str, str]:
+    """Lower-case Latin letters that decompose into an ASCII letter and marks, and that letter
+    (`ß`, `ø` and `æ` do not decompose)."""
+    pairs = {}
+    for point in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        c = chr(point)
+        base, *marks = unicodedata.normalize("NFD", c)
+        if c == c.lower() and base.isascii() and base.isalpha() and marks and all(unicodedata.combining(m) for m in marks):
+            pairs[c] = base
+    return "".join(pairs), "".join(pairs.values())
+
+
+ACCENTED, PLAIN = _accent_table()
 
 _COMBINING = re.compile("[̀-ͯ]")
 _SPACES = re.compile(r"\s+")
@@ -29,13 +37,13 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Lower-case and drop diacritics from Latin letters."""
-    return F.translate(F.lower(_col(c)), ACCENTED, PLAIN)
+    """Lower-case, drop diacritics from Latin letters and combining marks."""
+    return F.regexp_replace(F.translate(F.lower(_col(c)), ACCENTED, PLAIN), "[\u0300-\u036f]", "")
 
 
 def fold_name(c: Column | str) -> Column:
     """STR1: strip accents, lower, collapse whitespace runs to one space, trim."""
-    return F.trim(F.regexp_replace(strip_accents(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(strip_accents(c), r"(?U)\s+", " "))
 
 
 def search_name(c: Column | str) -> Column:

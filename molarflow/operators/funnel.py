@@ -52,16 +52,19 @@ def _max_if(cond: Column, value: str = "created_at") -> Column:
 
 def phone_stage_index(appointments: DataFrame, logs: DataFrame, payments: DataFrame,
                       start: dt.datetime, end: dt.datetime, domain: Domain = DEFAULT_DOMAIN,
-                      origins: list[str] | None = None) -> DataFrame:
-    """One row per phone key: latest created_at of any / confirmed / attended
+                      origins: list[str] | None = None, since: dt.datetime | None = None) -> DataFrame:
+    """One row per phone key over appointments created from `since` on (a lead only meets
+    appointments created after it): latest created_at of any / confirmed / attended
     appointment, and `sold_until` = max over the key's patients of
     least(patient's last appointment created_at, patient's last paid date)."""
-    confirmed_ids = (logs.where(F.col("to_status") == CONFIRMED_STATUS)
-                     .select(F.col("appointment_id").alias("_cid")).distinct().withColumn("_conf", F.lit(True)))
     origin_ok = F.col("patient_channel_name").isin(origins) if origins else F.lit(False)
+    if since is not None:
+        appointments = appointments.where(F.col("created_at") >= F.lit(since).cast("timestamp_ntz"))
     a = (appointments.select("id", "patient_id", "created_at", "status", phone_key("phone").alias("phone_key"),
                              origin_ok.alias("_origin_ok"))
          .where(F.col("phone_key").isNotNull() & F.col("created_at").isNotNull()))
+    confirmed_ids = (logs.where(F.col("to_status") == CONFIRMED_STATUS).select(F.col("appointment_id").alias("_cid")).distinct()
+                     .join(a.select(F.col("id").alias("_cid")), "_cid", "left_semi").withColumn("_conf", F.lit(True)))
     a = a.join(confirmed_ids, a["id"] == confirmed_ids["_cid"], "left")
     attended = F.col("status").isin(list(domain.attended))
     paid = (confirmed_payments(payments).where(in_period("date", start, end) & F.col("patient_id").isNotNull())
@@ -92,7 +95,8 @@ def lead_stages(leads: DataFrame, appointments: DataFrame, logs: DataFrame, paym
     if clinics is not None:
         ld = ld.where(F.col("erp_clinic_id").isin(clinics)) if clinics else ld.where(F.lit(False))
     ld = ld.withColumn("phone_key", phone_key("phone_raw"))
-    idx = phone_stage_index(appointments, logs, payments, start, end, domain, origins)
+    since = max(start, min_lead_created_at) if min_lead_created_at else start
+    idx = phone_stage_index(appointments, logs, payments, start, end, domain, origins, since)
     j = ld.join(idx, "phone_key", "left")
     lc = F.col("created_at_cw")
 

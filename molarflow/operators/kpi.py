@@ -50,10 +50,11 @@ def monthly_revenue(payments: DataFrame, *dims: str) -> DataFrame:
 def best_month_from_monthly(monthly: DataFrame, *dims: str) -> DataFrame:
     """AGG3 over a (dims.., month, rev) rollup; ties go to the earliest month."""
     m = monthly.groupBy(*dims, "month").agg(F.sum("rev").alias("rev"))
-    best = m.groupBy(*dims).agg(
+    best = m.where(F.col("rev").isNotNull()).groupBy(*dims).agg(
         F.max(F.struct(F.col("rev"), (-F.regexp_replace("month", "-", "").cast("int")).alias("neg"),
                        F.col("month"))).alias("b"))
-    return best.select(*dims, F.col("b.month").alias("best_month"), F.col("b.rev").cast("double").alias("revenue"))
+    return best.where(F.col("b").isNotNull()).select(*dims, F.col("b.month").alias("best_month"),
+                                                     F.col("b.rev").cast("double").alias("revenue"))
 
 
 def first_appointment_origin(appointments: DataFrame) -> DataFrame:
@@ -99,8 +100,8 @@ def reschedules_two_level(appointments_in_period: DataFrame, logs_in_period: Dat
     gap = F.coalesce(abs_gap_seconds("start_time", "scheduled_start_time") > RESCHEDULE_GAP_SECONDS, F.lit(False))
     appt_rows = appointments_in_period.select(*dims, gap.cast("int").alias("_gap"), F.lit(0).alias("_log"))
     j = (appt_rows.unionByName(log_rows).groupBy(*dims)
-         .agg(F.sum("_gap").cast("bigint").alias("heuristic_reschedules"),
-              F.sum("_log").cast("bigint").alias("log_reschedules")))
+         .agg(F.coalesce(F.sum("_gap"), F.lit(0)).cast("bigint").alias("heuristic_reschedules"),
+              F.coalesce(F.sum("_log"), F.lit(0)).cast("bigint").alias("log_reschedules")))
     # one strategy for the whole result set: a scalar subquery over the (small,
     # per-dimension-value) aggregate, evaluated once
     any_logs = j.select((F.max("log_reschedules") > 0).alias("_any")).scalar()
@@ -109,27 +110,25 @@ def reschedules_two_level(appointments_in_period: DataFrame, logs_in_period: Dat
                         .otherwise(F.col("heuristic_reschedules"))))
 
 
-def last_log_actor(logs: DataFrame, kind: Column, domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """WIN2: per appointment, the user of the last log of a kind (by change_date, then id)."""
-    return (logs.where(kind).groupBy("appointment_id")
-            .agg(F.max_by("user_id", F.struct("change_date", "id")).alias("user_id"))
-            .withColumn("actor", owner_label(F.coalesce(F.col("user_id") == domain.agent_user_id, F.lit(False)))))
-
-
 def action_ownership(appointments_in_period: DataFrame, logs: DataFrame,
                      domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """AGG11: who created, last confirmed and last rescheduled each appointment."""
+    """AGG11/WIN2: who created, last confirmed and last rescheduled each appointment: the user of
+    the last log of each kind (by change_date, then id), both kinds from one aggregation."""
     ids = appointments_in_period.select(F.col("id").alias("appointment_id"), "created_by_id")
     lg = logs.join(ids.select("appointment_id"), "appointment_id", "left_semi")
-    conf = last_log_actor(lg, F.col("to_status") == CONFIRMED_STATUS, domain).select(
-        F.lit("confirmation").alias("kind"), "actor")
-    resch = last_log_actor(lg, F.coalesce(F.col("is_reschedule"), F.lit(False))
-                           | (F.col("to_status") == RESCHEDULED_STATUS), domain).select(
-        F.lit("reschedule").alias("kind"), "actor")
-    created = ids.select(F.lit("creation").alias("kind"),
-                         owner_label(F.coalesce(F.col("created_by_id") == domain.agent_user_id, F.lit(False)))
-                         .alias("actor"))
-    return (created.unionByName(conf).unionByName(resch).groupBy("kind", "actor")
+    kinds = {"confirmation": F.col("to_status") == CONFIRMED_STATUS,
+             "reschedule": F.coalesce(F.col("is_reschedule"), F.lit(False)) | (F.col("to_status") == RESCHEDULED_STATUS)}
+    rank = F.struct(F.col("change_date").alias("at"), F.col("id").alias("id"), F.col("user_id").alias("user_id"))
+    last = (lg.where(kinds["confirmation"] | kinds["reschedule"]).groupBy("appointment_id")
+            .agg(*[F.max(F.when(c, rank)).alias(k) for k, c in kinds.items()]))
+
+    def actor(user: Column) -> Column:
+        return owner_label(F.coalesce(user == domain.agent_user_id, F.lit(False)))
+
+    acted = F.explode(F.filter(F.array(*[F.when(F.col(k).isNotNull(), F.struct(
+        F.lit(k).alias("kind"), actor(F.col(f"{k}.user_id")).alias("actor"))) for k in kinds]), lambda x: x.isNotNull()))
+    created = ids.select(F.lit("creation").alias("kind"), actor(F.col("created_by_id")).alias("actor"))
+    return (created.unionByName(last.select(acted.alias("a")).select("a.*")).groupBy("kind", "actor")
             .agg(F.count(F.lit(1)).alias("appointments")))
 
 
@@ -152,14 +151,19 @@ def rescue_candidates(appointments: DataFrame, min_gap_days: int = 60) -> DataFr
                     F.col("prev.status").alias("prior_status"), gap_days.alias("gap_days")))
 
 
+def calendar_months(spark: SparkSession, start: dt.datetime, end: dt.datetime) -> DataFrame:
+    """The months that intersect [start, end)."""
+    last_day = end - dt.timedelta(days=1)
+    return spark.range(1).select(F.explode(F.sequence(
+        F.lit(dt.date(start.year, start.month, 1)), F.lit(dt.date(last_day.year, last_day.month, 1)),
+        F.expr("INTERVAL 1 MONTH"))).alias("d")).select(F.date_format("d", "yyyy-MM").alias("month"))
+
+
 def monthly_series(spark: SparkSession, start: dt.datetime, end: dt.datetime, appointments: DataFrame,
                    payments: DataFrame) -> DataFrame:
     """AGG10: per-month metrics, only months that intersect [start, end); months
     without data still appear (calendar from `sequence`)."""
-    last_day = end - dt.timedelta(days=1)
-    cal = spark.range(1).select(F.explode(F.sequence(
-        F.lit(dt.date(start.year, start.month, 1)), F.lit(dt.date(last_day.year, last_day.month, 1)),
-        F.expr("INTERVAL 1 MONTH"))).alias("d")).select(F.date_format("d", "yyyy-MM").alias("month"))
+    cal = calendar_months(spark, start, end)
     a = (appointments.where(in_period("start_time", start, end)).withColumn("month", year_month("start_time"))
          .groupBy("month").agg(F.count(F.lit(1)).alias("appointments"),
                                F.count_distinct("patient_id").alias("unique_patients")))

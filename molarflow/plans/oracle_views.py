@@ -6,7 +6,6 @@ over the driver's pre-registered tables, then the body is plain SQL.
 
 from __future__ import annotations
 
-from molarflow.functions.text import ACCENTED, PLAIN
 from molarflow.sources.testdata import CREATOR_NAMES, FIRST_NAMES, LEAD_EPOCH
 
 
@@ -15,7 +14,7 @@ def sql_str(v) -> str:
 
 
 def fold_sql(x: str) -> str:
-    return f"trim(regexp_replace(translate(lower({x}), '{ACCENTED}', '{PLAIN}'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(strip_accents(lower({x})), '\\s+', ' ', 'g'))"
 
 
 def pick_sql(key: str, values, mod: int) -> str:
@@ -43,7 +42,7 @@ def phone_key_sql(x: str) -> str:
     no_cc = f"(CASE WHEN length({d}) IN (12, 13) AND starts_with({d}, '55') THEN substr({d}, 3) ELSE {d} END)"
     no_nine = (f"(CASE WHEN length({no_cc}) = 11 AND substr({no_cc}, 3, 1) = '9' "
                f"THEN substr({no_cc}, 1, 2) || substr({no_cc}, 4) ELSE {no_cc} END)")
-    return f"(CASE WHEN length({no_nine}) >= 8 THEN {no_nine} END)"
+    return f"nullif({no_nine}, '')"
 
 
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"

@@ -92,6 +92,11 @@ class AppointmentRequest:
 
     def __post_init__(self):
         self.page, self.pp = page_params(self.page, self.pp)
+        if self.only_status not in (None, ""):
+            try:
+                int(str(self.only_status).strip())
+            except ValueError as e:
+                raise ParamError(f"only_status {self.only_status!r} is no number") from e
 
     @property
     def bounds(self):
@@ -165,7 +170,7 @@ DEFAULT_MIN_LEAD_CREATED_AT = "2026-04-06"  # bulk-import cut (FLT16); a request
 
 @dataclass
 class FunnelRequest:
-    """Funnel counts / drill-down (AGG9, LIM3): period <= 92 days, bulk-import cut,
+    """Funnel counts / drill-down (AGG9, LIM3): any period, bulk-import cut,
     stage and search for the drill-down, limit 10..500 (default 100), offset >= 0."""
 
     start: str
@@ -181,7 +186,7 @@ class FunnelRequest:
 
     @property
     def bounds(self):
-        return validate_period(self.start, self.end)
+        return validate_period(self.start, self.end, max_days=None)
 
     @property
     def min_lead(self) -> dt.datetime | None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from molarflow.operators import funnel
 from molarflow.plans.oracle_views import fold_sql, phone_key_sql, with_views
 from molarflow.plans.params import FunnelRequest
@@ -104,3 +106,16 @@ def funnel_detail_origin(spark, sf_dir):
     """The drill-down as the dashboard calls it: clinic scope, origin filter, limit."""
     from molarflow.plans import api
     return api.funnel_detail(Tables(spark, sf_dir), ORIGIN_PARAMS)
+
+
+@register("funnel_year", with_views(["appointments", "appointment_logs", "payments", "leads"], """
+    SELECT COUNT(*) AS leads, COUNT(*) FILTER (WHERE scheduled) AS scheduled, COUNT(*) FILTER (WHERE sold) AS sold,
+           COUNT(*) FILTER (WHERE length(pk) < 8) AS short_phones FROM fl""",
+    extra=funnel_ctes("1995-07-01", "1996-05-30", None)), "AGG9 FLT2 STR4")
+def funnel_year(spark, sf_dir):
+    """A funnel over 334 days, phones of under eight digits included."""
+    t = Tables(spark, sf_dir)
+    req = FunnelRequest(start="1995-07-01", end="1996-05-30", min_lead_created_at=None)
+    st = funnel.lead_stages(t.leads, t.appointments, t.appointment_logs, t.payments, *req.bounds, req.min_lead)
+    return st.agg(F.count(F.lit(1)).alias("leads"), F.count_if("scheduled").alias("scheduled"), F.count_if("sold").alias("sold"),
+                  F.count_if(F.length("phone_key") < 8).alias("short_phones"))

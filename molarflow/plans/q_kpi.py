@@ -114,6 +114,17 @@ def reschedules_two_level(spark, sf_dir):
     return kpi.reschedules_two_level(a, lg, "clinic_id")
 
 
+@register("reschedules_heuristic", with_views(["appointments"], f"""
+    SELECT COUNT(*) FILTER (WHERE abs(epoch(start_time) - epoch(scheduled_start_time)) > 86400) AS reschedules,
+           'heuristic' AS strategy FROM appointments WHERE {_PER_A}"""), "AGG7 DAT4")
+def reschedules_heuristic(spark, sf_dir):
+    """Reschedules of a scope whose logs carry no reschedule at all: counted by the gap between the two starts."""
+    t = Tables(spark, sf_dir)
+    silent = t.appointment_logs.where((F.col("to_status") != 3) & ~F.coalesce(F.col("is_reschedule"), F.lit(False)))
+    a = t.appointments.where(in_period("start_time", S, E))
+    return kpi.reschedules_two_level(a, silent.where(in_period("change_date", S, E))).select("reschedules", "strategy")
+
+
 def _last_sql(cond: str) -> str:
     return f"""SELECT appointment_id, user_id FROM (
                  SELECT *, row_number() OVER (PARTITION BY appointment_id ORDER BY change_date DESC NULLS LAST, id DESC) AS rn

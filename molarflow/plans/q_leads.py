@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from molarflow.functions.misc import lookback_bound
 from molarflow.operators import leads as ld
 from molarflow.operators.filters import in_period
 from molarflow.plans.oracle_views import with_views
@@ -257,14 +258,45 @@ def state_partial_merge(spark, sf_dir):
     return merge.sync_state_merge(old, run, RUN_END)
 
 
-@register("sync_totals", with_views(["appointments", "appointment_logs", "payments"], """
-    SELECT feed, COUNT(*) AS rows, COUNT(DISTINCT clinic_id) AS clinics FROM fr
-    WHERE ts >= TIMESTAMP '1998-01-01' AND ts < TIMESTAMP '1998-02-01'
+@register("sync_totals", with_views(["appointments", "appointment_logs", "payments"], f"""
+    SELECT feed, SUM(rows) AS rows, COUNT(DISTINCT clinic_id) AS clinics, COUNT(*) FILTER (WHERE error) AS errors
+    FROM (SELECT feed, clinic_id, COUNT(*) AS rows, clinic_id IN {FAILED_CLINICS} AS error FROM fr
+          WHERE ts >= TIMESTAMP '1998-01-01' AND ts < TIMESTAMP '1998-02-01' GROUP BY 1, 2) r
     GROUP BY ROLLUP (feed)""", extra={"fr": _FEED_ROWS_SQL}), "AGG14")
 def sync_totals(spark, sf_dir):
-    """Rows per feed in one sync window plus the grand total (feed null) via rollup."""
-    fr = _feed_rows(Tables(spark, sf_dir)).where(in_period("ts", RUN_START, RUN_END))
-    return fr.rollup("feed").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("clinic_id").alias("clinics"))
+    """Rows, clinics and failed clinics per feed in one sync run, and the grand total (feed null)."""
+    run = (_feed_rows(Tables(spark, sf_dir)).where(in_period("ts", RUN_START, RUN_END)).groupBy("feed", "clinic_id")
+           .agg(F.count(F.lit(1)).alias("rows"))
+           .withColumn("error", F.when(F.col("clinic_id").isin(list(FAILED_CLINICS)), F.lit(ERROR_TEXT))))
+    return merge.sync_totals(run)
+
+
+@register("state_top", with_views(["appointments", "appointment_logs", "payments"], """
+    SELECT feed, clinic_id, COUNT(*) AS rows_synced_total FROM fr WHERE ts < TIMESTAMP '1998-01-01'
+    GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10""", extra={"fr": _FEED_ROWS_SQL}), "SRT3")
+def state_top(spark, sf_dir):
+    """The ten states with the most rows."""
+    state = (_feed_rows(Tables(spark, sf_dir)).where(F.col("ts") < F.lit(RUN_START).cast("timestamp_ntz"))
+             .groupBy("feed", "clinic_id").agg(F.count(F.lit(1)).alias("rows_synced_total")))
+    return merge.state_listing(state, 10)
+
+
+@register("lookback_logs", with_views(["appointment_logs"], """
+    SELECT to_status, COUNT(*) AS logs FROM appointment_logs
+    WHERE change_date >= TIMESTAMP '1998-01-25' AND change_date < TIMESTAMP '1998-01-31' GROUP BY 1"""), "DAT3 FLT13")
+def lookback_logs(spark, sf_dir):
+    """Logs of the last ten days, a lookback that is cut to six."""
+    now = dt.datetime(1998, 1, 31)
+    lg = Tables(spark, sf_dir).appointment_logs.where(in_period("change_date", lookback_bound(now, 240), now))
+    return lg.groupBy("to_status").agg(F.count(F.lit(1)).alias("logs"))
+
+
+@register("numeric_lead_ids", with_views(["leads"], """
+    SELECT id, account_id FROM leads WHERE id % 4 <> 0"""), "PRJ7")
+def numeric_lead_ids(spark, sf_dir):
+    """Lead ids that come as text: numbers are kept as numbers, anything else is dropped."""
+    text = F.when(F.col("id") % 4 == 0, F.concat(F.lit("x"), F.col("id").cast("string"))).otherwise(F.col("id").cast("string"))
+    return ld.numeric_ids(Tables(spark, sf_dir).leads.select(text.alias("id"), "account_id"))
 
 
 RET_NOW = dt.datetime(1998, 3, 15, 12, 0)

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from molarflow.functions.misc import short_digest
+from molarflow.functions.misc import digest
 from molarflow.functions.phone import phone_key
 from molarflow.functions.text import fold_name
 from molarflow.operators.filters import in_period
@@ -38,11 +38,11 @@ def folded_names(spark, sf_dir):
 
 
 @register("phone_pseudonyms", with_views(["leads"], f"""
-    SELECT id, account_id, substr(sha256({phone_key_sql('phone_raw')}), 1, 24) AS pseudonym
+    SELECT id, account_id, sha256({phone_key_sql('phone_raw')}) AS pseudonym
     FROM leads WHERE {phone_key_sql('phone_raw')} IS NOT NULL"""), "HSH1 STR4")
 def phone_pseudonyms(spark, sf_dir):
     ld = Tables(spark, sf_dir).leads.withColumn("_pk", phone_key("phone_raw")).where(F.col("_pk").isNotNull())
-    return ld.select("id", "account_id", short_digest("_pk").alias("pseudonym"))
+    return ld.select("id", "account_id", digest("_pk").alias("pseudonym"))
 
 
 @register("generic_scan", with_views(["payments"], """

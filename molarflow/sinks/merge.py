@@ -136,3 +136,9 @@ def state_listing(state: DataFrame, n: int | None = None) -> DataFrame:
     """SRT3: sync state ordered by cumulative rows (largest first), optional top-n."""
     df = state.orderBy(F.col("rows_synced_total").desc_nulls_first(), "feed", "clinic_id")
     return df.limit(n) if n else df
+
+
+def sync_totals(run: DataFrame) -> DataFrame:
+    """AGG14: rows, units and failed units per feed of one run (feed, clinic_id, rows, error), and in total."""
+    return run.rollup("feed").agg(F.sum("rows").alias("rows"), F.count_distinct("clinic_id").alias("clinics"),
+                                  F.count("error").alias("errors"))

@@ -58,8 +58,9 @@ def test_funnel_request_validation(spark):
     from molarflow.plans.params import FunnelRequest, ParamError
     r = FunnelRequest(start="2026-04-01", end="2026-05-01", limit="5000", offset="-1")
     assert (r.limit, r.offset) == (500, 0) and r.min_lead == dt.datetime(2026, 4, 6)
+    assert (lambda b: (b[1] - b[0]).days)(FunnelRequest(start="2026-01-01", end="2026-12-01").bounds) == 334
     with pytest.raises(ParamError):
-        _ = FunnelRequest(start="2026-01-01", end="2026-06-01").bounds
+        _ = FunnelRequest(start="2026-06-01", end="2026-01-01").bounds
     stages = spark.createDataFrame([], "id long, account_id long, name string, phone_raw string, "
                                        "created_at_cw timestamp_ntz, scheduled boolean, confirmed boolean, "
                                        "attended boolean, sold boolean")

@@ -1,11 +1,14 @@
 """Stream = batch: the landing split into k deliveries gives the table one batch gives."""
 
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from molarflow import schemas
 from molarflow.sinks.merge import upsert
+from molarflow.sinks.versioned import VersionedTable
 from molarflow.sources import testdata
 from molarflow.streaming import ingest
 
@@ -44,6 +47,77 @@ def test_malformed_landing_lines_are_quarantined(spark, tmp_dir):
     body = ingest.monthly_upsert_writer(table, schemas.PAYMENTS, ["id"], "date")
     ingest.run_available(spark, landing, schemas.PAYMENTS, os.path.join(tmp_dir, "ckpt"), body,
                          quarantine_dir=quarantine)
-    assert [r.id for r in spark.read.parquet(table).collect()] == ["a"]
+    assert [r.id for r in _table(spark, table).read().collect()] == ["a"]
     bad = spark.read.json(quarantine).collect()
     assert len(bad) == 2 and any(r.raw_line == "not json" for r in bad)
+
+
+def _table(spark, path):
+    return VersionedTable(spark, path, schemas.PAYMENTS, ["id"], "date", "clinic_id")
+
+
+def _pay(spark, *rows):
+    return spark.createDataFrame([(i, c, d, float(a)) for i, c, d, a in rows], "id string, clinic_id string, date string, amount double")
+
+
+def _stored(df):
+    return {r.id: (r.clinic_id, str(r.date)[:10] if r.date else None, float(r.amount)) for r in df.collect()}
+
+
+def test_null_dates_stay_and_moved_keys_are_stored_once(spark, tmp_dir):
+    out = ingest.feed_ingest(spark, tmp_dir, schemas.PAYMENTS, ["id"], "date", [
+        _pay(spark, ("n1", "1", None, 1), ("n2", None, None, 2), ("x", "1", "2026-04-30", 3), ("y", "1", "2026-04-30T10:00:00Z", 4)),
+        _pay(spark, ("n3", "1", None, 5), ("x", "1", "2026-05-04", 6), ("y", "2", "2026-04-30T10:00:00-03:00", 7))])
+    assert out.count() == 5
+    assert _stored(out) == {"n1": ("1", None, 1.0), "n2": (None, None, 2.0), "n3": ("1", None, 5.0),
+                            "x": ("1", "2026-05-04", 6.0), "y": ("2", "2026-04-30", 7.0)}
+
+
+def test_backlog_keeps_the_later_pull_and_the_first_row_of_a_pull(spark, tmp_dir):
+    out = ingest.feed_ingest(spark, tmp_dir, schemas.PAYMENTS, ["id"], "date", [[
+        _pay(spark, ("a", "1", "2026-04-01", 1)).coalesce(1),
+        _pay(spark, ("a", "1", "2026-04-02", 2), ("a", "1", "2026-04-03", 3)).coalesce(1)]])
+    assert _stored(out) == {"a": ("1", "2026-04-02", 2.0)}
+
+
+def test_unparsable_time_goes_to_quarantine(spark, tmp_dir):
+    out = ingest.feed_ingest(spark, tmp_dir, schemas.PAYMENTS, ["id"], "date",
+                             [_pay(spark, ("a", "1", "2026-04-01T00:00:00+02:00", 1), ("b", "1", "yesterday", 2), ("c", "1", "1704067200", 3))])
+    assert _stored(out) == {"a": ("1", "2026-03-31", 1.0), "c": ("1", "2024-01-01", 3.0)}
+    assert spark.read.json(os.path.join(tmp_dir, "quarantine")).count() == 1
+
+
+def test_crash_before_the_commit_leaves_the_old_version(spark, tmp_dir, monkeypatch):
+    ingest.feed_ingest(spark, tmp_dir, schemas.PAYMENTS, ["id"], "date", [_pay(spark, ("a", "1", "2026-04-01", 1), ("b", "1", "2026-04-02", 1))])
+    table = _table(spark, os.path.join(tmp_dir, "table"))
+    ingest.land(_pay(spark, ("a", "2", "2026-05-01", 9)), os.path.join(tmp_dir, "landing"))
+    body = ingest.monthly_upsert_writer(table.root, schemas.PAYMENTS, ["id"], "date")
+
+    def crash(self, kept, rows):
+        self._placed(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("month", "slice") \
+            .parquet(f"{self.root}/data/v=2")
+        raise RuntimeError("lost")
+
+    run = lambda: ingest.run_available(spark, os.path.join(tmp_dir, "landing"), schemas.PAYMENTS,
+                                       os.path.join(tmp_dir, "stream-ckpt"), body)
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_commit", crash)
+        with pytest.raises(Exception):
+            run()
+    assert _stored(table.read()) == {"a": ("1", "2026-04-01", 1.0), "b": ("1", "2026-04-02", 1.0)}
+    run()
+    assert _stored(table.read()) == {"a": ("2", "2026-05-01", 9.0), "b": ("1", "2026-04-02", 1.0)}
+
+
+def test_retention_deletes_and_vacuum(spark, tmp_dir):
+    table = _table(spark, os.path.join(tmp_dir, "t"))
+    pays = testdata.payments(spark, SF_SMALL).dropDuplicates(["id"]).orderBy("id").limit(50)
+    table.upsert(pays, order=F.lit(1))
+    table.upsert(pays.withColumn("date", F.lit(dt.datetime(2026, 1, 5)).cast("timestamp_ntz")), order=F.lit(1))
+    table.upsert(pays.orderBy("id").limit(1).withColumns({"id": F.lit("none"), "date": F.lit(None).cast("timestamp_ntz")}), order=F.lit(1))
+    assert table.read().count() == 51
+    table.retain(dt.datetime(2026, 5, 1))
+    assert [r.id for r in table.read().collect()] == ["none"]
+    assert table.vacuum() > 0 and [r.id for r in table.read().collect()] == ["none"]
+    table.delete(spark.createDataFrame([("none",)], "id string"))
+    assert table.read().count() == 0
