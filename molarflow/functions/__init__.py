@@ -1,5 +1,5 @@
 from molarflow.functions.text import (  # noqa: F401
-    fold_name, search_name, phone_digits, strip_accents, truncate, contains_folded,
+    fold_name, phone_digits, strip_accents, truncate,
     fold_text, search_text, parse_list, parse_int_list,
 )
 from molarflow.functions.phone import phone_key, phone_variants  # noqa: F401

@@ -46,11 +46,6 @@ def fold_name(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(strip_accents(c), r"(?U)\s+", " "))
 
 
-def search_name(c: Column | str) -> Column:
-    """STR2: fold without collapsing spaces, and `(`, `)`, `,`, `*` become spaces."""
-    return F.trim(F.translate(strip_accents(c), "(),*", "    "))
-
-
 def phone_digits(c: Column | str) -> Column:
     """STR3: keep decimal digits only."""
     return F.regexp_replace(_col(c), r"[^0-9]", "")
@@ -61,11 +56,6 @@ def truncate(c: Column | str, n: int = 500) -> Column:
     return F.substring(_col(c), 1, n)
 
 
-def contains_folded(c: Column | str, needle: str) -> Column:
-    """STR6: literal, case/accent-insensitive substring test against a folded column."""
-    return F.instr(_col(c), needle) > 0
-
-
 # ---- request-side helpers (driver, tiny inputs) ----
 
 def fold_text(s: str | None) -> str:
@@ -77,7 +67,7 @@ def fold_text(s: str | None) -> str:
 
 
 def search_text(s: str | None) -> str:
-    """Driver twin of `search_name` for the free-text search box."""
+    """STR2: the free-text search box folded, without `(`, `)`, `,` and `*`."""
     if s is None:
         return ""
     s = _COMBINING.sub("", unicodedata.normalize("NFD", str(s))).lower()

@@ -147,17 +147,6 @@ def attribute_v2(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     return flagged.withColumn("owner", owner).drop("_asof")
 
 
-def attribute_v3(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
-                 domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """JOI8/V3 (superseded): agent iff the agent touched any appointment of the
-    patient within the same 30-day window (no specialty/attendance test)."""
-    base = appointments.where(F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
-    touched = with_agent_touch(base.select("id", "patient_id", "start_time", "channel_id"), logs, domain) \
-        .where(F.col("agent_touched"))
-    flagged = _asof_latest(payments, touched, F.lit(True), domain.window_days, domain.asof_bucket_days)
-    return flagged.withColumn("owner", owner_label(F.col("_asof").isNotNull())).drop("_asof")
-
-
 def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
                  domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
     """JOI8/V1 (superseded): agent iff the patient's first concluded (status 8)
@@ -175,9 +164,6 @@ def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     return j.withColumn("owner", owner_label(is_agent)).drop("_pid", "_first_t", "_first_agent")
 
 
-RULES = {"v1": attribute_v1, "v2": attribute_v2, "v3": attribute_v3, "v4": attribute_v4}
-
-
 def attribute_window_rules(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
                            domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
     """V2, V3 and V4 in ONE pass: one scan of the payments, one shuffle and sort of

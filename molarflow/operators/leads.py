@@ -122,16 +122,23 @@ def seen_ids(union: DataFrame) -> DataFrame:
     return union.select("account_id", "id").distinct()
 
 
+def presence(stored: DataFrame, seen: DataFrame, label: str = CAMPAIGN_LABEL) -> DataFrame:
+    """One row per (account_id, id) of the stored tagged leads and the seen ids, with 0/1 flags
+    `stored` and `seen`: both inputs are read and shuffled once."""
+    have = stored.where(F.array_contains("labels", label)).select("account_id", "id", F.lit(1).alias("stored"), F.lit(0).alias("seen"))
+    found = seen.select("account_id", "id", F.lit(0).alias("stored"), F.lit(1).alias("seen"))
+    return have.unionByName(found).groupBy("account_id", "id").agg(F.max("stored").alias("stored"), F.max("seen").alias("seen"))
+
+
 def stale_leads(stored: DataFrame, seen: DataFrame, failed_accounts: DataFrame | None = None,
                 label: str = CAMPAIGN_LABEL) -> DataFrame:
     """JOI9/SET3: stored tagged leads of an account that the full refresh did not see.
     Guards: an account with nothing seen, or with a failed source, deletes nothing."""
-    seen_acc = seen.select("account_id").distinct()
-    candidates = stored.where(F.array_contains("labels", label)).select("account_id", "id")
-    candidates = candidates.join(seen_acc, "account_id", "left_semi")
+    both = presence(stored, seen, label)
+    accounts = both.groupBy("account_id").agg(F.max("seen").alias("any")).where("any = 1").select("account_id")
     if failed_accounts is not None:
-        candidates = candidates.join(failed_accounts.select("account_id"), "account_id", "left_anti")
-    return candidates.join(seen, ["account_id", "id"], "left_anti")
+        accounts = accounts.join(failed_accounts.select("account_id"), "account_id", "left_anti")
+    return both.where("stored = 1 AND seen = 0").select("account_id", "id").join(accounts, "account_id", "left_semi")
 
 
 def delete_keys(table: DataFrame, keys: DataFrame, key_cols=("account_id", "id")) -> DataFrame:
@@ -139,19 +146,21 @@ def delete_keys(table: DataFrame, keys: DataFrame, key_cols=("account_id", "id")
     return table.join(keys.select(*key_cols), list(key_cols), "left_anti")
 
 
-def reconcile_audit(stored: DataFrame, seen: DataFrame, stale: DataFrame, label: str = CAMPAIGN_LABEL) -> DataFrame:
-    """AGG15: per account source / stored / stale / deleted counts, plus a totals row
-    (account_id null) from `rollup`."""
-    src = seen.groupBy("account_id").agg(F.count(F.lit(1)).alias("source_count"))
-    sto = (stored.where(F.array_contains("labels", label)).groupBy("account_id")
-           .agg(F.count(F.lit(1)).alias("stored_count")))
-    stl = stale.groupBy("account_id").agg(F.count(F.lit(1)).alias("stale_count"))
-    per = (sto.join(src, "account_id", "full").join(stl, "account_id", "left")
-           .fillna(0, subset=["source_count", "stored_count", "stale_count"]))
-    per = per.withColumn("deleted", F.when(F.col("source_count") > 0, F.col("stale_count")).otherwise(F.lit(0)))
+def reconcile_audit(stored: DataFrame, seen: DataFrame, failed_accounts: DataFrame | None = None,
+                    label: str = CAMPAIGN_LABEL) -> DataFrame:
+    """AGG15: per account source / stored / stale / deleted counts (stale under the guards of
+    `stale_leads`), plus a totals row (account_id null) from `rollup`."""
+    per = presence(stored, seen, label).groupBy("account_id").agg(
+        F.sum("seen").alias("source_count"), F.sum("stored").alias("stored_count"),
+        F.sum(F.expr("stored * (1 - seen)")).alias("missing"))
+    guard = F.col("source_count") > 0
+    if failed_accounts is not None:
+        per = per.join(failed_accounts.select("account_id", F.lit(True).alias("_failed")), "account_id", "left")
+        guard = guard & F.col("_failed").isNull()
+    per = per.withColumn("stale_count", F.when(guard, F.col("missing")).otherwise(0))
     return (per.rollup("account_id")
             .agg(F.sum("source_count").alias("source_count"), F.sum("stored_count").alias("stored_count"),
-                 F.sum("stale_count").alias("stale_count"), F.sum("deleted").alias("deleted")))
+                 F.sum("stale_count").alias("stale_count"), F.sum("stale_count").alias("deleted")))
 
 
 def activity_watermark(previous: DataFrame, batch: DataFrame) -> DataFrame:
@@ -173,7 +182,12 @@ def campaign_contacts(conversations: DataFrame, units: DataFrame, label: str = C
         F.coalesce(F.col("meta.sender.id"), F.col("contact_id")).alias("contact"))
     c = c.where(F.col("year_month").isNotNull())
     clinic = units.select(F.col("account_id"), F.col("clinic_id"))
-    return (c.join(clinic, "account_id").groupBy("clinic_id", "year_month")
-            .agg(F.count_distinct("contact").alias("contacts_count"),
-                 F.count_distinct("conv_id").alias("conversations_count"))
+    keys = F.explode(F.array(F.struct(F.lit("contact").alias("kind"), F.col("contact").alias("key")),
+                             F.struct(F.lit("conversation").alias("kind"), F.col("conv_id").alias("key"))))
+    # distinct keys first (one aggregation, combined map-side), then a plain count per kind
+    distinct = (c.join(clinic, "account_id").select("clinic_id", "year_month", keys.alias("k"))
+                .select("clinic_id", "year_month", "k.kind", "k.key").distinct())
+    return (distinct.groupBy("clinic_id", "year_month")
+            .agg(F.count_if((F.col("kind") == "contact") & F.col("key").isNotNull()).alias("contacts_count"),
+                 F.count_if((F.col("kind") == "conversation") & F.col("key").isNotNull()).alias("conversations_count"))
             .withColumn("campaign_tag", F.lit(label)))

@@ -33,13 +33,6 @@ def apply_clinics(df: DataFrame, clinics: list[str] | None, column: str = "clini
     return df.where(F.col(column).isin(clinics))
 
 
-def apply_scope_df(df: DataFrame, scope: DataFrame, column: str = "clinic_id") -> DataFrame:
-    """FLT15 with a scope given as a DataFrame of clinic ids (many users, or a scope
-    too large to inline): left-semi join, never fans rows out."""
-    s = scope.select(F.col("clinic_id").alias("_scope_clinic")).where(F.col("_scope_clinic").isNotNull())
-    return df.join(s, df[column] == s["_scope_clinic"], "left_semi")
-
-
 def user_scopes(users: DataFrame, units: DataFrame) -> DataFrame:
     """JOI10: (user_id, clinic_id, rule) for every active user.
 

@@ -145,8 +145,8 @@ def stale_leads(spark, sf_dir):
                  ON c.account_id = COALESCE(a.account_id, b.account_id)) x
     GROUP BY ROLLUP (account_id)""", extra=_RECON_CTES), "AGG15")
 def reconcile_audit(spark, sf_dir):
-    seen, stored, stale = _recon_inputs(Tables(spark, sf_dir))
-    return ld.reconcile_audit(stored, seen, stale)
+    t = Tables(spark, sf_dir)
+    return ld.reconcile_audit(t.leads, _union(t).select("account_id", "id").distinct())
 
 
 @register("leads_after_reconcile", with_views(_UNION_VIEWS + ["leads"], """

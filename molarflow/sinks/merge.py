@@ -55,14 +55,6 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: Iterable[str], preserve: I
     return g.select(*cols)
 
 
-def dedup_first(batch: DataFrame, keys: Iterable[str], ordinal_col: str) -> DataFrame:
-    """WIN3: inside one batch keep the first row per key (by ordinal)."""
-    keys = list(keys)
-    others = [c for c in batch.columns if c not in keys]
-    g = batch.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(ordinal_col)).alias("_f"))
-    return g.select(*keys, "_f.*")
-
-
 def partial_merge(stored: DataFrame, batch: DataFrame, keys: Iterable[str], provided: Column | None = None,
                   provided_col: str = "_provided") -> DataFrame:
     """SNK2: per row of `batch`, only the columns listed in its `_provided`
