@@ -20,6 +20,7 @@ each; very long texts are cut; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -39,6 +40,7 @@ END_ID = 2
 END_OF_WORD = "</w>"
 TOKENIZE_BYTES = 4 << 20
 CACHED_WORDS = 1 << 19
+PUNCTUATION = re.compile(r"[!-&(-/:-@\[-`{-~]+")
 
 
 class WordTokenizer:
@@ -58,14 +60,17 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
 
     def _pre_tokens(self, word: str) -> int:
-        if word.isalpha() and word.isascii():
+        # letters make one pre-token (the dotted capital I is lower-cased to a letter and a mark)
+        if word.isalpha() and "\u0130" not in word:
+            return 1
+        if PUNCTUATION.fullmatch(word):
             return 1
         normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
         return len(self.tokenizer.pre_tokenizer.pre_tokenize_str(normal))
 
     def _encode(self, words: list[str]) -> list[bytes]:
         counts = [self._pre_tokens(w) for w in words]
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
         stops = np.nonzero(self.ends[ids])[0] + 1
         total = np.cumsum([0, *counts])
         if total[-1] == len(stops):
@@ -75,24 +80,30 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text starts (one more at the end)."""
-        lists = pc.split_pattern_regex(pc.fill_null(texts, ""), "[ \n]+")
+        # A-Z are lower-cased and a full stop or comma at the end of a word is set apart: the
+        # tokenizer does both, and doing it here leaves far fewer distinct words
+        plain = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), r"([a-z])([.,]+)( |\n|$)", r"\1 \2\3")
+        lists = pc.split_pattern_regex(plain, "[ \n]+")
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.known) + len(words) > CACHED_WORDS:
             self.known = {}
-        new = [w for w in words if w not in self.known]
+        known = self.known
+        new = [w for w in words if w not in known]
         for at in range(0, len(new), 1000):
             part = new[at:at + 1000]
-            self.known.update(zip(part, self._encode(part)))
-        pieces = [self.known[w] for w in words]
+            known.update(zip(part, self._encode(part)))
+        pieces = [known[w] for w in words]
         flat = np.frombuffer(b"".join(pieces), dtype="<u4")
-        lengths = np.array([len(p) // 4 for p in pieces], np.int64)
-        begins = np.cumsum(lengths) - lengths
+        lengths = np.fromiter(map(len, pieces), np.int32, len(pieces)) >> 2
+        begins = (np.cumsum(lengths) - lengths).astype(np.int32)
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        n = lengths[codes] if len(codes) else np.zeros(0, np.int64)
+        n = lengths[codes] if len(codes) else np.zeros(0, np.int32)
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        source = np.arange(total) + np.repeat(begins[codes] - (ends - n), n) if total else np.zeros(0, np.int64)
+        source = np.arange(total, dtype=np.int32)
+        if total:
+            source += np.repeat(begins[codes] - (ends - n).astype(np.int32), n)
         bounds = np.asarray(lists.offsets.to_numpy(), np.int64) - lists.offsets[0].as_py()
         return flat[source], np.concatenate([[0], ends])[bounds]
 
