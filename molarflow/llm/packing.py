@@ -38,8 +38,9 @@ from molarflow.llm.common import checkpointed
 CAPACITY = 4096
 END_ID = 2
 END_OF_WORD = "</w>"
-TOKENIZE_BYTES = 4 << 20
+TOKENIZE_BYTES = 8 << 20
 CACHED_WORDS = 1 << 19
+SET_APART = r"([^\PL\x{130}])([!-&(-/:-@\[-`{-~]+)( |\n|$)"
 PUNCTUATION = re.compile(r"[!-&(-/:-@\[-`{-~]+")
 
 
@@ -80,9 +81,9 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text starts (one more at the end)."""
-        # A-Z are lower-cased and a full stop or comma at the end of a word is set apart: the
+        # A-Z are lower-cased and punctuation at the end of a word is set apart: the
         # tokenizer does both, and doing it here leaves far fewer distinct words
-        plain = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), r"([a-z])([.,]+)( |\n|$)", r"\1 \2\3")
+        plain = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), SET_APART, r"\1 \2\3")
         lists = pc.split_pattern_regex(plain, "[ \n]+")
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()

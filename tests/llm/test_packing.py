@@ -45,7 +45,8 @@ def check(rows, texts):
 
 
 TEXTS = ["The quick brown fox's 12 jumps", None, "", " ", "Été naïve ﬁn 日本語 'll\tx\r\ny", "a" * 3000, "it's  " * 40,
-         "é combining ​ zero", "word " * 9000, "<|endoftext|> plain"]
+         "é combining ​ zero", "word " * 9000, "<|endoftext|> plain",
+         "É.\u0301 a=\u0338 b<= c!! d's. 't. İ. ﬁ. 漢字。x. end.\n.start A,B ,c. e\u0301. 9. x9. don't, it'll. --"]
 
 
 def test_pieces_and_sequences(docs_of):
