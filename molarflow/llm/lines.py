@@ -9,7 +9,12 @@ longer lines, SAMPLE of them at evenly spaced places.
 
 A template seen in two or more documents recurs. Its lines are dropped from every
 document but the first (by row order of the table), so no text is lost altogether.
-Lines of fewer than MIN_TOKENS tokens are left alone: they recur by chance.
+Lines of one to four tokens match only exactly (after masking). Left alone are lines of a
+single token and lines under five tokens without a letter or digit (rules, brackets).
+
+Tokens are the pieces between white space; a character of a script written without spaces
+(UNSPACED: Chinese, Japanese, Thai, ...) is a token by itself, so such lines are measured
+in characters.
 
 Scale: equal masked lines are pre-aggregated to one row before any shuffle, so a line
 that fills a third of the table is one row per map task. A leaf is streamed in order of
@@ -38,12 +43,19 @@ from pyspark.sql import functions as F
 from molarflow.llm.common import checkpointed, stable_rows, stored, whole_row
 
 DEPTH = 3
-MIN_TOKENS = 5
+MIN_TOKENS = 2
+MIN_WORDLESS = 5
 SIMILAR = 0.8
 SAMPLE = 16
 VARIABLE = "<*>"
 WILD = -1
 WITH_DIGIT = re.compile(r"\S*\d\S*")
+WORD = re.compile(r"[^\W_]")
+#: Thai, Lao, Tibetan, Myanmar, Khmer, kana and Han letters.
+UNSPACED = "\u0e00-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff" \
+           "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
+TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
 
 def places(n: int) -> list[int]:
@@ -52,27 +64,36 @@ def places(n: int) -> list[int]:
     return [DEPTH + i * rest // SAMPLE for i in range(SAMPLE)] if rest > SAMPLE else list(range(DEPTH, n))
 
 
-def line_key(line: str, places_of: dict[int, list[int]]) -> tuple[int, int, bytes] | None:
-    """(leaf, template hash, 16-bit hashes of the compared tokens) of a line; None if it is too short."""
-    tokens = line.split()
+def tokens_of(line: str) -> list[str] | None:
+    """The tokens of a line, variable fields masked; None if it is left alone."""
+    tokens = line.split() if line.isascii() or not HAS_UNSPACED.search(line) else TOKEN.findall(line)
     n = len(tokens)
-    if n < MIN_TOKENS:
+    if n < MIN_TOKENS or (n < MIN_WORDLESS and not WORD.search(line)):
         return None
     if WITH_DIGIT.search(line):
         masked = [VARIABLE if WITH_DIGIT.match(t) else t for t in tokens]
         if 2 * masked.count(VARIABLE) <= n:
-            tokens = masked
+            return masked
+    return tokens
+
+
+def line_key(line: str, places_of: dict[int, list[int]]) -> tuple[int, int, bytes, int] | None:
+    """(leaf, template hash, 16-bit hashes of the compared tokens, their number) of a line; None if it is left alone."""
+    tokens = tokens_of(line)
+    if tokens is None:
+        return None
+    n = len(tokens)
     at = places_of.get(n)
     if at is None:
         at = places_of[n] = places(n)
     leaf = xxhash.xxh64_intdigest(" ".join((str(n), *tokens[:DEPTH])))
     signature = np.zeros(SAMPLE, np.uint16)
     signature[:len(at)] = [crc32(tokens[i].encode("utf-8", "surrogatepass")) & 0xFFFF for i in at]
-    return leaf, xxhash.xxh64_intdigest(" ".join(tokens)), signature.tobytes()
+    return leaf, xxhash.xxh64_intdigest(" ".join(tokens)), signature.tobytes(), len(at)
 
 
 def line_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """(row, line, leaf, template, n, s0..s3): one row per line long enough."""
+    """(row, line, leaf, template, n, s0..s3): one row per line that is not left alone."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places_of: dict[int, list[int]] = {}
 
@@ -92,7 +113,7 @@ def line_table(docs: DataFrame, text_col: str) -> DataFrame:
                 for i, line in enumerate(text.as_py().split("\n")):
                     key = line_key(line, places_of)
                     if key:
-                        for o, v in zip(out, (row, i, key[0], key[1], min(SAMPLE, len(line.split()) - DEPTH), key[2])):
+                        for o, v in zip(out, (row, i, key[0], key[1], key[3], key[2])):
                             o.append(v)
                 if len(out[0]) > 20000:
                     yield flush(out)

@@ -58,3 +58,11 @@ def test_long_text(docs_of):
     d = docs_of([many, many]).coalesce(1)
     out = texts_of(L.drop_recurring(d))
     assert out[0] == many and out[1] == ""
+
+
+def test_short_lines_and_scripts_without_spaces(docs_of):
+    notice, chinese = "All rights reserved.", "\u672c\u7f51\u7ad9\u7248\u6743\u6240\u6709\u8bf7\u52ff\u8f6c\u8f7d"
+    d = docs_of([f"{notice}\n{chinese}\nPage 1 of 9\n* * *", f"{notice}\n* * *\nAll rights waived.",
+                 f"{chinese}\nPage 7 of 9", f"{chinese[:5]}\nPage one of 9"]).coalesce(1)
+    assert texts_of(L.drop_recurring(d)) == {0: f"{notice}\n{chinese}\nPage 1 of 9\n* * *", 1: "* * *\nAll rights waived.",
+                                            2: "", 3: f"{chinese[:5]}\nPage one of 9"}
