@@ -3,9 +3,8 @@
 A line is routed through a tree of fixed depth: by its number of tokens, then by its
 first DEPTH tokens, a token with a digit counting as the variable field `<*>` (unless most
 tokens have one: rows of numbers are no template). Lines of one leaf are grouped into templates: a line joins the most similar template of its leaf
-if at least SIMILAR of the compared tokens are equal, and tokens that differ then become
-variable fields of that template. Compared are all tokens after the leading ones, or, in
-longer lines, SAMPLE of them at evenly spaced places.
+if at least SIMILAR of the tokens after the leading ones are equal, and tokens that differ then
+become variable fields of that template. All tokens are compared, however long the line is.
 
 A template seen in two or more documents recurs. Its lines are dropped from every
 document but the first (by row order of the table), so no text is lost altogether.
@@ -17,9 +16,11 @@ Tokens are the pieces between white space; a character of a script written witho
 in characters.
 
 Scale: equal masked lines are pre-aggregated to one row before any shuffle, so a line
-that fills a third of the table is one row per map task. A leaf is streamed in order of
-first occurrence; templates are found by exact match on one of (allowed differences + 1)
-segments, so a large leaf costs time in proportion to its distinct lines. Only row
+that fills a third of the table is one row per map task. Only leaves with two or more
+distinct lines are compared: these lines are read again from the document that has them
+first, with a 32-bit hash of every token. A leaf is streamed in order of first occurrence;
+templates are found by exact match on one of (allowed differences + 1) segments, which cover
+all tokens, so no template at SIMILAR is missed. One task holds a leaf. Otherwise only row
 numbers and hashes are shuffled until the documents are rewritten by one join.
 
 Edge cases: null text stays null; an empty text stays empty; a text that loses all its
@@ -46,7 +47,6 @@ DEPTH = 3
 MIN_TOKENS = 2
 MIN_WORDLESS = 5
 SIMILAR = 0.8
-SAMPLE = 16
 VARIABLE = "<*>"
 WILD = -1
 WITH_DIGIT = re.compile(r"\S*\d\S*")
@@ -58,10 +58,9 @@ HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
 TOKEN = re.compile(f"[{UNSPACED}]|[^\\s{UNSPACED}]+")
 
 
-def places(n: int) -> list[int]:
-    """Positions of the compared tokens in a line of n tokens."""
-    rest = n - DEPTH
-    return [DEPTH + i * rest // SAMPLE for i in range(SAMPLE)] if rest > SAMPLE else list(range(DEPTH, n))
+def allowed_differences(n: int) -> int:
+    """Of n compared tokens."""
+    return int(n * (1 - SIMILAR) + 1e-9)
 
 
 def tokens_of(line: str) -> list[str] | None:
@@ -77,53 +76,77 @@ def tokens_of(line: str) -> list[str] | None:
     return tokens
 
 
-def line_key(line: str, places_of: dict[int, list[int]]) -> tuple[int, int, bytes, int] | None:
-    """(leaf, template hash, 16-bit hashes of the compared tokens, their number) of a line; None if it is left alone."""
-    tokens = tokens_of(line)
-    if tokens is None:
-        return None
-    n = len(tokens)
-    at = places_of.get(n)
-    if at is None:
-        at = places_of[n] = places(n)
-    leaf = xxhash.xxh64_intdigest(" ".join((str(n), *tokens[:DEPTH])))
-    signature = np.zeros(SAMPLE, np.uint16)
-    signature[:len(at)] = [crc32(tokens[i].encode("utf-8", "surrogatepass")) & 0xFFFF for i in at]
-    return leaf, xxhash.xxh64_intdigest(" ".join(tokens)), signature.tobytes(), len(at)
+def line_key(tokens: list[str]) -> tuple[int, int]:
+    """(leaf, template hash); a line too short for any difference is a leaf by itself."""
+    whole, n = " ".join(tokens), len(tokens)
+    near = allowed_differences(n - DEPTH) > 0
+    leaf = xxhash.xxh64_intdigest(" ".join((str(n), *tokens[:DEPTH]))) if near else xxhash.xxh64_intdigest(whole, 1)
+    return leaf, xxhash.xxh64_intdigest(whole)
+
+
+def signature(tokens: list[str]) -> bytes:
+    """32-bit hashes of all compared tokens."""
+    return np.array([crc32(t.encode("utf-8", "surrogatepass")) for t in tokens[DEPTH:]], "<u4").tobytes()
+
+
+def _i64(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def numbered(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
 
 
 def line_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """(row, line, leaf, template, n, s0..s3): one row per line that is not left alone."""
+    """(row, line, leaf, template): one row per line that is not left alone."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places_of: dict[int, list[int]] = {}
-
         def flush(out):
-            sig = np.frombuffer(b"".join(out[5]), "<i8").reshape(-1, 4)
-            u64 = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), u64(out[2]), u64(out[3]),
-                 pa.array(out[4], pa.int32()), *[pa.array(sig[:, i].copy()) for i in range(4)]],
-                ["row", "line", "leaf", "template", "n", "s0", "s1", "s2", "s3"])
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
+                                               _i64(out[2]), _i64(out[3])], ["row", "line", "leaf", "template"])
 
         for b in batches:
-            out = [[], [], [], [], [], []]
+            out = [[], [], [], []]
             for row, text in zip(b.column(0).to_pylist(), b.column(1)):
                 if not text.is_valid:
                     continue
                 for i, line in enumerate(text.as_py().split("\n")):
-                    key = line_key(line, places_of)
-                    if key:
-                        for o, v in zip(out, (row, i, key[0], key[1], key[3], key[2])):
+                    tokens = tokens_of(line)
+                    if tokens:
+                        for o, v in zip(out, (row, i, *line_key(tokens))):
                             o.append(v)
                 if len(out[0]) > 20000:
                     yield flush(out)
-                    out = [[], [], [], [], [], []]
+                    out = [[], [], [], []]
             if out[0]:
                 yield flush(out)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "row bigint, line int, leaf bigint, template bigint, n int, "
-                                "s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    return numbered(docs, text_col).mapInArrow(run, "row bigint, line int, leaf bigint, template bigint")
+
+
+def signed_lines(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+    """(leaf, template, sig, low, high, line) of the distinct lines `wanted` (leaf, template, low, high),
+    read from document `low`."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(b.num_rows):
+                row, text, left = b.column(0)[at].as_py(), b.column(1)[at].as_py(), b.column(2)[at].as_py()
+                left = {(x["leaf"], x["template"]): x["high"] for x in left}
+                out = [[], [], [], [], []]
+                for i, line in enumerate(text.split("\n")):
+                    tokens = tokens_of(line)
+                    if tokens:
+                        key = tuple(np.array(line_key(tokens), np.uint64).view(np.int64).tolist())
+                        if key in left:
+                            for o, v in zip(out, (*key, signature(tokens), left.pop(key), i)):
+                                o.append(v)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
+                     pa.array([row] * len(out[0]), pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int32())],
+                    ["leaf", "template", "sig", "low", "high", "line"])
+
+    by_row = wanted.groupBy(F.col("low").alias("row")).agg(F.collect_list(F.struct("leaf", "template", "high")).alias("left"))
+    return numbered(docs, text_col).join(by_row, "row").select("row", "text", "left") \
+        .mapInArrow(run, "leaf bigint, template bigint, sig binary, low bigint, high bigint, line int")
 
 
 class Leaf:
@@ -131,7 +154,7 @@ class Leaf:
 
     def __init__(self, n: int):
         self.n = n
-        self.allowed = int(n * (1 - SIMILAR) + 1e-9)
+        self.allowed = allowed_differences(n)
         cuts = [i * n // (self.allowed + 1) for i in range(self.allowed + 2)]
         self.segments = list(zip(cuts, cuts[1:]))
         self.tokens: list[list[int]] = []
@@ -175,7 +198,7 @@ class Leaf:
 
 
 def _grow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (leaf, template, n, s0..s3, low, high) sorted by leaf and first occurrence: recurring templates."""
+    """Rows (leaf, template, sig, low, high) sorted by leaf and first occurrence: recurring templates."""
     def emit(leaf_id: int, leaf: Leaf) -> Iterator[pa.RecordBatch]:
         found = list(leaf.recurring())
         if found:
@@ -185,14 +208,12 @@ def _grow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     now, leaf = None, None
     for b in batches:
-        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        sigs = np.stack([c.astype("<i8") for c in cols[3:7]], axis=1).copy().view("<u2").reshape(-1, SAMPLE)
-        for key, template, n, sig, low, high in zip(cols[0].tolist(), cols[1].tolist(), cols[2].tolist(), sigs.tolist(),
-                                                    cols[7].tolist(), cols[8].tolist()):
+        for key, template, sig, low, high in zip(*(c.to_pylist() for c in b.columns)):
+            sig = np.frombuffer(sig, "<u4").tolist()
             if key != now:
                 if leaf is not None:
                     yield from emit(now, leaf)
-                now, leaf = key, Leaf(n)
+                now, leaf = key, Leaf(len(sig))
             leaf.add(template, sig, low, high)
     if leaf is not None:
         yield from emit(now, leaf)
@@ -211,21 +232,23 @@ def _small(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def recurring_templates(lines: DataFrame) -> DataFrame:
+def recurring_templates(docs: DataFrame, lines: DataFrame, text_col: str) -> DataFrame:
     """(leaf, template, first): the templates seen in two documents or more, first the row that keeps them."""
-    distinct = lines.groupBy("leaf", "template").agg(
-        F.max("n").alias("n"), *[F.max(f"s{i}").alias(f"s{i}") for i in range(4)],
-        F.min("row").alias("low"), F.max("row").alias("high"), F.min(F.struct("row", "line")).alias("at"))
-    ordered = (distinct.repartition("leaf").sortWithinPartitions("leaf", "at")
-               .select("leaf", "template", "n", "s0", "s1", "s2", "s3", "low", "high"))
-    return ordered.mapInArrow(lambda batches: _small(_grow(batches)), "leaf bigint, template bigint, first bigint")
+    distinct = stored(lines.groupBy("leaf", "template").agg(F.min("row").alias("low"), F.max("row").alias("high")),
+                      "distinct-lines")
+    shared = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
+    exact = distinct.where("low <> high").join(shared, "leaf", "left_anti").select("leaf", "template", "low")
+    ordered = (signed_lines(docs, distinct.join(shared, "leaf"), text_col).repartition("leaf")
+               .sortWithinPartitions("leaf", "low", "line").select("leaf", "template", "sig", "low", "high"))
+    return exact.union(ordered.mapInArrow(lambda batches: _small(_grow(batches)),
+                                          "leaf bigint, template bigint, first bigint")).toDF("leaf", "template", "first")
 
 
 def dropped_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(row, dropped): per row number of `docs` the places of its lines that go."""
     lines = stored(line_table(docs, text_col), "lines")
-    repeated = checkpointed(recurring_templates(lines))
-    return (lines.select("row", "line", "leaf", "template").join(repeated, ["leaf", "template"]).where("row <> first")
+    repeated = checkpointed(recurring_templates(docs, lines, text_col))
+    return (lines.join(repeated, ["leaf", "template"]).where("row <> first")
             .groupBy("row").agg(F.collect_list("line").alias("dropped")))
 
 
@@ -233,12 +256,12 @@ def drop_recurring(docs: DataFrame, text_col: str = "text", n_dropped: str | Non
     """`docs` with the recurring lines of `text_col` taken out, and their number in column `n_dropped` if named."""
     docs = stable_rows(docs, "documents")
     drops = dropped_lines(docs, text_col).withColumnRenamed("row", "__row")
-    numbered = docs.select(whole_row(docs).alias("doc"), F.monotonically_increasing_id().alias("__row"))
+    rows = docs.select(whole_row(docs).alias("doc"), F.monotonically_increasing_id().alias("__row"))
     parts = F.split(F.col(f"doc.`{text_col}`"), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("dropped"))
     text = F.when(F.col("dropped").isNull(), F.col(f"doc.`{text_col}`")) \
         .otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col("parts"), i)), "\n"))
-    joined = numbered.join(drops, "__row", "left").withColumn("parts", F.when(F.col("dropped").isNotNull(), parts))
+    joined = rows.join(drops, "__row", "left").withColumn("parts", F.when(F.col("dropped").isNotNull(), parts))
     out = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
     if n_dropped:
         out.append(F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("bigint").alias(n_dropped))

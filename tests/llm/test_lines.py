@@ -66,3 +66,16 @@ def test_short_lines_and_scripts_without_spaces(docs_of):
                  f"{chinese}\nPage 7 of 9", f"{chinese[:5]}\nPage one of 9"]).coalesce(1)
     assert texts_of(L.drop_recurring(d)) == {0: f"{notice}\n{chinese}\nPage 1 of 9\n* * *", 1: "* * *\nAll rights waived.",
                                             2: "", 3: f"{chinese[:5]}\nPage one of 9"}
+
+
+def test_long_lines_are_compared_on_every_token(docs_of):
+    """Lines that agree at 16 evenly spaced places only are told apart; a line edited at these places is not."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    base = [word() for _ in range(203)]
+    places = {3 + i * 200 // 16 for i in range(16)} | {0, 1, 2}
+    other = [w if i in places else word() for i, w in enumerate(base)]
+    near = [word() if i in places and i > 2 else w for i, w in enumerate(base)]
+    texts = [" ".join(x) for x in (base, other, near)]
+    out = texts_of(L.drop_recurring(docs_of(texts).coalesce(1)))
+    assert out == {0: texts[0], 1: texts[1], 2: ""}
