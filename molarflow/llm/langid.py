@@ -7,10 +7,13 @@ phrases times log2 of the training length, per byte, estimates the cross entropy
 language with the lowest wins. The score is its share when phrase counts are turned into
 likelihoods, 2^-(excess bits per byte * SHARPNESS), so it lies between 0 and 1.
 
-Training uses a bounded sample: per language the texts with the smallest hash of doc_id,
-whole texts of at most a quarter of the language's budget, until `train_bytes` / (number
-of languages) bytes are reached. The automata are dense tables of (state, byte class) over
-the byte classes that occur in the training text, so their memory is bounded too.
+Training uses a bounded sample: per language the texts (with a letter) of the smallest hash
+of doc_id, whole texts of at most a quarter of the language's budget first, then slices of
+longer ones, until `train_bytes` / (number of languages) bytes, but at least MIN_LANGUAGE,
+are reached. So every language that has a text is learned. The driver gets at most some
+eight times these bytes: rows stop where a language's texts, each cut to its budget, reach
+SURPLUS times the budget. The automata are dense tables of (state, byte class) over the byte
+classes that occur in the training text, so their memory is bounded too.
 
 Parsing streams over whole texts: lower-cased, runs of anything but letters as one space,
 cut into segments of SEGMENT bytes that are parsed side by side in numpy; a text's count is
@@ -34,9 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from molarflow.llm.common import crc_bucket
+from molarflow.llm.common import checkpointed, crc_bucket
 
 TRAIN_BYTES = 160_000
+MIN_LANGUAGE = 1000
+MIN_SLICE = 64
+SURPLUS = 4
 SAMPLE_ROWS = 400
 SEGMENT = 256
 LANES = 8192
@@ -114,17 +120,33 @@ def clean(texts: pa.Array) -> pa.Array:
     return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), NO_LETTER, " "), " ")
 
 
+def budget_of(train_bytes: int, languages: int) -> int:
+    """Training bytes of each language."""
+    return max(MIN_LANGUAGE, train_bytes // max(1, languages))
+
+
+def head(raw: bytes, size: int) -> bytes:
+    """The first words of `raw` within `size` bytes, or its first characters where no word fits."""
+    cut = raw[:size].decode("utf-8", "ignore").encode()
+    return cut[:cut.rfind(b" ") + 1] or cut
+
+
 def train(samples: dict[str, list[str]], train_bytes: int = TRAIN_BYTES) -> Model:
     languages = sorted(samples)
-    budget = train_bytes // max(1, len(languages))
+    budget = budget_of(train_bytes, len(languages))
     data = {}
     for lang in languages:
-        texts, left = [], budget
+        texts, longer, left = [], [], budget
         for t in clean(pa.array(samples[lang], pa.string())).to_pylist():
             raw = t.encode("utf-8", "surrogatepass") + b" "
             if 1 < len(raw) <= min(left, max(1, budget // 4)):
                 texts.append(raw)
                 left -= len(raw)
+            elif len(raw) > 1:
+                longer.append(raw)
+        for i, raw in enumerate(longer):  # what is left is dealt over them
+            texts.append(head(raw, min(left, max(MIN_SLICE, left // (len(longer) - i)))))
+            left -= len(texts[-1])
         data[lang] = b"".join(texts)
     languages = [x for x in languages if data[x]]
     used = sorted(set(b"".join(data.values())))
@@ -181,14 +203,19 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
     """Model from labelled rows (doc_id, text, lang): at most `sample_rows` rows of each language are read."""
-    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
+    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("doc_id")
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (known.select("doc_id", "lang", h.alias("h")).withColumn("k", F.row_number().over(first))
-           .where(F.col("k") <= sample_rows).select("doc_id", "lang", "k"))
+    ids = checkpointed(known.select("doc_id", "lang", h.alias("h")).withColumn("k", F.row_number().over(first))
+                       .where(F.col("k") <= sample_rows).select("doc_id", "lang", "k"))
+    budget = budget_of(train_bytes, ids.select("lang").distinct().count())
+    words = F.trim(F.regexp_replace(F.lower("text"), NO_LETTER, " "))
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
     texts = (known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])  # sample_rows per language
-             .where(F.octet_length("text") <= train_bytes)  # a longer text exceeds any budget
-             .groupBy("lang", "k").agg(F.max("text").alias("text")).orderBy("lang", "k"))
+             .groupBy("lang", "k").agg(F.max("text").alias("text"))
+             .select("lang", "k", F.substring(words, 1, budget).alias("text"))
+             .withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < SURPLUS * budget)
+             .select("lang", "text").orderBy("lang", "k"))
     samples: dict[str, list[str]] = {}
     for r in texts.collect():
         samples.setdefault(r.lang, []).append(r.text)

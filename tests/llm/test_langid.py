@@ -67,3 +67,19 @@ def test_undetermined_nulls_repeats_and_empty_table(spark, docs_of):
     none = L.label_documents(docs_of(["abc"], lang=None)).collect()
     assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
     assert L.label_documents(docs_of([])).count() == 0
+
+
+def test_every_language_with_a_text_is_learned(spark):
+    """Long texts only, one of them over TRAIN_BYTES, and many languages: none is lost."""
+    r = random.Random(4)
+    text = lambda a, n: " ".join("".join(r.choice(a) for _ in range(4)) for _ in range(n))
+    samples = {"x": ["abcd " * 50], "long": [text("klmn", 9000)], "huge": ["1 " * 90000 + text("pqrs", 40000)]}
+    model = L.train({k: v for k, v in samples.items() if k != "huge"}, 4000)
+    assert model.languages == ["long", "x"]
+    many = {f"l{i:03}": [text("abcdefgh", 400)] for i in range(200)}
+    assert L.train(many, 20000).languages == sorted(many)
+    rows = [(i, v[0], k) for i, (k, v) in enumerate(samples.items())] + [(9, "123", "digits"), (10, None, "none")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.learn(d)
+    assert model.languages == ["huge", "long", "x"]
+    assert L.predict(model, pa.array(["pqrs srqp qqrr", "klmn nmlk mmkk"]))[0] == ["huge", "long"]
