@@ -1,24 +1,27 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Training data are confirmed toxic documents (positives) and documents without a label
-(unlabelled, toxic or not). A linear classifier over character n-grams is fitted in numpy
+Training data are confirmed toxic documents (positives) and all learning rows, whatever their
+label says (unlabelled, toxic or not). A linear classifier over character n-grams is fitted in numpy
 by full-batch gradient steps on the non-negative risk
 
     prior * E_pos[loss(+)] + max(0, E_unl[loss(-)] - prior * E_pos[loss(-)])
 
 with the logistic loss: the second term is the risk on negatives, corrected by the class
 prior, and kept from going below zero, where the model would fit the unlabelled toxic
-documents as negatives. The prior is the toxic share among labelled learning rows.
+documents as negatives. The prior is the toxic share among labelled learning rows; where these
+are all toxic, it is estimated from the unlabelled rows: an n-gram's share among them is at
+least prior times its share among positives, so the smallest ratio bounds the prior.
 
 Fitting uses a bounded sample: at most `max_positive` and `max_unlabelled` documents,
 those with the smallest hash of doc_id, near copies (same smallest hash of 5-word windows)
-once. Features are the n-grams whose share among positives exceeds that among unlabelled
-by LIFT times and Z standard errors, at most MAX_FEATURES; what marks a document is then a
-few hundred strings. Scoring streams over all documents: one Aho-Corasick pass over the
+once. Features are the n-grams whose share among positives exceeds that among the other rows by
+Z standard errors, and by a likelihood ratio as strong, which holds for few documents too, and
+is LIFT times that among negatives (the unlabelled share less the positives' part in it, by the
+prior); at most MAX_FEATURES. What marks a document is then a few hundred strings. Scoring streams over all documents: one Aho-Corasick pass over the
 lower-cased text marks the n-grams present, and one matrix product per batch scores them.
 
-Edge cases: null and empty texts score the model's intercept; no positives or no unlabelled
-rows fit nothing, and every score is the prior; repeated rows score alike; several labels of
+Edge cases: null and empty texts score the model's intercept; no positives, or no n-gram that
+marks them, fit nothing, and every score is the prior, 0.5 at most, so no document goes; repeated rows score alike; several labels of
 a document count as toxic if one is; an empty table gives an empty result.
 """
 
@@ -43,9 +46,9 @@ MAX_UNLABELLED = 4500
 MAX_FEATURES = 2048
 HASHES = 1 << 23
 CHUNK = 1 << 16
-MIN_DOCUMENTS = 6
 LIFT = 2.5
 Z = 5.0
+PRIOR_Z = 3.0
 STEPS = 1000
 RATE = 0.1
 DECAY = 1e-5
@@ -81,16 +84,35 @@ def _collapse(texts: list[str]) -> list[str]:
     return list(seen.values())
 
 
-def _share_marks(count: np.ndarray, others: np.ndarray, n: int, n_others: int) -> np.ndarray:
-    """Z scores of the n-grams whose share is LIFT times that of the others; -inf for the rest."""
-    p, u = count / n, others / n_others
-    mean = (count + others) / (n + n_others)
-    error = np.sqrt(mean * (1 - mean) * (1 / n + 1 / n_others)) + 1e-12
-    return np.where((count >= MIN_DOCUMENTS) & (p >= LIFT * u), (p - u) / error, -np.inf)
+def _share_marks(count: np.ndarray, others: np.ndarray, n: int, n_others: int, own: int, prior: float) -> np.ndarray:
+    """Z scores of the n-grams whose share exceeds that among the others (without the `own` positives they
+    hold), with a number of documents too high for chance, and is LIFT times the share among negatives;
+    -inf for the rest."""
+    p, rest = count / n, max(1, n_others - own)
+    negative = np.maximum(0, others / n_others - prior * p) / (1 - prior)
+    others = np.clip(others - p * own, 0, rest)
+    u = others / rest
+    mean = np.minimum(1, (count + others) / (n + rest))
+    error = np.sqrt(mean * (1 - mean) * (1 / n + 1 / rest)) + 1e-12
+    q = np.minimum(p, (others + 1) / (rest + 2))
+    ratio = p * np.log(np.maximum(p, 1e-12) / np.maximum(q, 1e-12)) + (1 - p) * np.log(np.maximum(1 - p, 1e-12) / (1 - q + 1e-12))
+    return np.where((2 * n * ratio >= Z * Z) & (p >= LIFT * negative), (p - u) / error, -np.inf)
 
 
-def select_ngrams(positive: list[str], unlabelled: list[str]) -> list[str]:
-    """The n-grams that mark the positives, strongest first.
+def _prior_bound(count: np.ndarray, others: np.ndarray, n: int, n_others: int) -> float:
+    """The smallest ratio of an n-gram's share among the others and among positives, with PRIOR_Z errors on both."""
+    p = count / n
+    low = p - PRIOR_Z * np.sqrt(p * (1 - p) / n + 1 / n ** 2)
+    high = (others + PRIOR_Z * np.sqrt(others + 1.0)) / n_others
+    return float(np.min(np.where(low > 0, high / np.maximum(low, 1e-12), 1.0)))
+
+
+def clamped(prior: float) -> float:
+    return min(0.9, max(0.001, prior))
+
+
+def select_ngrams(positive: list[str], unlabelled: list[str], prior: float | None) -> tuple[list[str], float]:
+    """The n-grams that mark the positives, strongest first, and the prior, estimated if it is None.
 
     Documents are counted by n-gram hash in two arrays of fixed size; only n-grams whose hash
     stands out are then kept as strings and counted exactly."""
@@ -104,8 +126,11 @@ def select_ngrams(positive: list[str], unlabelled: list[str]) -> list[str]:
         return c
 
     pos, unl = count(positive), count(unlabelled)
-    marked = np.concatenate([_share_marks(pos[i:i + CHUNK], unl[i:i + CHUNK], len(positive), len(unlabelled)) >= Z
-                             for i in range(0, HASHES, CHUNK)])
+    sizes, chunks = (len(positive), len(unlabelled)), range(0, HASHES, CHUNK)
+    own = len(set(positive) & set(unlabelled))
+    if prior is None:
+        prior = clamped(min(_prior_bound(pos[i:i + CHUNK], unl[i:i + CHUNK], *sizes) for i in chunks))
+    marked = np.concatenate([_share_marks(pos[i:i + CHUNK], unl[i:i + CHUNK], *sizes, own, prior) >= Z for i in chunks])
     del pos, unl
     found: set[str] = set()
     for t in positive:
@@ -116,9 +141,9 @@ def select_ngrams(positive: list[str], unlabelled: list[str]) -> list[str]:
     mark = Marker(grams)
     exact = [sum((mark(texts[i:i + 256]).sum(axis=0) for i in range(0, len(texts), 256)), np.zeros(len(grams)))
              for texts in (positive, unlabelled)]
-    z = _share_marks(*exact, len(positive), len(unlabelled))
+    z = _share_marks(*exact, *sizes, own, prior)
     best = sorted((-z[i], g) for i, g in enumerate(grams) if z[i] >= Z)
-    return [g for _, g in best[:MAX_FEATURES]]
+    return [g for _, g in best[:MAX_FEATURES]], prior
 
 
 class Marker:
@@ -184,19 +209,22 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_positive
              .select("doc_id", "toxic", F.xxhash64("doc_id").alias("h")))
     n = keyed.groupBy("toxic").count().collect()  # at most three rows
     n_of = {r.toxic: r["count"] for r in n}
-    prior = min(0.9, max(0.001, n_of.get(1, 0) / max(1, n_of.get(0, 0) + n_of.get(1, 0))))
-    intercept = float(np.log(prior / (1 - prior)))
-    if not n_of.get(1) or not n_of.get(None):
-        return Model([], np.zeros(0), intercept)
-    chosen = (keyed.where("toxic = 1").orderBy("h", "doc_id").limit(max_positive)
-              .union(keyed.where("toxic IS NULL").orderBy("h", "doc_id").limit(max_unlabelled)))
+    prior = clamped(n_of.get(1, 0) / max(1, n_of.get(0, 0) + n_of.get(1, 0))) if n_of.get(0) or not n_of.get(1) else None
+    if not n_of.get(1):
+        return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
+    pos, unl = F.lit(1).alias("part"), F.lit(0).alias("part")
+    chosen = (keyed.where("toxic = 1").orderBy("h", "doc_id").limit(max_positive).select("doc_id", pos)
+              .union(keyed.orderBy("h", "doc_id").limit(max_unlabelled).select("doc_id", unl))
+              .groupBy("doc_id").agg(F.max("part").alias("positive"), F.min("part").alias("only")))
     sample = (docs.select("doc_id", F.col(text_col).alias("text"))
               .join(F.broadcast(chosen), "doc_id")  # at most max_positive + max_unlabelled ids
-              .groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).orderBy("doc_id").collect())
-    positive = _collapse([plain(r.text) for r in sample if r.toxic == 1])
-    unlabelled = _collapse([plain(r.text) for r in sample if r.toxic is None])
+              .groupBy("doc_id", "positive", "only").agg(F.max("text").alias("text")).orderBy("doc_id").collect())
+    positive = _collapse([plain(r.text) for r in sample if r.positive])
+    unlabelled = _collapse([plain(r.text) for r in sample if not r.only])
     del sample
-    ngrams = select_ngrams(positive, unlabelled)
+    ngrams, prior = select_ngrams(positive, unlabelled, prior)
+    if not ngrams:
+        return Model([], np.zeros(0), min(0.0, float(np.log(prior / (1 - prior)))))
     mark = Marker(ngrams)
     weights, intercept = fit_nnpu(mark(positive), mark(unlabelled), prior)
     return Model(ngrams, weights, intercept)

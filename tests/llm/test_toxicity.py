@@ -65,3 +65,23 @@ def test_risk_gradient_by_differences():
 
     w, b = X.fit_nnpu(xp, xu, prior)
     assert risk(np.append(w, b)) < risk(w0)
+
+
+def held_out_rates(spark, rows):
+    """(share of toxic rows caught, of clean rows caught) outside the learning rows."""
+    truth = {i: x for i, _, x, _ in rows}
+    held = [r for r in X.score_documents(*frames(spark, rows)).collect() if r.held_out]
+    return tuple(np.mean([r.predicted for r in held if truth[r.doc_id] == k]) for k in (1, 0))
+
+
+def test_labels_of_any_kind(spark):
+    """Everything labelled, positives only, mostly toxic text, and few positives."""
+    rows = corpus(900, 2)
+    clean = [r for r in rows if not r[2]]
+    cases = {"all labelled": [(i, t, x, True) for i, t, x, _ in rows],
+             "positives only": [(i, t, x, x and known) for i, t, x, known in rows],
+             "mostly toxic": [r for r in corpus(2500, 3) if r[2] or r[0] % 8 == 0],
+             "few positives": clean + [(10 ** 6 + i, f"{t} vilewort", 1, True) for i, t, _, _ in clean[:12]]}
+    for name, case in cases.items():
+        caught, wrong = held_out_rates(spark, case)
+        assert caught >= 0.9 and wrong <= 0.02, (name, caught, wrong)
