@@ -13,7 +13,8 @@ are all toxic, it is estimated from the unlabelled rows: an n-gram's share among
 least prior times its share among positives, so the smallest ratio bounds the prior.
 
 Fitting uses a bounded sample: at most `max_positive` and `max_unlabelled` documents,
-those with the smallest hash of doc_id, near copies (same smallest hash of 5-word windows)
+those with the smallest hash of doc_id, as far as POSITIVE_BYTES and UNLABELLED_BYTES of text go
+(of a text its first TEXT_CHARS characters; the driver gets no more), near copies (same smallest hash of 5-word windows)
 once. Features are the n-grams whose share among positives exceeds that among the other rows by
 Z standard errors, and by a likelihood ratio as strong, which holds for few documents too, and
 is LIFT times that among negatives (the unlabelled share less the positives' part in it, by the
@@ -38,11 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
 
 from molarflow.llm.common import crc_bucket, whole_row
 
 MAX_POSITIVE = 1500
 MAX_UNLABELLED = 4500
+POSITIVE_BYTES = 12_000_000
+UNLABELLED_BYTES = 36_000_000
+TEXT_CHARS = 200_000
 MAX_FEATURES = 2048
 HASHES = 1 << 23
 CHUNK = 1 << 16
@@ -201,6 +206,20 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.nda
     return w[:-1][of], float(w[-1])
 
 
+def within_bytes(sample: DataFrame, positive_bytes: int, unlabelled_bytes: int) -> DataFrame:
+    """The rows (doc_id, positive, only, text) as (doc_id, positive, unlabelled, text), texts cut to TEXT_CHARS;
+    a role ends, in order of the hash of doc_id, where its texts reach its bytes."""
+    cut = sample.withColumn("text", F.substring("text", 1, TEXT_CHARS)).withColumn("h", F.xxhash64("doc_id"))
+
+    def before(role: str):  # a window over the bounded sample
+        w = Window.partitionBy(role).orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(F.octet_length("text")).over(w), F.lit(0))
+
+    return cut.select("doc_id", ((F.col("positive") == 1) & (before("positive") < positive_bytes)).alias("positive"),
+                      ((F.col("only") == 0) & (before("only") < unlabelled_bytes)).alias("unlabelled"), "text") \
+        .where("positive OR unlabelled")
+
+
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_positive: int = MAX_POSITIVE,
         max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Fit on `docs` (doc_id, text) with the confirmed positives of `labels` (doc_id, toxic)."""
@@ -218,9 +237,10 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_positive
               .groupBy("doc_id").agg(F.max("part").alias("positive"), F.min("part").alias("only")))
     sample = (docs.select("doc_id", F.col(text_col).alias("text"))
               .join(F.broadcast(chosen), "doc_id")  # at most max_positive + max_unlabelled ids
-              .groupBy("doc_id", "positive", "only").agg(F.max("text").alias("text")).orderBy("doc_id").collect())
+              .groupBy("doc_id", "positive", "only").agg(F.max("text").alias("text")))
+    sample = within_bytes(sample, POSITIVE_BYTES, UNLABELLED_BYTES).orderBy("doc_id").collect()
     positive = _collapse([plain(r.text) for r in sample if r.positive])
-    unlabelled = _collapse([plain(r.text) for r in sample if not r.only])
+    unlabelled = _collapse([plain(r.text) for r in sample if r.unlabelled])
     del sample
     ngrams, prior = select_ngrams(positive, unlabelled, prior)
     if not ngrams:

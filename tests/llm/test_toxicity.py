@@ -85,3 +85,12 @@ def test_labels_of_any_kind(spark):
     for name, case in cases.items():
         caught, wrong = held_out_rates(spark, case)
         assert caught >= 0.9 and wrong <= 0.02, (name, caught, wrong)
+
+
+def test_sample_ends_at_its_bytes(spark):
+    """Forty texts of 300 kB do not reach the driver whole."""
+    rows = [(i, int(i % 4 == 0), int(i % 2 == 0 and i % 8 > 0), "w " * 150_000) for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id bigint, positive int, only int, text string")
+    out = X.within_bytes(d, 300_000, 500_000).collect()
+    assert all(len(r.text) == X.TEXT_CHARS for r in out)
+    assert sum(r.positive for r in out) == 2 and sum(r.unlabelled for r in out) == 3
