@@ -121,3 +121,27 @@ def test_retention_deletes_and_vacuum(spark, tmp_dir):
     assert table.vacuum() > 0 and [r.id for r in table.read().collect()] == ["none"]
     table.delete(spark.createDataFrame([("none",)], "id string"))
     assert table.read().count() == 0
+
+
+def test_first_pull_is_written_by_all_tasks(spark, tmp_dir):
+    """A row comes before its copy in one part file, and the pull has many part files."""
+    from molarflow.plans.q_stream import _with_copies
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _with_copies(spark.range(400).selectExpr("id", "CAST(id % 7 AS INT) AS status")).write.json(f"{tmp_dir}/pull")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    files = {}
+    for r in spark.read.json(f"{tmp_dir}/pull").selectExpr("id", "status", "_metadata.file_name AS f",
+                                                           "monotonically_increasing_id() AS n").orderBy("n").collect():
+        files.setdefault(r.f, []).append((r.id, r.status))
+    assert len(files) > 1 and sum(map(len, files.values())) == 500
+    seen = {}
+    for rows in files.values():
+        here = {}
+        for i, status in rows:
+            here.setdefault(i, []).append(status)
+        assert not here.keys() & seen.keys()
+        seen |= here
+    assert all(seen[i] == ([i % 7, 99] if i % 4 == 0 else [i % 7]) for i in range(400))
