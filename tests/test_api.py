@@ -11,7 +11,7 @@ from molarflow.plans.params import ParamError
 from molarflow.plans.registry import Tables
 from molarflow.sources.tables import LakeTables
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _rows(df):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from molarflow.operators import attribution as att
 from molarflow.sources import testdata
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 D = dt.datetime
 PAY_T = D(2026, 4, 30, 12, 0, 0)

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from molarflow.plans import REGISTRY
 from tools.oracle_check import compare, duck
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 
 MID_ONLY = {"stream_feed_upsert", "stream_logs_upsert", "retention_apply"}
 QUERIES = {name: build for name, build in E.queries().items() if name in REGISTRY}

@@ -11,7 +11,7 @@ from molarflow.operators import attribution as att
 from molarflow.operators import funnel
 from molarflow.sources import testdata
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 BASE = dt.datetime(2026, 1, 1)
 W = dt.timedelta(days=30)

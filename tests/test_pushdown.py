@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from molarflow.plans.registry import Tables
 
 

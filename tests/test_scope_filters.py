@@ -9,7 +9,7 @@ from molarflow.operators import audit, filters, scope
 from molarflow.plans.params import AppointmentRequest, ParamError, validate_period, page_params, drill_params
 from molarflow.sources.testdata import appointments as appt_adapter
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_resolve_clinics_rules():

@@ -11,7 +11,7 @@ from molarflow.sinks.merge import state_listing
 from molarflow.sources import tables, testdata
 from molarflow.sources.jsonl import write_units
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_read_feed_month_partitions(spark, tmp_dir):

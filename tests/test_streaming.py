@@ -12,7 +12,7 @@ from molarflow.sinks.versioned import VersionedTable
 from molarflow.sources import testdata
 from molarflow.streaming import ingest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _canon(df):
