@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from molarflow.llm import bpe, fingerprint, langid, lines, packing, quality, simhash, toxicity, urlrules, warc
+from molarflow.llm import bpe, fim, fingerprint, langid, lines, packing, quality, simhash, toxicity, urlrules, warc
 from molarflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,32 @@ FROM f LEFT JOIN lim ON f.lang IS NOT DISTINCT FROM lim.lang AND f.source IS NOT
 @query
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+SQL["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents
+), h AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || x[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || x[9:16])::BIGINT % (len(u) + 1) AS b,
+         ('0x' || x[17:24])::BIGINT % 100 AS h3, ('0x' || x[25:32])::BIGINT % 100 AS h4
+  FROM d
+), f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                 WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(u[greatest(a, b) + 1:], '') AS s
+  FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+"""
