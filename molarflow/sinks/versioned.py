@@ -1,126 +1,251 @@
 """A keyed Parquet table with versions: upserts, moves, deletes and retention that survive a crash.
 
-    root/data/v=N/month=yyyy-MM/slice=K/   rows written by version N
-    root/manifest/v=N/                     the (v, month, slice) folders that make up version N
+    root/data/v=N-ATTEMPT/month=yyyy-MM/slice=K/   rows written for version N
+    root/keys/v=N-ATTEMPT/bucket=B/                the keys of a hash bucket, with month and slice
+    root/manifest/N.json                           the folders that make up version N
 
 `month` is the month of the row's date (`none` without a date), `slice` a hash of its unit
-(or key) modulo SLICES, so there are at most months x SLICES folders, however many units;
-only that list reaches the driver. An upsert finds the folders its keys are in now by one
-scan of the key columns, rewrites those and the folders of the batch into data/v=N, and
-then commits by writing the manifest. A reader sees the version before or the one after;
-a run that dies in between leaves a folder that no manifest names, and its replay writes it
-again. Nothing is deleted before `vacuum`.
+(or key) modulo `slices`, so there are at most months x slices folders, however many units;
+only that list reaches the driver. An upsert looks its keys up in the key locator, reading only the
+hash buckets they fall into, rewrites the folders that hold them now and those its rows belong
+to into folders of its own, writes the touched buckets anew, and commits by creating the manifest of
+the version after the one it read. A reader sees the version before or the one after; a run that
+dies in between leaves folders that no manifest names.
+
+Two writers cannot lose each other's rows: only one can create a version's manifest. The other one
+finds it there, and merges its batch again into what is now the current version.
+
+Nothing is deleted before `vacuum`, which has to run without writers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Sequence
+import json
+import uuid
+from dataclasses import dataclass
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from molarflow.functions.misc import year_month
+from molarflow.session import ensure_checkpoint_dir
 from molarflow.sinks.files import _fs
 from molarflow.sinks.merge import retention_cutoff, upsert
 
 SLICES = 8
+#: Hash buckets of the key locator; a small batch reads as many as it has keys. Size it so that one
+#: bucket holds some million keys.
+KEY_BUCKETS = 16
 NO_MONTH = "none"
+RETRIES = 10
+ROWS, KEYS = "rows", "keys"
+
+#: (kind, v, month, slice): a folder of rows, or (month "") of a bucket of keys.
+Entry = tuple[str, str, str, int]
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the version first."""
+
+
+@dataclass
+class Kept:
+    """What a commit builds on: the version it read, the folders that stay, and the keys whose places it changes
+    (`places`: the key columns, month and slice; a deleted key has no month)."""
+
+    version: int
+    entries: list[Entry]
+    places: DataFrame | None = None
+    buckets: frozenset[int] = frozenset()
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], date_col: str | None = None,
-                 unit_col: str | None = None):
+                 unit_col: str | None = None, slices: int = SLICES, key_buckets: int = KEY_BUCKETS):
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
-        self.date_col, self.unit_col = date_col, unit_col
+        self.date_col, self.unit_col, self.slices, self.key_buckets = date_col, unit_col, slices, key_buckets
 
     # ---- reading ----
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        fs, p = _fs(self.spark, f"{self.root}/manifest/v=*/_SUCCESS")
-        return sorted(int(st.getPath().getParent().getName()[2:]) for st in (fs.globStatus(p) or []))
+        fs, p = _fs(self.spark, f"{self.root}/manifest/*.json")
+        return sorted(int(st.getPath().getName()[:-5]) for st in (fs.globStatus(p) or []))
 
-    def entries(self) -> list[tuple[int, str, int]]:
-        """(v, month, slice) of the current version; at most months x SLICES."""
+    def snapshot(self) -> Kept:
+        """The current version and its folders; at most months x slices, and the key buckets."""
         known = self.versions()
         if not known:
-            return []
-        rows = self.spark.read.schema("v int, month string, slice int").json(f"{self.root}/manifest/v={known[-1]}").collect()
-        return sorted((r.v, r.month, r.slice) for r in rows)
-
-    def _load(self, entries) -> DataFrame:
-        full = self.schema + ", v int, month string, slice int"
+            return Kept(0, [])
+        fs, p = _fs(self.spark, f"{self.root}/manifest/{known[-1]}.json")
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return Kept(known[-1], [tuple(e) for e in json.loads(text)])
+
+    def _load(self, entries: Sequence[Entry]) -> DataFrame:
+        full = self.schema + ", v string, month string, slice int"
         if not entries:
             return self.spark.createDataFrame([], full).drop("v")
-        paths = [f"{self.root}/data/v={v}/month={m}/slice={s}" for v, m, s in entries]
+        paths = [f"{self.root}/data/v={v}/month={m}/slice={s}" for _, v, m, s in entries]
         return self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*paths).drop("v")
 
     def read(self) -> DataFrame:
-        return self._load(self.entries()).drop("month", "slice")
+        return self._load([e for e in self.snapshot().entries if e[0] == ROWS]).drop("month", "slice")
+
+    # ---- where keys are ----
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.key_buckets)).cast("int")
+
+    def _targets(self, places: DataFrame) -> tuple[set[tuple[str, int]], set[int]]:
+        """The folders the keys go to and the hash buckets they are in."""
+        folder = F.when(F.col("month").isNotNull(), F.struct("month", "slice"))
+        found = places.agg(F.collect_set(folder).alias("folders"), F.collect_set(self._bucket()).alias("buckets")).first()
+        return {(f.month, f.slice) for f in found.folders}, set(found.buckets)
+
+    def locator(self, entries: Sequence[Entry], buckets: set[int] | None = None) -> DataFrame:
+        """The keys in the given hash buckets (None: all) and their month and slice."""
+        paths = [f"{self.root}/keys/v={v}/bucket={b}" for kind, v, _, b in entries if kind == KEYS and (buckets is None or b in buckets)]
+        fields = [f for f in StructType.fromDDL(self.schema) if f.name in self.keys] + list(StructType.fromDDL("month string, slice int"))
+        schema = StructType(fields)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _held(self, now: Kept, keys: DataFrame, buckets: set[int]) -> set[tuple[str, int]]:
+        """Folders that hold one of the keys now."""
+        if not now.entries:
+            return set()
+        found = self.locator(now.entries, buckets).join(keys.select(*self.keys), self.keys, "left_semi").select("month", "slice").distinct()
+        return {(r.month, r.slice) for r in found.collect()}
 
     # ---- writing ----
 
     def _placed(self, df: DataFrame) -> DataFrame:
         month = F.coalesce(year_month(self.date_col), F.lit(NO_MONTH)) if self.date_col else F.lit("all")
         by = [self.unit_col] if self.unit_col else self.keys
-        return df.withColumn("month", month).withColumn("slice", F.pmod(F.xxhash64(*by), F.lit(SLICES)).cast("int"))
+        return df.withColumn("month", month).withColumn("slice", F.pmod(F.xxhash64(*by), F.lit(self.slices)).cast("int"))
 
-    def _commit(self, kept: list, rows: DataFrame | None) -> None:
-        known = self.versions()
-        v = known[-1] + 1 if known else 1
-        data = f"{self.root}/data/v={v}"
-        entries = list(kept)
+    def _folders(self, pattern: str) -> list[list[str]]:
+        """Names of the folders that match, from `v=` on."""
+        fs, p = _fs(self.spark, f"{self.root}/{pattern}")
+        out = []
+        for st in fs.globStatus(p) or []:
+            parts = str(st.getPath()).split("/")
+            out.append([x.split("=", 1)[1] for x in parts[-pattern.count("/"):]])
+        return out
+
+    def _publish(self, version: int, entries: Sequence[Entry]) -> None:
+        """Create the manifest of `version`; CommitConflict if there is one."""
+        jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
+        name = f"{self.root}/manifest/{version}.json"
+        fs, tmp = _fs(self.spark, f"{self.root}/manifest/.{version}-{uuid.uuid4().hex}")
+        out = fs.create(tmp)
+        out.write(bytearray(json.dumps(entries).encode()))
+        out.close()
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        only_new = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        only_new[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        try:
+            files.rename(tmp, _fs(self.spark, name)[1], only_new)
+        except Exception as e:
+            fs.delete(tmp, False)
+            if "FileAlreadyExistsException" in str(e):
+                raise CommitConflict(f"version {version} of {self.root} exists") from e
+            raise
+
+    def _commit(self, kept: Kept, rows: DataFrame | None) -> None:
+        version = kept.version + 1
+        v = f"{version}-{uuid.uuid4().hex[:12]}"
+        entries = list(kept.entries)
         if rows is not None:
-            (self._placed(rows).hint("rebalance", "month", "slice").write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy("month", "slice").parquet(data))
-            fs, p = _fs(self.spark, f"{data}/month=*/slice=*")
-            for st in fs.globStatus(p) or []:
-                at = st.getPath()
-                entries.append((v, at.getParent().getName()[6:], int(at.getName()[6:])))
-        (self.spark.createDataFrame(entries, "v int, month string, slice int").coalesce(1)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").json(f"{self.root}/manifest/v={v}"))
-
-    def _touched(self, keys: DataFrame, places: DataFrame | None, entries: list) -> set[tuple[str, int]]:
-        """Folders that hold one of the keys now, and those of `places`."""
-        held = self._load(entries).select(*self.keys, "month", "slice").join(keys, self.keys, "left_semi").select("month", "slice")
-        both = held if places is None else held.unionByName(places.select("month", "slice"))
-        return {(r.month, r.slice) for r in both.distinct().collect()}
+            (self._placed(rows).hint("rebalance", "month", "slice").write.partitionBy("month", "slice")
+             .parquet(f"{self.root}/data/v={v}"))
+            entries += [(ROWS, v, m, int(s)) for _, m, s in self._folders(f"data/v={v}/month=*/slice=*")]
+            entries = self._relocated(entries, kept.places, kept.buckets, v)
+        self._publish(version, entries)
+
+    def _relocated(self, entries: list[Entry], places: DataFrame, buckets: set[int], v: str) -> list[Entry]:
+        """Write the hash buckets of the keys of `places` anew."""
+        (self.locator(entries, buckets).join(places, self.keys, "left_anti").unionByName(places.where("month IS NOT NULL"))
+         .withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/keys/v={v}"))
+        fresh = [(KEYS, v, "", int(b)) for _, b in self._folders(f"keys/v={v}/bucket=*")]
+        return [e for e in entries if e[0] == ROWS or e[3] not in buckets] + fresh
+
+    def _until_committed(self, change: Callable[[Kept], None]) -> None:
+        for _ in range(RETRIES):
+            try:
+                return change(self.snapshot())
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{RETRIES} attempts to write {self.root} met other writers")
+
+    def _changed(self, now: Kept, places: DataFrame, goes: set[tuple[str, int]], buckets: set[int]) -> tuple[Kept, DataFrame]:
+        """What stays beside the folders that hold the keys or get them, and the rows of these."""
+        touched = goes | self._held(now, places, buckets)
+        stored = self._load([e for e in now.entries if e[0] == ROWS and e[2:] in touched]).drop("month", "slice")
+        return Kept(now.version, [e for e in now.entries if e[0] == KEYS or e[2:] not in touched], places, frozenset(buckets)), stored
 
     def upsert(self, batch: DataFrame, order: Column | None = None, preserve: Sequence[str] = ()) -> None:
-        """Merge `batch`; of several rows of a key the one with the largest `order` wins."""
+        """Merge `batch`; of several rows of a key the one with the largest `order` wins. `preserve` cannot
+        name the date or unit column, as a row lies where its batch row says."""
+        if {self.date_col, self.unit_col} & set(preserve):
+            raise ValueError("the date and unit columns cannot be preserved")
         for k in self.keys:
             batch = batch.where(F.col(k).isNotNull())
-        entries = self.entries()
-        touched = self._touched(batch.select(*self.keys).distinct(), self._placed(batch), entries)
-        stored = self._load([e for e in entries if e[1:] in touched]).drop("month", "slice")
-        self._commit([e for e in entries if e[1:] not in touched], upsert(stored, batch, self.keys, preserve, order=order))
+        ensure_checkpoint_dir(self.spark)
+        place = F.struct("month", "slice")
+        places = (self._placed(batch.withColumn("_order", order if order is not None else F.lit(0)))
+                  .groupBy(*self.keys).agg(F.max_by(place, "_order").alias("_place")).select(*self.keys, "_place.*").checkpoint(eager=True))
+
+        goes, buckets = self._targets(places)
+
+        def change(now: Kept) -> None:
+            kept, stored = self._changed(now, places, goes, buckets)
+            self._commit(kept, upsert(stored, batch, self.keys, preserve, order=order))
+
+        self._until_committed(change)
 
     def delete(self, keys: DataFrame) -> None:
         """Remove the listed keys; only the folders that hold them are rewritten."""
-        keys = keys.select(*self.keys).distinct()
-        entries = self.entries()
-        touched = self._touched(keys, None, entries)
-        stored = self._load([e for e in entries if e[1:] in touched]).drop("month", "slice")
-        self._commit([e for e in entries if e[1:] not in touched], stored.join(keys, self.keys, "left_anti"))
+        ensure_checkpoint_dir(self.spark)
+        keys = keys.select(*self.keys).distinct().checkpoint(eager=True)
+        gone = keys.withColumns({"month": F.lit(None).cast("string"), "slice": F.lit(None).cast("int")})
+        _, buckets = self._targets(gone)
+
+        def change(now: Kept) -> None:
+            kept, stored = self._changed(now, gone, set(), buckets)
+            self._commit(kept, stored.join(keys, self.keys, "left_anti"))
+
+        self._until_committed(change)
 
     def retain(self, now: dt.datetime, months: int = 2) -> None:
-        """SNK6: drop every month before the cutoff month; rows without a date stay."""
+        """SNK6: drop every month before the cutoff month; rows without a date stay. Places of dropped
+        rows stay in the locator until their bucket is written again, and name folders that are gone."""
         cut = retention_cutoff(now, months).strftime("%Y-%m")
-        self._commit([e for e in self.entries() if e[1] == NO_MONTH or e[1] >= cut], None)
+        self._until_committed(lambda s: self._commit(
+            Kept(s.version, [e for e in s.entries if e[0] == KEYS or e[2] == NO_MONTH or e[2] >= cut]), None))
 
     def vacuum(self) -> int:
-        """Delete folders and manifests that the current version does not use; the number of folders removed."""
-        known = self.versions()
-        if not known:
-            return 0
-        used = {f"v={v}/month={m}/slice={s}" for v, m, s in self.entries()}
-        fs, p = _fs(self.spark, f"{self.root}/data/v=*/month=*/slice=*")
+        """Delete folders and manifests that the current version does not use; the number of row folders removed."""
+        current = self.snapshot()
+        rows = {(v, m, str(s)) for kind, v, m, s in current.entries if kind == ROWS}
+        keys = {(v, str(b)) for kind, v, _, b in current.entries if kind == KEYS}
         removed = 0
-        for st in fs.globStatus(p) or []:
-            at = st.getPath()
-            if "/".join((at.getParent().getParent().getName(), at.getParent().getName(), at.getName())) not in used:
-                removed += bool(fs.delete(at, True))
-        for v in known[:-1]:
-            fs.delete(_fs(self.spark, f"{self.root}/manifest/v={v}")[1], True)
+        for v, m, s in self._folders("data/v=*/month=*/slice=*"):
+            if (v, m, s) not in rows:
+                fs, p = _fs(self.spark, f"{self.root}/data/v={v}/month={m}/slice={s}")
+                removed += bool(fs.delete(p, True))
+        for v, b in self._folders("keys/v=*/bucket=*"):
+            if (v, b) not in keys:
+                fs, p = _fs(self.spark, f"{self.root}/keys/v={v}/bucket={b}")
+                fs.delete(p, True)
+        for n in self.versions():
+            if n < current.version:
+                fs, p = _fs(self.spark, f"{self.root}/manifest/{n}.json")
+                fs.delete(p, False)
         return removed
