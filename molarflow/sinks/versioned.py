@@ -5,7 +5,7 @@
     root/manifest/N.json                           the folders that make up version N
 
 `month` is the month of the row's date (`none` without a date), `slice` a hash of its unit
-(or key) modulo `slices`, so there are at most months x slices folders, however many units;
+(or key) modulo the number of slices, which the first commit chooses by size, so there are at most months x slices folders, however many units;
 only that list reaches the driver. An upsert looks its keys up in the key locator, reading only the
 hash buckets they fall into, rewrites the folders that hold them now and those its rows belong
 to into folders of its own, writes the touched buckets anew, and commits by creating the manifest of
@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,10 +35,10 @@ from molarflow.session import ensure_checkpoint_dir
 from molarflow.sinks.files import _fs
 from molarflow.sinks.merge import retention_cutoff, upsert
 
-SLICES = 8
-#: Hash buckets of the key locator; a small batch reads as many as it has keys. Size it so that one
-#: bucket holds some million keys.
-KEY_BUCKETS = 16
+#: Without a stated number, the first commit cuts each month into slices of at most so many rows, and the key
+#: locator into hash buckets of at most so many keys; a small batch reads as many buckets as it has keys.
+SLICE_ROWS = BUCKET_KEYS = 1_000_000
+MAX_SLICES, MIN_BUCKETS, MAX_BUCKETS = 1024, 4, 4096
 NO_MONTH = "none"
 RETRIES = 10
 ROWS, KEYS = "rows", "keys"
@@ -58,13 +58,15 @@ class Kept:
 
     version: int
     entries: list[Entry]
+    slices: int | None = None
+    key_buckets: int | None = None
     places: DataFrame | None = None
     buckets: frozenset[int] = frozenset()
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, keys: Sequence[str], date_col: str | None = None,
-                 unit_col: str | None = None, slices: int = SLICES, key_buckets: int = KEY_BUCKETS):
+                 unit_col: str | None = None, slices: int | None = None, key_buckets: int | None = None):
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
         self.date_col, self.unit_col, self.slices, self.key_buckets = date_col, unit_col, slices, key_buckets
 
@@ -79,14 +81,16 @@ class VersionedTable:
         """The current version and its folders; at most months x slices, and the key buckets."""
         known = self.versions()
         if not known:
-            return Kept(0, [])
+            return Kept(0, [], self.slices, self.key_buckets)
         fs, p = _fs(self.spark, f"{self.root}/manifest/{known[-1]}.json")
         stream = fs.open(p)
         try:
             text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return Kept(known[-1], [tuple(e) for e in json.loads(text)])
+        found = json.loads(text)
+        self.slices, self.key_buckets = found["slices"], found["key_buckets"]
+        return Kept(known[-1], [tuple(e) for e in found["entries"]], self.slices, self.key_buckets)
 
     def _load(self, entries: Sequence[Entry]) -> DataFrame:
         full = self.schema + ", v string, month string, slice int"
@@ -125,10 +129,25 @@ class VersionedTable:
 
     # ---- writing ----
 
-    def _placed(self, df: DataFrame) -> DataFrame:
+    def _place(self) -> tuple[Column, Column]:
+        """Month, and the hash that the slice comes from."""
         month = F.coalesce(year_month(self.date_col), F.lit(NO_MONTH)) if self.date_col else F.lit("all")
-        by = [self.unit_col] if self.unit_col else self.keys
-        return df.withColumn("month", month).withColumn("slice", F.pmod(F.xxhash64(*by), F.lit(self.slices)).cast("int"))
+        return month, F.xxhash64(*([self.unit_col] if self.unit_col else self.keys))
+
+    def _slice(self, h: Column) -> Column:
+        return F.pmod(h, F.lit(self.slices)).cast("int")
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        month, h = self._place()
+        return df.withColumn("month", month).withColumn("slice", self._slice(h))
+
+    def _shape(self, places: DataFrame) -> None:
+        """The number of slices and buckets, from the rows of the first commit."""
+        if self.slices is None or self.key_buckets is None:
+            by_month = places.groupBy("month").count().agg(F.max("count"), F.sum("count")).first()
+            largest, total = by_month[0] or 0, by_month[1] or 0
+            self.slices = self.slices or min(MAX_SLICES, -(-largest // SLICE_ROWS) or 1)
+            self.key_buckets = self.key_buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, -(-total // BUCKET_KEYS)))
 
     def _folders(self, pattern: str) -> list[list[str]]:
         """Names of the folders that match, from `v=` on."""
@@ -141,11 +160,12 @@ class VersionedTable:
 
     def _publish(self, version: int, entries: Sequence[Entry]) -> None:
         """Create the manifest of `version`; CommitConflict if there is one."""
+        text = json.dumps({"slices": self.slices, "key_buckets": self.key_buckets, "entries": list(entries)})
         jvm, gateway = self.spark.sparkContext._jvm, self.spark.sparkContext._gateway
         name = f"{self.root}/manifest/{version}.json"
         fs, tmp = _fs(self.spark, f"{self.root}/manifest/.{version}-{uuid.uuid4().hex}")
         out = fs.create(tmp)
-        out.write(bytearray(json.dumps(entries).encode()))
+        out.write(bytearray(text.encode()))
         out.close()
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
         only_new = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
@@ -188,7 +208,8 @@ class VersionedTable:
         """What stays beside the folders that hold the keys or get them, and the rows of these."""
         touched = goes | self._held(now, places, buckets)
         stored = self._load([e for e in now.entries if e[0] == ROWS and e[2:] in touched]).drop("month", "slice")
-        return Kept(now.version, [e for e in now.entries if e[0] == KEYS or e[2:] not in touched], places, frozenset(buckets)), stored
+        return replace(now, entries=[e for e in now.entries if e[0] == KEYS or e[2:] not in touched], places=places,
+                       buckets=frozenset(buckets)), stored
 
     def upsert(self, batch: DataFrame, order: Column | None = None, preserve: Sequence[str] = ()) -> None:
         """Merge `batch`; of several rows of a key the one with the largest `order` wins. `preserve` cannot
@@ -198,13 +219,15 @@ class VersionedTable:
         for k in self.keys:
             batch = batch.where(F.col(k).isNotNull())
         ensure_checkpoint_dir(self.spark)
-        place = F.struct("month", "slice")
-        places = (self._placed(batch.withColumn("_order", order if order is not None else F.lit(0)))
-                  .groupBy(*self.keys).agg(F.max_by(place, "_order").alias("_place")).select(*self.keys, "_place.*").checkpoint(eager=True))
-
-        goes, buckets = self._targets(places)
+        month, h = self._place()
+        dealt = (batch.select(*self.keys, F.struct(month.alias("month"), h.alias("hash")).alias("place"),
+                              (order if order is not None else F.lit(0)).alias("order"))
+                 .groupBy(*self.keys).agg(F.max_by("place", "order").alias("place")).select(*self.keys, "place.*").checkpoint(eager=True))
 
         def change(now: Kept) -> None:
+            self._shape(dealt)
+            places = dealt.select(*self.keys, "month", self._slice(F.col("hash")).alias("slice"))
+            goes, buckets = self._targets(places)
             kept, stored = self._changed(now, places, goes, buckets)
             self._commit(kept, upsert(stored, batch, self.keys, preserve, order=order))
 
@@ -215,10 +238,10 @@ class VersionedTable:
         ensure_checkpoint_dir(self.spark)
         keys = keys.select(*self.keys).distinct().checkpoint(eager=True)
         gone = keys.withColumns({"month": F.lit(None).cast("string"), "slice": F.lit(None).cast("int")})
-        _, buckets = self._targets(gone)
 
         def change(now: Kept) -> None:
-            kept, stored = self._changed(now, gone, set(), buckets)
+            self._shape(gone)
+            kept, stored = self._changed(now, gone, set(), self._targets(gone)[1])
             self._commit(kept, stored.join(keys, self.keys, "left_anti"))
 
         self._until_committed(change)
@@ -228,7 +251,20 @@ class VersionedTable:
         rows stay in the locator until their bucket is written again, and name folders that are gone."""
         cut = retention_cutoff(now, months).strftime("%Y-%m")
         self._until_committed(lambda s: self._commit(
-            Kept(s.version, [e for e in s.entries if e[0] == KEYS or e[2] == NO_MONTH or e[2] >= cut]), None))
+            replace(s, entries=[e for e in s.entries if e[0] == KEYS or e[2] == NO_MONTH or e[2] >= cut]), None))
+
+    def reslice(self, slices: int | None = None, key_buckets: int | None = None) -> None:
+        """Write the whole table anew for its size now (or with the given numbers)."""
+        def change(now: Kept) -> None:
+            rows = self._load([e for e in now.entries if e[0] == ROWS]).drop("month", "slice")
+            self.slices, self.key_buckets = slices, key_buckets
+            month, h = self._place()
+            dealt = rows.select(*self.keys, month.alias("month"), h.alias("hash")).checkpoint(eager=True)
+            self._shape(dealt)
+            places = dealt.select(*self.keys, "month", self._slice(F.col("hash")).alias("slice"))
+            self._commit(Kept(now.version, [], self.slices, self.key_buckets, places, frozenset(self._targets(places)[1])), rows)
+
+        self._until_committed(change)
 
     def vacuum(self) -> int:
         """Delete folders and manifests that the current version does not use; the number of row folders removed."""

@@ -27,7 +27,7 @@ def _stored(table):
 def test_two_writers_lose_nothing(spark, tmp_dir, monkeypatch):
     """The second writer reads version 1, is held there, and commits after the first one."""
     path = os.path.join(tmp_dir, "t")
-    first, second = _table(spark, path), _table(spark, path)
+    first, second = _table(spark, path), _table(spark, path, slices=3)
     first.upsert(_rows(spark, 0, 100), order=F.lit(1))
     held = second.snapshot()
     seen = iter([held])
@@ -81,3 +81,17 @@ def test_emptied_and_refilled(spark, tmp_dir):
     table.upsert(_rows(spark, 0, 0), order=F.lit(1))
     table.upsert(_rows(spark, 0, 3), order=F.lit(1))
     assert sorted(_stored(table)) == [0, 1, 2] and table.vacuum() > 0 and sorted(_stored(table)) == [0, 1, 2]
+
+
+def test_slices_follow_the_size(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(V, "SLICE_ROWS", 100)
+    monkeypatch.setattr(V, "BUCKET_KEYS", 50)
+    table = _table(spark, os.path.join(tmp_dir, "t"))
+    table.upsert(_rows(spark, 0, 900), order=F.lit(1))
+    assert (table.slices, table.key_buckets) == (4, 18)  # 310 rows in the largest month
+    before = _stored(table)
+    table.reslice(slices=2)
+    assert (table.slices, table.key_buckets) == (2, 18) and _stored(table) == before
+    table.upsert(_rows(spark, 0, 10, amount=5, shift=70), order=F.lit(1))
+    got = _stored(_table(spark, table.root))
+    assert len(got) == 900 and sum(a == 5 for _, _, a in got.values()) == 10
