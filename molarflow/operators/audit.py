@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from molarflow.config import CONFIRMED_STATUS, DEFAULT_DOMAIN, RESCHEDULED_STATUS, Domain
 from molarflow.functions.text import parse_list
 from molarflow.operators import filters as flt
+from molarflow.operators.paging import Order, seek
 from molarflow.operators.scope import apply_clinics, resolve_clinics
 
 # PRJ1: the audit list's column list.
@@ -37,6 +38,13 @@ def appointments_page(appointments: DataFrame, req, allowed: list[str] | None =
     return flt.page(df, flt.order_columns(req.sort_column, req.ascending), req.page, req.pp)
 
 
+def appointments_seek(appointments: DataFrame, req, allowed: list[str] | None = None, cursor: str | None = None,
+                      backward: bool = False) -> DataFrame:
+    """The page behind (or before) the row of `cursor`, each row with its own cursor."""
+    df, _ = filtered_appointments(appointments, req, allowed)
+    return seek(df.select(*APPOINTMENT_COLUMNS), Order(req.sort_column, req.ascending), req.pp, cursor, backward)
+
+
 def appointments_total(appointments: DataFrame, req, allowed: list[str] | None = None) -> DataFrame:
     df, empty = filtered_appointments(appointments, req, allowed)
     return flt.page_totals(df, req.page, req.pp, empty_scope=empty)

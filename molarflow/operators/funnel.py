@@ -27,6 +27,7 @@ from molarflow.functions.phone import phone_key
 from molarflow.functions.text import fold_name
 from molarflow.operators.attribution import confirmed_payments
 from molarflow.operators.filters import in_period, search_filter
+from molarflow.operators.paging import Order, seek
 
 STAGES = ("leads", "scheduled", "confirmed", "attended", "sold")
 
@@ -35,6 +36,11 @@ STAGE_ALIASES = {"leads": "leads", "agendados": "scheduled", "confirmados": "con
                  "compareceram": "attended", "venderam": "sold"}
 
 
+#: Newest first.
+DETAIL_ORDER = Order("created_at_cw", False, ("id", "account_id"))
+_DETAIL_COLUMNS = ("id", "account_id", "name", "phone_raw", "created_at_cw", *STAGES[1:])
+
+
 class UnknownStage(ValueError):
     pass
 
@@ -64,7 +70,7 @@ def phone_stage_index(appointments: DataFrame, logs: DataFrame, payments: DataFr
                              origin_ok.alias("_origin_ok"))
          .where(F.col("phone_key").isNotNull() & F.col("created_at").isNotNull()))
     confirmed_ids = (logs.where(F.col("to_status") == CONFIRMED_STATUS).select(F.col("appointment_id").alias("_cid")).distinct()
-                     .join(a.select(F.col("id").alias("_cid")), "_cid", "left_semi").withColumn("_conf", F.lit(True)))
+                     .withColumn("_conf", F.lit(True)))
     a = a.join(confirmed_ids, a["id"] == confirmed_ids["_cid"], "left")
     attended = F.col("status").isin(list(domain.attended))
     paid = (confirmed_payments(payments).where(in_period("date", start, end) & F.col("patient_id").isNotNull())
@@ -122,6 +128,17 @@ def funnel_detail(stages: DataFrame, stage: str, search: str = "", limit: int =
                   by_origin: bool = False) -> DataFrame:
     """LIM3: leads that reached `stage` (our names or the dashboard's), optional FLT7
     search on name/phone and origin filter, newest first."""
+    return (_stage_rows(stages, stage, search, by_origin).orderBy(*DETAIL_ORDER.columns()).offset(offset).limit(limit)
+            .select(*_DETAIL_COLUMNS))
+
+
+def funnel_detail_seek(stages: DataFrame, stage: str, search: str = "", limit: int = 100, cursor: str | None = None,
+                       backward: bool = False, by_origin: bool = False) -> DataFrame:
+    """LIM3 by cursor: the leads behind (or before) the row of `cursor`, each with its own cursor."""
+    return seek(_stage_rows(stages, stage, search, by_origin).select(*_DETAIL_COLUMNS), DETAIL_ORDER, limit, cursor, backward)
+
+
+def _stage_rows(stages: DataFrame, stage: str, search: str, by_origin: bool) -> DataFrame:
     stage = STAGE_ALIASES.get(stage, stage)
     if stage not in STAGES:
         raise UnknownStage(stage)
@@ -133,6 +150,4 @@ def funnel_detail(stages: DataFrame, stage: str, search: str = "", limit: int =
     pred = search_filter(search, "_name_norm", "_phone_digits")
     if pred is not None:
         df = df.where(pred)
-    order = [F.col("created_at_cw").desc_nulls_first(), F.col("id").asc(), F.col("account_id").asc()]
-    return (df.orderBy(*order).offset(offset).limit(limit)
-            .select("id", "account_id", "name", "phone_raw", "created_at_cw", *STAGES[1:]))
+    return df

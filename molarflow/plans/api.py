@@ -20,6 +20,7 @@ from molarflow.functions.text import parse_int_list, parse_list
 from molarflow.operators import audit, funnel as fnl, kpi
 from molarflow.operators.filters import order_columns, page, page_totals
 from molarflow.operators.dashboard import KpiSnapshots, dashboard_bundle
+from molarflow.operators.paging import BadCursor
 from molarflow.operators.scope import apply_clinics, resolve_clinics, scoped_by_appointment
 from molarflow.plans.params import (AppointmentRequest, FunnelRequest, KpiRequest, LogRequest, ParamError,
                                     parse_day)
@@ -37,8 +38,23 @@ def _require_dates(params: Mapping[str, str]) -> tuple[str, str]:
     return start, end
 
 
+def _seeking(fn, *args, **options) -> DataFrame:
+    try:
+        return fn(*args, **options)
+    except BadCursor as e:
+        raise ParamError("unknown cursor") from e
+
+
+def _backward(params: Mapping[str, str]) -> bool:
+    direction = params.get("direction") or "next"
+    if direction not in ("next", "prev"):
+        raise ParamError("direction must be next or prev")
+    return direction == "prev"
+
+
 def appointments(src, params: Mapping[str, str], allowed: list[str] | None = None) -> dict[str, DataFrame]:
-    """Audit list of appointments: one page plus its pagination row."""
+    """Audit list of appointments: one page plus its pagination row. With `cursor` (a row's, or empty for
+    the first page) pages are found by place instead of number, `direction` next or prev."""
     start, end = _require_dates(params)
     req = AppointmentRequest(
         start=start, end=end, clinic_ids=params.get("clinic_ids", ""), specialty_ids=params.get("specialty_ids", ""),
@@ -47,8 +63,11 @@ def appointments(src, params: Mapping[str, str], allowed: list[str] | None = Non
         creators=params.get("creators", ""), search=params.get("search", ""),
         sort_by=params.get("sort_by", "start_time"), sort_order=params.get("sort_order", "desc"),
         page=params.get("page", 1), pp=params.get("pp", 25))
-    return {"data": audit.appointments_page(src.appointments, req, allowed),
-            "pagination": audit.appointments_total(src.appointments, req, allowed)}
+    if "cursor" in params:
+        data = _seeking(audit.appointments_seek, src.appointments, req, allowed, params["cursor"] or None, _backward(params))
+    else:
+        data = audit.appointments_page(src.appointments, req, allowed)
+    return {"data": data, "pagination": audit.appointments_total(src.appointments, req, allowed)}
 
 
 def audit_events(src, params: Mapping[str, str], allowed: list[str] | None = None) -> dict[str, DataFrame]:
@@ -109,6 +128,9 @@ def funnel_detail(src, params: Mapping[str, str], allowed: list[str] | None = No
                         limit=params.get("limit"), offset=params.get("offset"))
     origins = parse_list(params.get("origem")) or None
     stages = _funnel_stages(src, req, params, allowed, origins)
+    if "cursor" in params:
+        return _seeking(fnl.funnel_detail_seek, stages, req.stage, req.search, req.limit, params["cursor"] or None, _backward(params),
+                        by_origin=bool(origins))
     return fnl.funnel_detail(stages, req.stage, req.search, req.limit, req.offset, by_origin=bool(origins))
 
 

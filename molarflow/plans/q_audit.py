@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import functions as F
 
 from molarflow.operators import audit, scope
 from molarflow.plans.oracle_views import with_views
@@ -23,6 +26,33 @@ def appointments_page(spark, sf_dir):
     return audit.appointments_page(Tables(spark, sf_dir).appointments, PAGE_REQ)
 
 
+SEEK_REQ = AppointmentRequest(start="1997-01-01", end="1997-07-01", sort_by="status", sort_order="desc", pp=100)
+
+
+@register("appointments_page_cursor", with_views(["appointments"], f"""
+    SELECT 'next' AS walk, {_APPT_COLS} FROM (
+      SELECT *, row_number() OVER (ORDER BY status DESC NULLS FIRST, id) AS n, count(*) OVER () AS total FROM appointments
+      WHERE start_time >= TIMESTAMP '1997-01-01' AND start_time < TIMESTAMP '1997-07-01') x
+    WHERE n <= 400
+    UNION ALL
+    SELECT 'prev', {_APPT_COLS} FROM (
+      SELECT *, row_number() OVER (ORDER BY status DESC NULLS FIRST, id) AS n, count(*) OVER () AS total FROM appointments
+      WHERE start_time >= TIMESTAMP '1997-01-01' AND start_time < TIMESTAMP '1997-07-01') x
+    WHERE n > total - 200 AND n <= total"""), "LIM1 SRT1")
+def appointments_page_cursor(spark, sf_dir):
+    """Walks by cursor: the first four pages forward, the last two backward, over long ties."""
+    a = Tables(spark, sf_dir).appointments
+    pages = []
+    for walk, steps in (("next", 4), ("prev", 2)):
+        cursor = None
+        for _ in range(steps):
+            page = audit.appointments_seek(a, SEEK_REQ, None, cursor, walk == "prev").checkpoint(eager=True)
+            ends = [r.cursor for r in page.select("cursor").collect()]  # one page
+            cursor = (ends[-1] if walk == "next" else ends[0]) if ends else cursor
+            pages.append(page.drop("cursor").withColumn("walk", F.lit(walk)))
+    return reduce(lambda x, y: x.unionByName(y), pages)
+
+
 TOTAL_REQ = AppointmentRequest(start="1996-01-01", end="1996-07-01", clinic_ids="3,4,9",
                                creators="Paulo Simão| carla  DIAS |", only_status="7", status_codes="7,8",
                                origins=" Instagram ,Google", pp=7)

@@ -16,10 +16,12 @@ from molarflow import schemas
 from molarflow.functions.misc import plus_days, year_month
 from molarflow.operators import filters as flt
 from molarflow.operators import leads as ld
+from molarflow.plans import api
 from molarflow.plans.oracle_views import with_views
 from molarflow.plans.q_leads import UNION_CTES, _contact_lead, _conversation_ctes
 from molarflow.plans.registry import REGISTRY, Tables, register
 from molarflow.sinks.versioned import VersionedTable
+from molarflow.sources.tables import LakeTables
 from molarflow.streaming import ingest
 
 
@@ -75,7 +77,7 @@ def _with_copies(a):
     return rows.repartition("id").sortWithinPartitions("id", "copy").drop("copy")
 
 
-def _appointments_table(spark, sf_dir):
+def _appointments_table(spark, sf_dir, base=None):
     a = Tables(spark, sf_dir).appointments.drop("created_by_name_norm", "patient_name_norm", "phone_norm")
     i = F.col("id")
     first = _with_copies(a).withColumn("start_time", F.concat(F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss"),
@@ -85,7 +87,7 @@ def _appointments_table(spark, sf_dir):
     late = a.where((i % 5 == 0) | (i % 11 == 0)).withColumns({
         "start_time": F.when(i % 11 == 0, F.lit(None)).when(i % 5 == 0, plus_days("start_time", 40)).otherwise(F.col("start_time")),
         "clinic_id": clinic})
-    return ingest.feed_ingest(spark, ingest.new_run_dir(spark, "appointments"), schemas.APPOINTMENTS, ["id"], "start_time",
+    return ingest.feed_ingest(spark, base or ingest.new_run_dir(spark, "appointments"), schemas.APPOINTMENTS, ["id"], "start_time",
                               [first, [early, late]])
 
 
@@ -108,6 +110,18 @@ def lake_search(spark, sf_dir):
     return t.where(flt.search_filter("LÚCIA", "patient_name_norm", "phone_norm")).select("id", "patient_name")
 
 
+@register("lake_api_page", with_views(["appointments"], """
+    SELECT id, patient_name, clinic_id, start_time, status FROM moved
+    WHERE start_time >= TIMESTAMP '1997-01-01' AND start_time < TIMESTAMP '1998-01-01' AND clinic_id IN ('2', '3', '5')
+    ORDER BY start_time DESC NULLS FIRST, id LIMIT 100 OFFSET 100""", extra={"moved": _MOVED}), "SRC1 LIM1 FLT1 FLT15 SRT1")
+def lake_api_page(spark, sf_dir):
+    """A page of the audit list, asked of the request API over the lake that the stream writes."""
+    root = ingest.new_run_dir(spark, "lake")
+    _appointments_table(spark, sf_dir, f"{root}/appointments")
+    page = api.appointments(LakeTables(spark, root), {"start": "1997-01-01", "end": "1998-01-01", "page": "2", "pp": "100"}, ["2", "3", "5"])
+    return page["data"].select("id", "patient_name", "clinic_id", "start_time", "status")
+
+
 @register("stream_logs_upsert", with_views(["appointment_logs"], """
     SELECT CASE WHEN appointment_id % 6 = 0 THEN NULL ELSE strftime(change_date, '%Y-%m') END AS month, to_status,
            COUNT(*) AS logs, COUNT(DISTINCT id) AS ids

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molarflow import schemas
+from molarflow.sinks.versioned import VersionedTable
 
 
 class UnknownTable(KeyError):
@@ -108,10 +109,10 @@ def pending_work(work: DataFrame, done: DataFrame, keys=("feed", "clinic_id", "p
 
 
 class LakeTables:
-    """Domain tables stored as Parquet folders under one root (feeds partitioned by
-    month / clinic as the ingest writes them), read with their explicit schemas.
-    Same attribute surface as the test adapters, so every operator and API
-    function runs on either."""
+    """Domain tables stored under one root, read with their explicit schemas: the current version of a
+    table that an ingest writes (at `root/name`, or `root/name/table` as the feed jobs lay it out), or a plain
+    Parquet folder. Same attribute surface as the test adapters, so every operator and API
+    function runs on either. A version is fixed when the attribute is read."""
 
     _SCHEMAS = {"leads": schemas.LEADS, "units": schemas.UNITS, "users": schemas.USERS,
                 "sync_state": schemas.SYNC_STATE, "campaign_contacts": schemas.CAMPAIGN_CONTACTS}
@@ -120,8 +121,11 @@ class LakeTables:
         self.spark, self.root = spark, root
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in schemas.FEEDS:
-            return read_feed(self.spark, self.root, name)
-        if name in self._SCHEMAS:
-            return self.spark.read.schema(self._SCHEMAS[name]).parquet(os.path.join(self.root, name))
-        raise AttributeError(name)
+        schema = schemas.FEEDS[name][0] if name in schemas.FEEDS else self._SCHEMAS.get(name)
+        if schema is None:
+            raise AttributeError(name)
+        for path in (os.path.join(self.root, name), os.path.join(self.root, name, "table")):
+            table = VersionedTable(self.spark, path, schema, [])
+            if table.versions():
+                return table.read()
+        return self.spark.read.schema(schema).option("mergeSchema", "false").parquet(os.path.join(self.root, name))
