@@ -7,11 +7,9 @@ whatever is new (the stream checkpoint remembers finished files, which is the
 the stored table with the idempotent keyed upsert (SNK1). Re-delivered or
 overlapping pulls (STM2) are therefore harmless: the latest batch wins.
 
-Each micro-batch rewrites only the (month, clinic) or account partitions it
-touches (dynamic partition overwrite). The merged frame is first materialised with a reliable
-`checkpoint()` in the cluster's shared checkpoint folder, so the write never
-reads the files it is replacing and a lost executor recomputes from the
-checkpoint, not from half-written output.
+Each micro-batch is materialised once in the cluster's shared checkpoint folder and merged into a
+`VersionedTable`: the (month, slice) folders it touches are written anew beside the old
+ones, and a manifest commits the new version, so a crash leaves the old one.
 """
 
 from __future__ import annotations
@@ -75,6 +73,37 @@ def monthly_upsert_writer(table_path: str, schema: str, keys: Sequence[str], dat
     return write
 
 
+def _raw_fields(schema: str) -> tuple[list[StructField], list[str]]:
+    """Fields of a feed, and those that are time stamps: they are read as text."""
+    fields = StructType.fromDDL(schema).fields
+    return fields, [f.name for f in fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+
+
+def landed(spark: SparkSession, landing_dir: str, schema: str, max_files: int = MAX_FILES) -> DataFrame:
+    """The stream of landed JSON lines, as they are, with _corrupt_record, _file and _mtime."""
+    fields, times = _raw_fields(schema)
+    raw = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in fields]
+                     + [StructField("_corrupt_record", StringType())])
+    return (spark.readStream.schema(raw).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(landing_dir)
+            .select("*", F.col("_metadata.file_path").alias("_file"),
+                    F.col("_metadata.file_modification_time").cast("timestamp").alias("_mtime")))
+
+
+def checked(rows: DataFrame, schema: str, id_col: str = "id") -> DataFrame:
+    """`landed` rows with their time stamps parsed, `_bad` for a line that does not parse, has a time stamp
+    that does not, or has no id, and `_line`, the raw line of such a row."""
+    fields, times = _raw_fields(schema)
+    parsed = {t: epoch_or_iso_to_ts(t) for t in times}
+    broken = F.lit(False)
+    for t in times:
+        broken = broken | (F.col(t).isNotNull() & parsed[t].isNull())
+    bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull() | broken
+    line = F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in fields])))
+    return (rows.withColumn("_bad", bad).withColumn("_line", F.when(F.col("_bad"), line)).withColumns(parsed)
+            .drop("_corrupt_record"))
+
+
 def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint: str,
                   body: Callable[[DataFrame, int], None], max_files: int = MAX_FILES,
                   quarantine_dir: str | None = None, id_col: str = "id") -> None:
@@ -86,34 +115,19 @@ def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint
     the raw line) when given, and never reaches the merge. The parsed batch is
     materialised once; `body` gets it with _pull, _file and _ord (see `delivery_order`)."""
     ensure_checkpoint_dir(spark)
-    fields = StructType.fromDDL(schema).fields
-    times = [f.name for f in fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
-    raw = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in fields]
-                     + [StructField("_corrupt_record", StringType())])
-    stream = (spark.readStream.schema(raw).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).json(landing_dir)
-              .select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_modification_time").cast("timestamp").alias("_mtime")))
 
     def split(batch: DataFrame, epoch_id: int) -> None:
         pull = F.regexp_extract("_file", r"/pull-(\d+)/", 1)
         batch = batch.withColumns({
             "_pull": F.when(pull != "", pull.cast("bigint")).otherwise(F.unix_micros("_mtime")),
             "_ord": F.monotonically_increasing_id()})
-        parsed = {t: epoch_or_iso_to_ts(t) for t in times}
-        broken = F.lit(False)
-        for t in times:
-            broken = broken | (F.col(t).isNotNull() & parsed[t].isNull())
-        bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull() | broken
-        line = F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in fields])))
-        batch = (batch.withColumn("_bad", bad).withColumn("_line", F.when(F.col("_bad"), line)).withColumns(parsed)
-                 .drop("_corrupt_record", "_mtime").checkpoint(eager=True))
+        batch = checked(batch, schema, id_col).drop("_mtime").checkpoint(eager=True)
         if quarantine_dir:
             (batch.where("_bad").drop("_bad", "_pull", "_ord", "_file").withColumnRenamed("_line", "raw_line")
              .withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(quarantine_dir))
         body(batch.where("NOT _bad").drop("_bad", "_line"), epoch_id)
 
-    q = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
+    q = (landed(spark, landing_dir, schema, max_files).writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
