@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,11 @@ from molarflow.operators import kpi
 from molarflow.operators.attribution import attribute_v4, confirmed_payments, qualifying_evaluations, with_agent_touch
 from molarflow.operators.filters import in_period
 from molarflow.operators.scope import apply_clinics, resolve_clinics
-from molarflow.plans.params import KpiRequest
 from molarflow.session import ensure_checkpoint_dir
 
+if TYPE_CHECKING:
+    from molarflow.plans.params import KpiRequest
+
 MODES = ("all", "agent", "operators")
 
 

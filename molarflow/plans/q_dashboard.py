@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from molarflow.functions.misc import plus_days
 from molarflow.operators.dashboard import build_snapshots, dashboard_bundle as bundle
 from molarflow.plans.oracle_views import with_views
 from molarflow.plans.params import KpiRequest
@@ -112,3 +115,42 @@ def dashboard_bundle_snapshots(spark, sf_dir):
     t = Tables(spark, sf_dir)
     snaps = build_snapshots(spark, t.appointments, t.appointment_logs, t.payments, new_run_dir(spark, "snapshots"))
     return bundle(spark, REQ, t.appointments, t.appointment_logs, t.payments, snapshots=snaps)
+
+
+@register("dashboard_bundle_live_snapshots", SQL, "AGG12 AGG3 WIN1 SNK1: snapshots that follow the changes of each merge")
+def dashboard_bundle_live_snapshots(spark, sf_dir):
+    """The bundle from snapshots kept by merges: every feed first comes with every fifth row wrong (moved dates, other
+    patients, flipped confirmations, foreign agent logs), then a second merge puts these rows right."""
+    from molarflow import schemas
+    from molarflow.sinks.versioned import VersionedTable
+    from molarflow.streaming.ingest import new_run_dir
+    from molarflow.streaming.snapshots import LiveSnapshots, changed_rows
+    t = Tables(spark, sf_dir)
+    base = new_run_dir(spark, "live-snapshots")
+    live = LiveSnapshots(spark, f"{base}/snapshots")
+    pick = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
+
+    def wrong(df, **values):
+        return df.withColumns({c: F.when(pick, v).otherwise(F.col(c)) for c, v in values.items()})
+
+    feeds = {
+        "appointments": (t.appointments, "start_time", "clinic_id", dict(
+            start_time=plus_days("start_time", -400), patient_id=F.col("patient_id") + 1, campaign_token=F.lit("x"), status=F.lit(8))),
+        "appointment_logs": (t.appointment_logs.dropDuplicates(["id"]), "change_date", None, dict(
+            user_id=F.when(F.col("user_id") == "mc", F.lit("op1")).otherwise(F.lit("mc")))),
+        "payments": (t.payments.dropDuplicates(["id"]), "date", "clinic_id", dict(
+            date=plus_days("date", 45), is_confirmed=~F.col("is_confirmed"), specialty_id=F.lit(None).cast("string"))),
+    }
+    stored = {}
+    for name, (rows, date_col, unit_col, values) in feeds.items():
+        stored[name] = VersionedTable(spark, f"{base}/{name}", schemas.FEEDS[name][0], ["id"], date_col, unit_col)
+        for change, batch in enumerate((wrong(rows, **values), rows.where(pick)), 1):
+            old, new = changed_rows(stored[name], batch.checkpoint(eager=True), F.lit(1), f"{base}/changes/{name}-{change}")
+            if name == "payments":
+                live.payments_changed(change, old, new)
+            elif name == "appointments":
+                live.appointments_changed(old, new)
+            else:
+                live.logs_changed(old, new)
+    return bundle(spark, REQ, stored["appointments"].read(), stored["appointment_logs"].read(), stored["payments"].read(),
+                  snapshots=live.read())

@@ -69,6 +69,8 @@ class VersionedTable:
                  unit_col: str | None = None, slices: int | None = None, key_buckets: int | None = None):
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
         self.date_col, self.unit_col, self.slices, self.key_buckets = date_col, unit_col, slices, key_buckets
+        if taken := {"v", "month", "slice", "bucket"} & {f.name for f in StructType.fromDDL(schema)}:
+            raise ValueError(f"columns {sorted(taken)} are those of the table's folders")
 
     # ---- reading ----
 
@@ -127,6 +129,26 @@ class VersionedTable:
         found = self.locator(now.entries, buckets).join(keys.select(*self.keys), self.keys, "left_semi").select("month", "slice").distinct()
         return {(r.month, r.slice) for r in found.collect()}
 
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """The stored rows of the given keys, from the folders that hold them."""
+        keys = keys.select(*self.keys).distinct()
+        now = self.snapshot()
+        if not now.entries:
+            return self._load([]).drop("month", "slice")
+        buckets = {r[0] for r in keys.select(self._bucket()).distinct().collect()}
+        held = self._held(now, keys, buckets)
+        return self._load([e for e in now.entries if e[0] == ROWS and e[2:] in held]).drop("month", "slice").join(keys, self.keys, "left_semi")
+
+    def rows_of_units(self, units: DataFrame) -> DataFrame:
+        """The stored rows of the given units (column `unit_col`), from their slices."""
+        units = units.select(self.unit_col).distinct()
+        now = self.snapshot()
+        if not now.entries:
+            return self._load([]).drop("month", "slice")
+        slices = {r[0] for r in units.select(self._slice(F.xxhash64(self.unit_col))).distinct().collect()}
+        rows = self._load([e for e in now.entries if e[0] == ROWS and e[3] in slices]).drop("month", "slice")
+        return rows.join(units, self.unit_col, "left_semi")
+
     # ---- writing ----
 
     def _place(self) -> tuple[Column, Column]:
