@@ -28,6 +28,7 @@ STATUS_NAMES: tuple[tuple[int, str], ...] = (
 # Status groups used by the business rules.
 ATTENDED_STATUSES: tuple[int, ...] = (7, 8)
 CONFIRMED_STATUS = 4
+CONCLUDED_STATUS = 8
 RESCHEDULED_STATUS = 3
 RESCUE_PRIOR_STATUSES: tuple[int, ...] = (5, 11)
 
@@ -56,6 +57,8 @@ class Domain:
     # width of the time buckets that split a patient's attribution window
     # (None = the window itself; smaller = finer split of very active patients)
     asof_bucket_days: int | None = None
+    # split patients by range partitions with seams instead (also within one instant)
+    asof_seams: bool = False
 
 
 DEFAULT_DOMAIN = Domain()

@@ -15,15 +15,22 @@ copied into its own and the next bucket, so one very active patient spreads
 over many tasks instead of one, and a payment still sees every appointment
 that can match it. Payments never fan out, so agent + operators = total by
 construction.
+
+A patient whose rows of one bucket are too many for a task is split by the other form, `operators.asof`:
+range partitions of (patient, time) with seams, at the price of storing the event stream once. The rule
+comparison always takes it, V2 and V4 with `seams=True` (or `Domain.asof_seams`).
 """
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from molarflow.config import DEFAULT_DOMAIN, Domain
+from molarflow.config import CONCLUDED_STATUS, DEFAULT_DOMAIN, Domain
 from molarflow.functions.misc import owner_label, year_month
+from molarflow.operators.asof import Lookup, asof, within
 
 
 def confirmed_payments(payments: DataFrame) -> DataFrame:
@@ -123,17 +130,21 @@ def _asof_latest(payments: DataFrame, appts: DataFrame, value: Column, days: int
 
 def attribute_v4(payments: DataFrame, appointments: DataFrame | None, logs: DataFrame | None,
                  domain: Domain = DEFAULT_DOMAIN, qualifying: DataFrame | None = None,
-                 bucket_days: int | None = None) -> DataFrame:
+                 bucket_days: int | None = None, seams: bool | None = None) -> DataFrame:
     """JOI5: payments + `is_agent` + `owner` ('agent' / 'operators'). `qualifying`
     (patient_id, start_time, id) may come precomputed (a snapshot table)."""
     q = qualifying if qualifying is not None else qualifying_evaluations(appointments, logs, domain)
+    if domain.asof_seams if seams is None else seams:
+        found = asof(payments, q, {"_asof": Lookup(F.lit(True), F.lit(True))}, "patient_id", "date", "start_time")
+        is_agent = within("_asof", "date", domain.window_days).isNotNull()
+        return found.withColumn("is_agent", is_agent).withColumn("owner", owner_label(is_agent)).drop("_asof")
     flagged = _asof_latest(payments, q, F.lit(True), domain.window_days, bucket_days or domain.asof_bucket_days)
     is_agent = F.col("_asof").isNotNull()
     return flagged.withColumn("is_agent", is_agent).withColumn("owner", owner_label(is_agent)).drop("_asof")
 
 
 def attribute_v2(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
-                 domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
+                 domain: Domain = DEFAULT_DOMAIN, seams: bool | None = None) -> DataFrame:
     """JOI7 (superseded rule, kept for comparison): the latest attended appointment
     (any specialty) within [date - 30 d, date] decides: agent if the agent touched
     it, else operators; no such appointment -> 'unattributed'. Ties on start_time
@@ -141,10 +152,16 @@ def attribute_v2(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     attended = appointments.where(F.col("status").isin(list(domain.attended))
                                   & F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
     touched = with_agent_touch(attended.select("id", "patient_id", "start_time", "channel_id"), logs, domain)
-    flagged = _asof_latest(payments, touched, F.col("agent_touched"), domain.window_days, domain.asof_bucket_days)
-    owner = (F.when(F.col("_asof").isNull(), F.lit("unattributed"))
-             .when(F.col("_asof.v"), F.lit("agent")).otherwise(F.lit("operators")))
-    return flagged.withColumn("owner", owner).drop("_asof")
+    if domain.asof_seams if seams is None else seams:
+        found = asof(payments, touched, {"_asof": Lookup(F.lit(True), F.col("agent_touched"))}, "patient_id", "date", "start_time")
+        found = found.withColumn("_asof", within("_asof", "date", domain.window_days))
+    else:
+        found = _asof_latest(payments, touched, F.col("agent_touched"), domain.window_days, domain.asof_bucket_days)
+    return found.withColumn("owner", _v2_owner(F.col("_asof"))).drop("_asof")
+
+
+def _v2_owner(found: Column) -> Column:
+    return F.when(found.isNull(), F.lit("unattributed")).when(found["v"], F.lit("agent")).otherwise(F.lit("operators"))
 
 
 def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
@@ -152,7 +169,7 @@ def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     """JOI8/V1 (superseded): agent iff the patient's first concluded (status 8)
     appointment was touched by the agent, and it started at or before the payment.
     One row per patient (min over (start_time, id)), then an equi-join on patient."""
-    concluded = appointments.where((F.col("status") == 8) & F.col("patient_id").isNotNull()
+    concluded = appointments.where((F.col("status") == CONCLUDED_STATUS) & F.col("patient_id").isNotNull()
                                    & F.col("start_time").isNotNull())
     touched = with_agent_touch(concluded.select("id", "patient_id", "start_time", "channel_id"), logs, domain)
     first = (touched.groupBy("patient_id")
@@ -164,28 +181,30 @@ def attribute_v1(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
     return j.withColumn("owner", owner_label(is_agent)).drop("_pid", "_first_t", "_first_agent")
 
 
-def attribute_window_rules(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
-                           domain: Domain = DEFAULT_DOMAIN) -> DataFrame:
-    """V2, V3 and V4 in ONE pass: one scan of the payments, one shuffle and sort of
-    payments + candidate appointments, three running `last` columns. Adds
-    owner_v2, owner_v3, owner_v4."""
+def attribute_rules(payments: DataFrame, appointments: DataFrame, logs: DataFrame,
+                    domain: Domain = DEFAULT_DOMAIN, rules: Sequence[str] = ("v1", "v2", "v3", "v4")) -> DataFrame:
+    """The rules in ONE pass: one scan of each input, one event stream. V1 is the patient's first concluded
+    appointment so far, the others are the latest ones within the window. Adds owner_v1 to owner_v4 (as asked for)."""
     appts = appointments.where(F.col("patient_id").isNotNull() & F.col("start_time").isNotNull())
     touched = with_agent_touch(appts.select("id", "patient_id", "start_time", "channel_id", "status",
                                             "speciality_id"), logs, domain)
     attended = F.col("status").isin(list(domain.attended))
-    rules = {
-        "v2": (attended, F.col("agent_touched")),
-        "v3": (F.col("agent_touched"), F.lit(True)),
-        "v4": (attended & (F.col("speciality_id") == domain.eval_specialty_id) & F.col("agent_touched"),
-               F.lit(True)),
+    agent = F.col("agent_touched")
+    lookups = {
+        "v1": Lookup(F.col("status") == CONCLUDED_STATUS, agent, first=True),
+        "v2": Lookup(attended, agent),
+        "v3": Lookup(agent, F.lit(True)),
+        "v4": Lookup(attended & (F.col("speciality_id") == domain.eval_specialty_id) & agent, F.lit(True)),
     }
-    f = _asof_multi(payments, touched, rules, domain.window_days, domain.asof_bucket_days)
-    v2 = (F.when(F.col("_asof_v2").isNull(), F.lit("unattributed"))
-          .when(F.col("_asof_v2.v"), F.lit("agent")).otherwise(F.lit("operators")))
-    return (f.withColumn("owner_v2", v2)
-            .withColumn("owner_v3", owner_label(F.col("_asof_v3").isNotNull()))
-            .withColumn("owner_v4", owner_label(F.col("_asof_v4").isNotNull()))
-            .drop("_asof_v2", "_asof_v3", "_asof_v4"))
+    f = asof(payments, touched, {f"_{r}": lookups[r] for r in rules}, "patient_id", "date", "start_time")
+
+    def owner(rule: str) -> Column:
+        found = within(f"_{rule}", "date", domain.window_days)
+        if rule == "v1":
+            return owner_label(F.coalesce(F.col("_v1.v"), F.lit(False)))
+        return _v2_owner(found) if rule == "v2" else owner_label(found.isNotNull())
+
+    return f.withColumns({f"owner_{r}": owner(r) for r in rules}).drop(*[f"_{r}" for r in rules])
 
 
 def revenue_by_owner(attributed: DataFrame, *dims: str) -> DataFrame:

@@ -100,12 +100,24 @@ def attribution_rules_compare(spark, sf_dir):
     t = Tables(spark, sf_dir)
     paid = att.confirmed_payments(t.payments).select("patient_id", "clinic_id", "date", "amount")
     appts, logs = t.appointments, t.appointment_logs
-    # V3 and V4 share one window pass over the payments; V1 is an equi-join on patient.
-    w = att.attribute_window_rules(paid, appts, logs).select(
-        "date", "amount", F.explode(F.array(
-            F.struct(F.lit("v3").alias("rule"), F.col("owner_v3").alias("owner")),
-            F.struct(F.lit("v4").alias("rule"), F.col("owner_v4").alias("owner")))).alias("_r"))
-    w = w.select("date", "amount", "_r.rule", "_r.owner")
-    v1 = att.attribute_v1(paid, appts, logs).select("date", "amount", F.lit("v1").alias("rule"), "owner")
-    u = w.unionByName(v1).withColumn("month", year_month("date"))
+    names = ("v1", "v3", "v4")
+    rules = F.explode(F.array(*[F.struct(F.lit(v).alias("rule"), F.col(f"owner_{v}").alias("owner")) for v in names]))
+    u = att.attribute_rules(paid, appts, logs, rules=names).select("date", "amount", rules.alias("_r"))
+    u = u.select("date", "amount", "_r.rule", "_r.owner").withColumn("month", year_month("date"))
     return att.revenue_by_owner(u, "rule", "month")
+
+
+@register("attribution_v4_seams", SQL_FLAGSHIP, "JOI5 JOI6 AGG4: patients of any size split by range partitions with seams")
+def attribution_v4_seams(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    paid = att.confirmed_payments(t.payments).select("patient_id", "clinic_id", "date", "amount")
+    owned = att.attribute_v4(paid, t.appointments, t.appointment_logs, seams=True).withColumn("month", year_month("date"))
+    return att.revenue_by_owner(owned, "clinic_id", "month")
+
+
+@register("attribution_v2_seams", SQL_V2, "JOI7: patients of any size split by range partitions with seams")
+def attribution_v2_seams(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    paid = att.confirmed_payments(t.payments).select("patient_id", "clinic_id", "date", "amount")
+    a = att.attribute_v2(paid, t.appointments, t.appointment_logs, seams=True).withColumn("month", year_month("date"))
+    return att.revenue_by_owner(a, "clinic_id", "month")

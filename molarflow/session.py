@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock for timestamp_ntz maths, AQE for
 # runtime re-planning (partition coalescing, skew splitting, broadcast
@@ -87,3 +88,12 @@ def checkpoint_dir(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts) if parts else base
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once as Parquet in the shared checkpoint folder and read back: cuts the lineage, survives lost
+    executors, and later reads prune columns."""
+    spark = df.sparkSession
+    path = checkpoint_dir(spark, "stored", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
