@@ -49,7 +49,7 @@ MIN_WORDLESS = 5
 SIMILAR = 0.8
 VARIABLE = "<*>"
 WILD = -1
-WITH_DIGIT = re.compile(r"\S*\d\S*")
+DIGIT = re.compile(r"\d")
 WORD = re.compile(r"[^\W_]")
 #: Thai, Lao, Tibetan, Myanmar, Khmer, kana and Han letters.
 UNSPACED = "\u0e00-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff" \
@@ -69,8 +69,8 @@ def tokens_of(line: str) -> list[str] | None:
     n = len(tokens)
     if n < MIN_TOKENS or (n < MIN_WORDLESS and not WORD.search(line)):
         return None
-    if WITH_DIGIT.search(line):
-        masked = [VARIABLE if WITH_DIGIT.match(t) else t for t in tokens]
+    if DIGIT.search(line):
+        masked = [VARIABLE if DIGIT.search(t) else t for t in tokens]
         if 2 * masked.count(VARIABLE) <= n:
             return masked
     return tokens
