@@ -73,6 +73,10 @@ def monthly_upsert_writer(table_path: str, schema: str, keys: Sequence[str], dat
     return write
 
 
+#: Column (of type variant) for lines with fields outside the schema.
+EXTRA = "extra"
+
+
 def _raw_fields(schema: str) -> tuple[list[StructField], list[str]]:
     """Fields of a feed, and those that are time stamps: they are read as text."""
     fields = StructType.fromDDL(schema).fields
@@ -80,8 +84,12 @@ def _raw_fields(schema: str) -> tuple[list[StructField], list[str]]:
 
 
 def landed(spark: SparkSession, landing_dir: str, schema: str, max_files: int = MAX_FILES) -> DataFrame:
-    """The stream of landed JSON lines, as they are, with _corrupt_record, _file and _mtime."""
+    """The stream of landed JSON lines, as they are, with _corrupt_record, _file and _mtime.
+
+    With a column `extra variant` in the schema, a line that has fields outside the schema is kept there whole."""
     fields, times = _raw_fields(schema)
+    if any(f.name == EXTRA for f in fields):
+        return _landed_with_extra(spark, landing_dir, fields, times, max_files)
     raw = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in fields]
                      + [StructField("_corrupt_record", StringType())])
     return (spark.readStream.schema(raw).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -90,6 +98,36 @@ def landed(spark: SparkSession, landing_dir: str, schema: str, max_files: int =
                     F.col("_metadata.file_modification_time").cast("timestamp").alias("_mtime")))
 
 
+def _landed_with_extra(spark: SparkSession, landing_dir: str, fields: list[StructField], times: list[str], max_files: int) -> DataFrame:
+    typed = [f for f in fields if f.name != EXTRA]
+    raw = StructType([StructField(f.name, StringType() if f.name in times else f.dataType) for f in typed]
+                     + [StructField("_corrupt_record", StringType())])
+    lines = (spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).text(landing_dir)
+             .where(F.trim("value") != ""))
+    row = F.from_json("value", raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    names = F.map_keys(F.from_json("value", "map<string,string>"))
+    unknown = F.size(F.array_except(names, F.array(*[F.lit(f.name) for f in typed]))) > 0
+    return (lines.select(row.alias("_row"), F.when(unknown, F.try_parse_json("value")).alias(EXTRA),
+                         F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.file_modification_time").cast("timestamp").alias("_mtime"))
+            .select(*[EXTRA if f.name == EXTRA else f"_row.{f.name}" for f in fields], "_row._corrupt_record", "_file", "_mtime"))
+
+
+def extra_fields(rows: DataFrame, schema: str) -> DataFrame:
+    """(column, filled, total): fields that came in beside the schema, and the rows that have a value there (AGG13)."""
+    known = F.array(*[F.lit(f.name) for f in StructType.fromDDL(schema).fields])
+    found = (rows.where(F.col(EXTRA).isNotNull()).select(F.explode(F.from_json(F.to_json(EXTRA), "map<string,string>")))
+             .where(F.col("value").isNotNull() & ~F.array_contains(known, F.col("key"))).groupBy(F.col("key").alias("column"))
+             .agg(F.count("*").alias("filled")))
+    total = rows.agg(F.count("*").alias("total"))
+    return found.join(F.broadcast(total), F.lit(True))  # the total is one row
+
+
+def promote(rows: DataFrame, field: str, kind: str) -> DataFrame:
+    """A field that came in beside the schema as a typed column; what does not fit the type is null."""
+    return rows.withColumn(field, F.try_variant_get(EXTRA, f"$.{field}", kind))
+
+
 def checked(rows: DataFrame, schema: str, id_col: str = "id") -> DataFrame:
     """`landed` rows with their time stamps parsed, `_bad` for a line that does not parse, has a time stamp
     that does not, or has no id, and `_line`, the raw line of such a row."""
@@ -99,7 +137,7 @@ def checked(rows: DataFrame, schema: str, id_col: str = "id") -> DataFrame:
     for t in times:
         broken = broken | (F.col(t).isNotNull() & parsed[t].isNull())
     bad = F.col("_corrupt_record").isNotNull() | F.col(id_col).isNull() | broken
-    line = F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in fields])))
+    line = F.coalesce("_corrupt_record", F.to_json(F.struct(*[f.name for f in fields if f.name != EXTRA])))
     return (rows.withColumn("_bad", bad).withColumn("_line", F.when(F.col("_bad"), line)).withColumns(parsed)
             .drop("_corrupt_record"))
 
