@@ -14,7 +14,8 @@ task merges neighbouring records into one read, as long as the gap is at most GA
 read at most READ bytes, and checks each payload against its digest.
 
 Edge cases: null html is an empty payload; payloads under MIN_REVISIT bytes are always
-responses; repeated rows: one is the response, the others refer to its page id; a null
+responses; a very long payload is a record and a read by
+itself; repeated rows: one is the response, the others refer to its page id; a null
 page id or URL leaves its header out and reads back as null; line breaks in a URL are
 written percent-encoded; an empty table gives an empty index and result; other columns are
 not archived.
@@ -40,6 +41,8 @@ MIN_REVISIT = 1000
 GAP = 64 << 10
 READ = 8 << 20
 FILE_BYTES = 1 << 30
+#: Archive bytes that one reading task is given, about.
+PART_BYTES = 32 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "file string, offset bigint, length bigint, url string, digest string, record_type string, page_id string"
 RECORD = ("page_id string, url string, record_type string, refers_to string, payload_bytes bigint, payload_digest string, "
@@ -131,7 +134,8 @@ def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") ->
 def read(selected: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """The records of `selected` index rows (file, offset, length): page_id, url, record_type,
     refers_to, payload_bytes, payload_digest, and payload (null for revisits) if asked for."""
-    ordered = (selected.select("file", "offset", "length").repartitionByRange("file", "offset")
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    ordered = (selected.select("file", "offset", "length").repartitionByRange(max(1, -(-total // PART_BYTES)), "file", "offset")
                .sortWithinPartitions("file", "offset"))
 
     def ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
