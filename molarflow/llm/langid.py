@@ -44,6 +44,8 @@ MIN_LANGUAGE = 1000
 MIN_SLICE = 64
 SURPLUS = 4
 SAMPLE_ROWS = 400
+#: Rows of a language that are ranked for its sample, as a multiple of the sample.
+MARGIN = 4
 SEGMENT = 256
 LANES = 8192
 SHARPNESS = 10.0
@@ -206,7 +208,11 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_bytes: int = TR
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     h = F.xxhash64("doc_id")
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = checkpointed(known.select("doc_id", "lang", h.alias("h")).withColumn("k", F.row_number().over(first))
+    # of a language with many rows only those below a hash bound that keeps some times the sample are ranked
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
+    low = F.col("h").cast("double") < F.lit(-2.0 ** 63) + F.lit(2.0 ** 64 * MARGIN * sample_rows) / F.col("n")
+    ranked = known.select("doc_id", "lang", h.alias("h")).join(checkpointed(sizes), "lang").where(low)
+    ids = checkpointed(ranked.withColumn("k", F.row_number().over(first))
                        .where(F.col("k") <= sample_rows).select("doc_id", "lang", "k"))
     budget = budget_of(train_bytes, ids.select("lang").distinct().count())
     words = F.trim(F.regexp_replace(F.lower("text"), NO_LETTER, " "))
