@@ -18,7 +18,7 @@ row number, only the first quarter that its predecessor takes and its sketch mov
 
 Edge cases: null text counts as empty; a text without words has an empty fingerprint, and
 two such texts have likeness 1; with fewer than five words the whole sequence is one
-shingle; repeated rows and equal doc_ids follow each other in row order, null doc_ids
+shingle; a very long text is hashed whole; repeated rows and equal doc_ids follow each other in row order, null doc_ids
 first; a single row is its own next; an empty table gives an empty result; other columns
 are not looked at.
 """

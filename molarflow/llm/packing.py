@@ -15,7 +15,8 @@ checkpointed table, so no length, however common, is collected in one place; ran
 plan give sequence and offset.
 
 Edge cases: null text counts as empty (only the end token); repeated rows are packed once
-each; very long texts are cut; an empty table gives an empty result.
+each; very long texts are cut; documents of one length are told apart by row order;
+further columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

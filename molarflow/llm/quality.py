@@ -18,7 +18,7 @@ away from the suspects gives the spread, so up to half of a group may be junk
 without moving its own limit.
 
 Edge cases: null text counts as empty (no words, fails the base rules); null lang
-or source is a group of its own; repeated rows are judged alike, one result each;
+or source is a group of its own; very long texts are measured whole; repeated rows are judged alike, one result each;
 an empty table gives an empty result; other columns pass through untouched.
 """
 

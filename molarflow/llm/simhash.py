@@ -16,7 +16,7 @@ per word operation, and queries whose candidates all exceed the radius are aband
 A run yields a star per connected part (at most one link per fingerprint), never all pairs.
 
 Edge cases: null or blank text has fingerprint zero, linked like any other; a text with
-fewer words than a shingle is one shingle; repeated rows share a fingerprint and so a
+fewer words than a shingle is one shingle; a very long text is hashed whole; repeated rows share a fingerprint and so a
 component; a null doc_id is no component's smallest id unless all are null; an empty
 table gives an empty result; other columns pass through `keep_one`.
 """

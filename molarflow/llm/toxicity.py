@@ -22,7 +22,8 @@ prior); at most MAX_FEATURES. What marks a document is then a few hundred string
 lower-cased text marks the n-grams present, and one matrix product per batch scores them.
 
 Edge cases: null and empty texts score the model's intercept; no positives, or no n-gram that
-marks them, fit nothing, and every score is the prior, 0.5 at most, so no document goes; repeated rows score alike; several labels of
+marks them, fit nothing, and every score is the prior, 0.5 at most, so no document goes; a very long text is marked whole when scored
+(only the sample is cut, at TEXT_CHARS); further columns pass through `drop_toxic`; repeated rows score alike; several labels of
 a document count as toxic if one is; an empty table gives an empty result.
 """
 
@@ -174,6 +175,22 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def risk_gradient(w: np.ndarray, x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.ndarray, bool]:
+    """Gradient of the non-negative PU risk at weights and intercept `w`, and whether the risk on negatives is not
+    below zero; where it is, the gradient of its negative, which steps back out of the region where
+    unlabelled positives are fitted as negatives."""
+    def grad(x, slope):  # mean of slope * (x, 1)
+        return np.append(x.T @ slope, slope.sum()) / len(x)
+
+    w32 = w[:-1].astype(np.float32)
+    p, u = (_sigmoid(x @ w32 + w[-1]) for x in (x_pos, x_unl))
+    on_negatives = -np.log(1 - u + 1e-12).mean() + prior * np.log(1 - p + 1e-12).mean()
+    negative = grad(x_unl, u.astype(np.float32)) - prior * grad(x_pos, p.astype(np.float32))
+    if on_negatives < 0:
+        return -negative, False
+    return prior * grad(x_pos, (p - 1).astype(np.float32)) + negative, True
+
+
 def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise the non-negative PU risk (Adam, full batch).
 
@@ -188,18 +205,8 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float) -> tuple[np.nda
     m, v = np.zeros_like(w), np.zeros_like(w)
     w[-1] = np.log(prior / (1 - prior))
 
-    def grad(x, slope):  # mean of slope * (x, 1)
-        return np.append(x.T @ slope, slope.sum()) / len(x)
-
     for step in range(1, STEPS + 1):
-        w32 = w[:-1].astype(np.float32)
-        p, u = (_sigmoid(x @ w32 + w[-1]) for x in (x_pos, x_unl))
-        on_negatives = -np.log(1 - u + 1e-12).mean() + prior * np.log(1 - p + 1e-12).mean()
-        negative = grad(x_unl, u.astype(np.float32)) - prior * grad(x_pos, p.astype(np.float32))
-        if on_negatives >= 0:
-            g = prior * grad(x_pos, (p - 1).astype(np.float32)) + negative
-        else:  # step back out of the region where unlabelled positives are fitted as negatives
-            g = -negative
+        g, _ = risk_gradient(w, x_pos, x_unl, prior)
         g[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)

@@ -13,7 +13,7 @@ rules are measured small, else a skewed join that AQE splits. The expressions of
 aggregated to one row before the only other shuffle.
 
 Edge cases: null URLs and those without `://` have empty host and path and the default
-verdict; repeated rows give a row each; no rules: every verdict is the default; an empty
+verdict; very long URLs are matched whole; repeated rows give a row each; no rules: every verdict is the default; an empty
 table gives an empty result; other columns are not looked at.
 """
 

@@ -67,6 +67,49 @@ def test_risk_gradient_by_differences():
     assert risk(np.append(w, b)) < risk(w0)
 
 
+def test_gradient_equals_finite_differences():
+    """On both branches of the non-negative risk: the risk itself, and the way back where negatives' risk is below zero."""
+    r = np.random.default_rng(3)
+    xp, xu = ((r.random((n, 4)) < 0.4).astype(np.float64) for n in (40, 90))
+    xp[:, 0], xu[:, 0] = 1, xu[:, 0] * (r.random(90) < 0.1)
+    prior, seen = 0.4, set()
+    for scale in (0.1, 1.0, 3.0, -4.0):
+        for apart in (0, 6):
+            w = r.normal(size=5) * abs(scale) / 4
+            w[0], w[-1] = w[0] + apart, -scale
+
+            def parts(w):
+                p, u = (1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) for x in (xp, xu))
+                return prior * -np.log(p).mean(), -np.log(1 - u).mean() + prior * np.log(1 - p).mean()
+
+            def objective(w):
+                on_positives, on_negatives = parts(w)
+                return on_positives + on_negatives if branch else -on_negatives
+
+            g, branch = X.risk_gradient(w, xp, xu, prior)
+            assert branch == (parts(w)[1] >= 0)
+            seen.add(branch)
+            for i in range(5):
+                e = np.zeros(5)
+                e[i] = 1e-5
+                assert abs(g[i] - (objective(w + e) - objective(w - e)) / 2e-5) < 1e-4
+    assert seen == {True, False}
+
+
+def test_marks_and_scores_equal_a_plain_count(spark):
+    rows = corpus(400, 5)
+    docs, labels = frames(spark, rows)
+    model = X.fit(X.learn_rows(docs), labels)
+    assert model.ngrams and len(set(model.ngrams)) == len(model.ngrams)
+    got = {r.doc.doc_id: r.score for r in X.score(docs, model).collect()}
+    for i, text, _, _ in rows:
+        z = model.intercept + sum(w for g, w in zip(model.ngrams, model.weights) if g in X.plain(text))
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-5
+    positive = [X.plain(t) for _, t, x, _ in rows if x]
+    for g in model.ngrams[:20]:
+        assert any(g in t for t in positive)
+
+
 def held_out_rates(spark, rows):
     """(share of toxic rows caught, of clean rows caught) outside the learning rows."""
     truth = {i: x for i, _, x, _ in rows}
