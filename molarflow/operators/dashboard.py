@@ -31,7 +31,7 @@ from molarflow.operators import kpi
 from molarflow.operators.attribution import attribute_v4, confirmed_payments, qualifying_evaluations, with_agent_touch
 from molarflow.operators.filters import in_period
 from molarflow.operators.scope import apply_clinics, resolve_clinics
-from molarflow.session import ensure_checkpoint_dir
+from molarflow.session import stored
 
 if TYPE_CHECKING:
     from molarflow.plans.params import KpiRequest
@@ -99,24 +99,28 @@ def dashboard_bundle(spark: SparkSession, req: KpiRequest, appointments: DataFra
     pay = confirmed_payments(pay_all).where(in_period("date", start, end))
 
     # Everything of the period, once: two frames of period size that every metric reads.
-    origins = snapshots.patient_origin if snapshots else kpi.first_appointment_origin(appointments)
+    if snapshots:
+        origins = snapshots.patient_origin
+    else:  # the first appointments of the period's patients only
+        patients = scoped.select("patient_id").union(pay.select("patient_id")).distinct()
+        origins = kpi.first_appointment_origin(appointments.join(patients, "patient_id", "left_semi"))
     if snapshots:
         evaluations = snapshots.agent_evaluations
     else:  # a payment of the period only meets evaluations of the period and the window before it
         evaluations = qualifying_evaluations(
             appointments.where(F.col("start_time") >= F.lit(start - dt.timedelta(days=domain.window_days)).cast("timestamp_ntz"))
             .where(F.col("start_time") < F.lit(end).cast("timestamp_ntz")), logs, domain)
-    ensure_checkpoint_dir(spark)
     att = attribute_v4(pay.select("patient_id", "date", "amount", "specialty_id"), None, None, domain, qualifying=evaluations)
-    att = att.join(origins, "patient_id", "left").drop("is_agent").checkpoint(eager=True)
+    att = att.join(origins, "patient_id", "left").drop("is_agent")
+    att = stored(att, "period-payments")
     if req.agent_mode != "all":
         scoped = with_agent_touch(scoped, logs, domain).where(F.col("agent_touched") == (req.agent_mode == "agent"))
-    appts = scoped.join(origins, "patient_id", "left").checkpoint(eager=True)
+    appts = stored(scoped.join(origins, "patient_id", "left"), "period-appointments")
 
     # One aggregation by the payment's owner, origin, month and specialty kind, one by patient.
     first = F.coalesce(F.col("specialty_id") == domain.eval_specialty_id, F.lit(False))
     paid = (att.groupBy("owner", "origin", year_month("date").alias("month"), first.alias("first"))
-            .agg(F.sum("amount").alias("revenue")).checkpoint(eager=True))
+            .agg(F.sum("amount").alias("revenue")))
     mine = paid if req.agent_mode == "all" else paid.where(F.col("owner") == req.agent_mode)
 
     def revenue(df: DataFrame, metric: str, dim) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,3 +98,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = checkpoint_dir(spark, "stored", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession, hours: float = 24, kinds: tuple[str, ...] = ("stored", "llm", "ingest")) -> int:
+    """Remove what jobs stored under the shared checkpoint folder and has not changed for `hours`; the number of
+    folders removed. For a job of its own, at a time when no job still reads what it stored before."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm, limit = spark.sparkContext._jvm, int((time.time() - hours * 3600) * 1000)
+    removed = 0
+    for kind in kinds:
+        p = jvm.org.apache.hadoop.fs.Path(f"{base}/{kind}/*")
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.globStatus(p) or []:
+            if st.getModificationTime() < limit:
+                removed += bool(fs.delete(st.getPath(), True))
+    return removed
