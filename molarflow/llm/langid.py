@@ -211,7 +211,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, train_bytes: int = TR
     # of a language with many rows only those below a hash bound that keeps some times the sample are ranked
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
     low = F.col("h").cast("double") < F.lit(-2.0 ** 63) + F.lit(2.0 ** 64 * MARGIN * sample_rows) / F.col("n")
-    ranked = known.select("doc_id", "lang", h.alias("h")).join(checkpointed(sizes), "lang").where(low)
+    ranked = known.select("doc_id", "lang", h.alias("h")).join(F.broadcast(checkpointed(sizes)), "lang").where(low)  # a row per language
     ids = checkpointed(ranked.withColumn("k", F.row_number().over(first))
                        .where(F.col("k") <= sample_rows).select("doc_id", "lang", "k"))
     budget = budget_of(train_bytes, ids.select("lang").distinct().count())
