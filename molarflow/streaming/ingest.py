@@ -19,7 +19,7 @@ import os
 import time
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
@@ -116,11 +116,14 @@ def _landed_with_extra(spark: SparkSession, landing_dir: str, fields: list[Struc
 def extra_fields(rows: DataFrame, schema: str) -> DataFrame:
     """(column, filled, total): fields that came in beside the schema, and the rows that have a value there (AGG13)."""
     known = F.array(*[F.lit(f.name) for f in StructType.fromDDL(schema).fields])
-    found = (rows.where(F.col(EXTRA).isNotNull()).select(F.explode(F.from_json(F.to_json(EXTRA), "map<string,string>")))
-             .where(F.col("value").isNotNull() & ~F.array_contains(known, F.col("key"))).groupBy(F.col("key").alias("column"))
-             .agg(F.count("*").alias("filled")))
-    total = rows.agg(F.count("*").alias("total"))
-    return found.join(F.broadcast(total), F.lit(True))  # the total is one row
+    here = F.from_json(F.to_json(EXTRA), "map<string,string>")
+    new = F.map_keys(F.map_filter(here, lambda k, v: v.isNotNull() & ~F.array_contains(known, k)))
+    # a row counts once under the empty name, which is no field's, and once under each of its new fields
+    names = F.array_append(F.coalesce(F.array_remove(new, ""), F.array().cast("array<string>")), F.lit(""))
+    counts = rows.select(F.explode(names).alias("column")).groupBy("column").agg(F.count("*").alias("filled"))
+    whole = Window.partitionBy(F.lit(1))  # one row per field name
+    return (counts.withColumn("total", F.max(F.when(F.col("column") == "", F.col("filled"))).over(whole))
+            .where("column <> ''").select("column", "filled", "total"))
 
 
 def promote(rows: DataFrame, field: str, kind: str) -> DataFrame:
