@@ -20,6 +20,7 @@ from molarflow.plans import api
 from molarflow.plans.oracle_views import with_views
 from molarflow.plans.q_leads import UNION_CTES, _contact_lead, _conversation_ctes
 from molarflow.plans.registry import REGISTRY, Tables, register
+from molarflow.session import stored
 from molarflow.sinks.versioned import VersionedTable
 from molarflow.sources.tables import LakeTables
 from molarflow.streaming import ingest
@@ -72,9 +73,8 @@ def stream_appointments_upsert(spark, sf_dir):
 
 def _with_copies(a):
     """`a` and a copy with status 99 of every fourth row; a row and its copy come in order in one part file."""
-    rows = (a.withColumn("copy", F.lit(0))
-            .unionByName(a.where(F.col("id") % 4 == 0).withColumn("status", F.lit(99)).withColumn("copy", F.lit(1))))
-    return rows.repartition("id").sortWithinPartitions("id", "copy").drop("copy")
+    statuses = F.when(F.col("id") % 4 == 0, F.array(F.col("status"), F.lit(99))).otherwise(F.array(F.col("status")))
+    return a.withColumn("status", F.explode(statuses)).select(*a.columns)
 
 
 def _appointments_table(spark, sf_dir, base=None):
@@ -128,7 +128,7 @@ def lake_api_page(spark, sf_dir):
     FROM appointment_logs GROUP BY ALL"""), "STM1 SNK1")
 def stream_logs_upsert(spark, sf_dir):
     """The logs feed (no clinic column): everything, then a re-pull that clears every sixth appointment's dates."""
-    lg = Tables(spark, sf_dir).appointment_logs.dropDuplicates(["id"])
+    lg = stored(Tables(spark, sf_dir).appointment_logs.dropDuplicates(["id"]), "logs")
     again = lg.where(F.col("appointment_id") % 6 == 0).withColumn("change_date", F.lit(None).cast("timestamp_ntz"))
     table = ingest.feed_ingest(spark, ingest.new_run_dir(spark, "logs"), schemas.APPOINTMENT_LOGS, ["id"], "change_date",
                                [lg, again], unit_col=None)

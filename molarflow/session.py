@@ -7,6 +7,9 @@ import tempfile
 import time
 import uuid
 
+from contextlib import contextmanager
+from typing import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock for timestamp_ntz maths, AQE for
@@ -96,10 +99,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executors, and later reads prune columns."""
     spark = df.sparkSession
     path = checkpoint_dir(spark, "stored", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a function that keeps a DataFrame as compressed Parquet in the shared checkpoint folder and reads it
+    back, like `stored`. What it kept is removed at the end, so nothing outside may still read it."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        paths.append(checkpoint_dir(spark, "stored", f"{name}-{uuid.uuid4().hex}"))
+        df.write.option("compression", "zstd").parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def clear_stored(spark: SparkSession, hours: float = 24, kinds: tuple[str, ...] = ("stored", "llm", "ingest")) -> int:
     """Remove what jobs stored under the shared checkpoint folder and has not changed for `hours`; the number of
     folders removed. For a job of its own, at a time when no job still reads what it stored before."""

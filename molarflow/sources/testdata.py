@@ -158,8 +158,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, p = raw(spark, sf_dir, "customer"), raw(spark, sf_dir, "part")
     amount = (F.col("l_extendedprice").cast("decimal(18,2)")
               * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, o.o_custkey == c.c_custkey)
+    orders = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "c_nationkey")  # the narrow side first
+    j = (li.join(orders, li.l_orderkey == F.col("o_orderkey"))
          .join(p, li.l_partkey == p.p_partkey))
     return j.select(
         _line_id().alias("id"),

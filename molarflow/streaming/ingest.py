@@ -7,7 +7,7 @@ whatever is new (the stream checkpoint remembers finished files, which is the
 the stored table with the idempotent keyed upsert (SNK1). Re-delivered or
 overlapping pulls (STM2) are therefore harmless: the latest batch wins.
 
-Each micro-batch is materialised once in the cluster's shared checkpoint folder and merged into a
+Each micro-batch is stored once, as compressed Parquet, in the cluster's shared checkpoint folder until it is merged into a
 `VersionedTable`: the (month, slice) folders it touches are written anew beside the old
 ones, and a manifest commits the new version, so a crash leaves the old one.
 """
@@ -27,7 +27,7 @@ from molarflow import schemas
 from molarflow.config import CAMPAIGN_LABEL
 from molarflow.functions.misc import epoch_or_iso_to_ts
 from molarflow.functions.text import fold_name, phone_digits
-from molarflow.session import ensure_checkpoint_dir
+from molarflow.session import ensure_checkpoint_dir, passing
 from molarflow.operators.leads import seen_ids, stale_leads
 from molarflow.sinks.versioned import VersionedTable
 
@@ -42,8 +42,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def land(df: DataFrame, landing_dir: str) -> None:
-    """Deliver one pull as new JSON-lines files in a folder of its own, numbered by time."""
-    df.write.json(os.path.join(landing_dir, f"pull-{time.time_ns():020d}"))
+    """Deliver one pull as new compressed JSON-lines files in a folder of its own, numbered by time."""
+    df.write.option("compression", "gzip").json(os.path.join(landing_dir, f"pull-{time.time_ns():020d}"))
 
 
 def delivery_order() -> Column:
@@ -153,8 +153,8 @@ def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint
     SRC2 rules: blank lines are skipped by the reader; time stamps are read as text
     (epoch, ISO, with or without a zone) and kept in UTC; a line that does not parse,
     has a time stamp that does not, or has no id, goes to `quarantine_dir` (JSON, with
-    the raw line) when given, and never reaches the merge. The parsed batch is
-    materialised once; `body` gets it with _pull, _file and _ord (see `delivery_order`)."""
+    the raw line) when given, and never reaches the merge. The parsed batch is stored
+    until `body` returns, which gets it with _pull, _file and _ord (see `delivery_order`)."""
     ensure_checkpoint_dir(spark)
 
     def split(batch: DataFrame, epoch_id: int) -> None:
@@ -162,11 +162,12 @@ def run_available(spark: SparkSession, landing_dir: str, schema: str, checkpoint
         batch = batch.withColumns({
             "_pull": F.when(pull != "", pull.cast("bigint")).otherwise(F.unix_micros("_mtime")),
             "_ord": F.monotonically_increasing_id()})
-        batch = checked(batch, schema, id_col).drop("_mtime").checkpoint(eager=True)
-        if quarantine_dir:
-            (batch.where("_bad").drop("_bad", "_pull", "_ord", "_file").withColumnRenamed("_line", "raw_line")
-             .withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(quarantine_dir))
-        body(batch.where("NOT _bad").drop("_bad", "_line"), epoch_id)
+        with passing(spark) as keep:
+            batch = keep(checked(batch, schema, id_col).drop("_mtime"), "batch")
+            if quarantine_dir:
+                (batch.where("_bad").drop("_bad", "_pull", "_ord", "_file").withColumnRenamed("_line", "raw_line")
+                 .withColumn("_epoch", F.lit(epoch_id)).write.mode("append").json(quarantine_dir))
+            body(batch.where("NOT _bad").drop("_bad", "_line"), epoch_id)
 
     q = (landed(spark, landing_dir, schema, max_files).writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
